@@ -19,6 +19,7 @@ from revlens.operators import explore as ex
 from revlens.operators import joins as jn
 from revlens.operators import profiles as pr
 from revlens.operators import quality as qa
+from revlens.plans import jobs
 from revlens.sources import fixture_files as ff
 from revlens.sources import fixtures as fxt
 from revlens.sources import json_lines as jl
@@ -97,6 +98,19 @@ def polarization_profile(spark, sf_dir):
     return pr.polarization_profile(joined(spark, sf_dir, with_z=False))
 
 
+@query
+def polarization_profile_eager(spark, sf_dir):
+    """Polarization with per-product aggregation ahead of the catalog join."""
+    return pr.polarization_profile_eager(clean(spark, sf_dir, with_z=False),
+                                         jn.metadata_for_join(clean_meta(spark, sf_dir)))
+
+
+@query
+def product_rating_stats_eager(spark, sf_dir):
+    return pr.product_rating_stats_eager(clean(spark, sf_dir, with_z=False),
+                                         jn.metadata_for_join(clean_meta(spark, sf_dir)))
+
+
 @query
 def length_profile_ordered(spark, sf_dir):
     return pr.length_profile_ordered(joined(spark, sf_dir, with_z=False))
@@ -519,3 +533,17 @@ def sink_csv_roundtrip(spark, sf_dir):
     out = pr.polarization_profile(joined(spark, sf_dir, with_z=False))
     path = sinks.write_small_csv(out, session.staging_path(spark, "polarization-csv"))
     return (spark.read.option("header", True).schema(out.schema).csv(path))
+
+
+@query
+def analytics_job(spark, sf_dir):
+    """The whole job (C5) from raw JSON lines: clean -> join -> four analyses,
+    written as Parquet and CSV; returns the polarization CSV read back typed."""
+    session.pin_time_zone(spark)
+    reviews = ff.fixture_json(spark, sf_dir, "reviews", faulty=False)
+    catalog_json = ff.fixture_json(spark, sf_dir, "catalog", faulty=False)
+    base = session.staging_path(spark, "analytics-job")
+    run = jobs.run_review_analytics(spark, reviews, catalog_json, f"{base}/processed",
+                                    f"{base}/results", with_counts=False)
+    schema = pr.polarization_profile(spark.read.parquet(run.paths["joined_reviews"])).schema
+    return spark.read.option("header", True).schema(schema).csv(run.paths["polarization_analysis"])

@@ -266,6 +266,9 @@ SQL: dict[str, str] = {
     "length_profile": _q(_LENGTH_PROFILE),
     "popularity_profile": _q(_POPULARITY_PROFILE),
     "product_rating_stats": _q(_PRODUCT_STATS),
+    "product_rating_stats_eager": _q(_PRODUCT_STATS),
+    "polarization_profile_eager": _q(_POLARIZATION),
+    "analytics_job": _q(_POLARIZATION),
     "polarization_profile": _q(_POLARIZATION),
     "length_profile_ordered": _q(
         f"SELECT *, {_rank('text_length_bin', _LEN_LABELS)} AS bin_order FROM ({_LENGTH_PROFILE}) ORDER BY bin_order"),

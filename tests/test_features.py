@@ -140,3 +140,30 @@ def test_length_profile_limits_years(spark):
     joined = jn.joined_reviews(cl.clean_reviews(_reviews(spark, rows)), cl.clean_metadata(meta))
     assert pr.length_profile(joined).agg(F.sum("review_count")).first()[0] == 1
     assert pr.verified_profile(joined).agg(F.sum("review_count")).first()[0] == 2
+
+
+def test_eager_product_stats_equal_direct_with_repeated_catalog_keys(spark):
+    rows = [_r(key="P1", user=f"U{i}", rating=float(1 + i % 5)) for i in range(7)]
+    rows += [_r(key="P2", user="U9", rating=4.0), _r(key="P3", user="U8", rating=2.0),
+             _r(key="P3", user="U7", rating=5.0)]
+    meta = spark.createDataFrame([
+        ("P1", "a", "c", 1.0, 4.0, 5, "s"), ("P1", "a", "c", 1.0, 4.0, 7, "s"),   # same bin twice
+        ("P1", "a", "c", 1.0, 4.0, 500, "s"),                                     # another bin
+        ("P2", "b", "c", 1.0, 4.0, 20, "s"), ("P2", "b", "c", 1.0, 4.0, 30, "s"),
+        ("P3", "d", "c", 1.0, 4.0, None, None),
+    ], schemas.METADATA_SCHEMA)
+    reviews = cl.clean_reviews(_reviews(spark, rows), with_z=False)
+    mj = jn.metadata_for_join(cl.clean_metadata(meta))
+    direct = pr.product_rating_stats(jn.add_popularity_bin(jn.join_reviews_metadata(reviews, mj)))
+    eager = pr.product_rating_stats_eager(reviews, mj)
+
+    def rows_of(df):
+        return sorted((r.parent_asin, r.product_popularity_bin, r.review_count,
+                       round(r.avg_rating, 12),
+                       None if r.rating_stddev is None else round(r.rating_stddev, 12),
+                       round(r.extreme_rating_share, 12)) for r in df.collect())
+
+    assert rows_of(direct) == rows_of(eager)
+    assert len(rows_of(direct)) == 4
+    p = {tuple(r[:2]): r for r in rows_of(eager)}
+    assert p[("P1", "Under 10 ratings")][2] == 14 and p[("P2", "10-49 ratings")][4] == 0.0
