@@ -114,7 +114,8 @@ def product_rating_stats_eager(reviews: DataFrame, meta_for_join: DataFrame) ->
             .agg(F.count(F.lit(1)).alias("_m")))
     j = per_product.join(bins, "parent_asin", "inner")
     n_total = F.col("_n") * F.col("_m")
-    ss = F.col("_var") * (F.col("_n") - 1)
+    # sum of squared deviations; a single review has none (its variance is NULL)
+    ss = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(F.col("_var") * (F.col("_n") - 1))
     sd = (F.when(F.col("_m") == 1, F.col("_sd"))
           .otherwise(F.sqrt(F.try_divide(F.col("_m") * ss, (n_total - 1).cast("double")))))
     return j.select(
