@@ -64,3 +64,43 @@ def test_checked_json_scan_prunes_nothing_it_needs(spark):
 def test_profiles_partially_aggregate_before_shuffle(spark, name):
     plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
     assert "partial_" in plan
+
+
+def test_hot_product_is_split_by_skew_join(spark):
+    """A product holding most reviews: with broadcast off, AQE splits its
+    sort-merge-join partition instead of sending it to one task."""
+    from pyspark.sql import functions as F
+
+    from revlens.operators import joins as jn
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        reviews = spark.range(20000).select(
+            F.when(F.col("id") % 3 != 0, F.lit("HOT"))
+             .otherwise(F.concat(F.lit("P"), (F.col("id") % 50).cast("string")))
+             .alias("parent_asin"),
+            F.col("id").alias("rating"))
+        meta = spark.range(50).select(F.concat(F.lit("P"), F.col("id").cast("string"))
+                                      .alias("parent_asin"), F.col("id").alias("rating_number"))
+        meta = meta.unionByName(spark.range(1).select(F.lit("HOT").alias("parent_asin"),
+                                                      F.lit(7).alias("rating_number")))
+        out = jn.join_reviews_metadata(reviews, meta).groupBy().count()
+        plan = _plan(out, executed=True)
+        assert out.first()[0] == 20000
+        assert "SortMergeJoin" in plan and "skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
