@@ -99,6 +99,42 @@ def votes_per_year(votes: str | Column = "helpful_vote",
             .otherwise(F.lit(0.0)))
 
 
+def _dec(x: str | Column, scale: int) -> Column:
+    return _col(x).cast(f"decimal({10 + scale},{scale})")
+
+
+def stddev_from_sums(n: str | Column, s1: str | Column, s2: str | Column) -> Column:
+    """Sample standard deviation from count, sum and sum of squares.
+
+    ``sqrt((n*s2 - s1^2) / (n*(n-1)))`` with the numerator in exact DECIMAL
+    arithmetic; NULL for fewer than two values.
+    """
+    n = _col(n)
+    num = n.cast("decimal(20,0)") * _col(s2) - _col(s1) * _col(s1)
+    den = n.cast("double") * (n - 1).cast("double")
+    return F.when(n > 1, F.sqrt(num.cast("double") / den))
+
+
+def exact_stddev(x: str | Column, scale: int = 0) -> Column:
+    """Sample standard deviation (aggregate) from exact moment sums.
+
+    Count, sum and sum of squares are DECIMAL sums, so the result does not
+    depend on partitioning or summation order (Spark's streaming ``stddev``
+    merges partial states in task order and can differ in the last bit from
+    run to run) and a constant column gives exactly 0. Values are taken to
+    ``scale`` decimals: 0 for integer lengths, 3 for star ratings.
+    """
+    xd = _dec(x, scale)
+    return stddev_from_sums(F.count(_col(x)), F.sum(xd), F.sum(xd * xd))
+
+
+def moment_sums(x: str | Column, scale: int, prefix: str) -> list[Column]:
+    """The three partial aggregates behind ``exact_stddev`` (count, sum, sum of squares)."""
+    xd = _dec(x, scale)
+    return [F.count(_col(x)).alias(f"{prefix}_n"), F.sum(xd).alias(f"{prefix}_s1"),
+            F.sum(xd * xd).alias(f"{prefix}_s2")]
+
+
 def ratio_percent(numerator: str | Column, denominator: str | Column, scale: int) -> Column:
     """round(numerator / denominator * 100, scale); NULL when the denominator is 0."""
     return F.round(F.try_divide(_col(numerator).cast("double"), _col(denominator)) * 100.0, scale)

@@ -60,7 +60,7 @@ def add_row_features(df: DataFrame, cap: int = schemas.HELPFUL_VOTE_CAP) -> Data
 
 def length_stats(df: DataFrame, col: str = "review_text_length") -> DataFrame:
     """One row: mean and sample standard deviation of the text length."""
-    return df.select(F.avg(col).alias("mean_length"), F.stddev(col).alias("std_length"))
+    return df.select(F.avg(col).alias("mean_length"), fx.exact_stddev(col).alias("std_length"))
 
 
 def add_length_z(df: DataFrame, col: str = "review_text_length",
@@ -69,12 +69,13 @@ def add_length_z(df: DataFrame, col: str = "review_text_length",
 
     Mean and deviation enter as scalar subqueries: Catalyst merges the two
     into one aggregate that reuses the dedup exchange of ``df`` and drops it
-    when the z column is pruned away. Nothing passes through the driver. A
-    zero or NULL deviation gives a NULL z (``try_divide``) instead of an ANSI
-    error.
+    when the z column is pruned away. Nothing passes through the driver. The
+    deviation comes from exact moment sums (``exact_stddev``), so z does not
+    change with partitioning. A zero or NULL deviation gives a NULL z
+    (``try_divide``) instead of an ANSI error.
     """
     mean = df.select(F.avg(col)).scalar()
-    std = df.select(F.stddev(col)).scalar()
+    std = df.select(fx.exact_stddev(col)).scalar()
     return df.withColumn(out, F.try_divide(F.col(col) - mean, std))
 
 

@@ -70,7 +70,7 @@ def product_rating_stats(df: DataFrame) -> DataFrame:
     return df.groupBy("parent_asin", "product_popularity_bin").agg(
         n(),
         F.avg("rating").alias("avg_rating"),
-        F.stddev("rating").alias("rating_stddev"),
+        fx.exact_stddev("rating", schemas.RATING_SCALE).alias("rating_stddev"),
         F.avg(extreme).alias("extreme_rating_share"),
     )
 
@@ -88,40 +88,35 @@ def polarization_profile(df: DataFrame) -> DataFrame:
 def product_rating_stats_eager(reviews: DataFrame, meta_for_join: DataFrame) -> DataFrame:
     """``product_rating_stats`` computed by aggregating *before* the join.
 
-    Reviews are reduced to one row per product (count, mean, sample stddev,
-    extreme share) with partial aggregation, and only those rows meet the
-    catalog. The join input shrinks from one row per review to one per
-    product, a hot product is collapsed inside each input task, and the wide
-    review rows (text) are never shuffled for this analysis.
+    Reviews are reduced to one row per product (count, mean, extreme share
+    and the exact moment sums of the rating) with partial aggregation, and
+    only those rows meet the catalog. The join input shrinks from one row per
+    review to one per product, a hot product is collapsed inside each input
+    task, and the wide review rows (text) are never shuffled for this
+    analysis.
 
     Exact with repeated catalog keys too: a key present ``m`` times with the
-    same popularity bin multiplies that product's reviews by ``m`` in the
-    row-level join; the count becomes ``n*m``, mean and extreme share stay,
-    and the sample variance becomes ``m*SS / (n*m - 1)`` with
-    ``SS = var*(n-1)``. For ``m = 1`` the stddev is taken as is.
+    same popularity bin repeats that product's reviews ``m`` times in the
+    row-level join, which multiplies the count and both moment sums by ``m``
+    and leaves mean and extreme share unchanged.
     """
     extreme = F.when(F.col("rating").isin(*schemas.EXTREME_RATINGS), 1).otherwise(0)
     per_product = reviews.groupBy("parent_asin").agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg("rating").alias("avg_rating"),
-        F.stddev("rating").alias("_sd"),
-        F.variance("rating").alias("_var"),
+        *fx.moment_sums("rating", schemas.RATING_SCALE, "_r"),
         F.avg(extreme).alias("extreme_rating_share"),
     )
     bins = (meta_for_join.select("parent_asin", fx.popularity_bin("rating_number")
                                  .alias("product_popularity_bin"))
             .groupBy("parent_asin", "product_popularity_bin")
             .agg(F.count(F.lit(1)).alias("_m")))
-    j = per_product.join(bins, "parent_asin", "inner")
-    n_total = F.col("_n") * F.col("_m")
-    # sum of squared deviations; a single review has none (its variance is NULL)
-    ss = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(F.col("_var") * (F.col("_n") - 1))
-    sd = (F.when(F.col("_m") == 1, F.col("_sd"))
-          .otherwise(F.sqrt(F.try_divide(F.col("_m") * ss, (n_total - 1).cast("double")))))
-    return j.select(
+    m = F.col("_m")
+    return per_product.join(bins, "parent_asin", "inner").select(
         "parent_asin", "product_popularity_bin",
-        n_total.alias("review_count"), "avg_rating",
-        F.when(n_total > 1, sd).alias("rating_stddev"),
+        (F.col("_n") * m).alias("review_count"), "avg_rating",
+        fx.stddev_from_sums(F.col("_r_n") * m, F.col("_r_s1") * m, F.col("_r_s2") * m)
+        .alias("rating_stddev"),
         "extreme_rating_share",
     )
 

@@ -9,6 +9,15 @@ integer sums HUGEINT, its ``x / 0`` is infinity, hence ``NULLIF``).
 
 from __future__ import annotations
 
+
+def _exact_sd(col: str, scale: int) -> str:
+    """Sample stddev from exact DECIMAL moment sums (same formula as the Spark side)."""
+    d = f"CAST({col} AS DECIMAL({10 + scale},{scale}))"
+    n = f"count({col})"
+    return (f"CASE WHEN {n} > 1 THEN sqrt(CAST({n} * sum({d} * {d}) - sum({d}) * sum({d}) AS DOUBLE)"
+            f" / (CAST({n} AS DOUBLE) * CAST({n} - 1 AS DOUBLE))) END")
+
+
 # Review rows with the raw order key and the per-file lineage.
 _REVIEW_BASE = """
 rb AS (
@@ -45,7 +54,7 @@ reviews_raw AS (
   FROM rr_src
 )"""
 
-_CLEAN = """
+_CLEAN = f"""
 dedup AS (
   SELECT DISTINCT parent_asin, asin, user_id, rating, title, text, "timestamp", helpful_vote,
          verified_purchase
@@ -78,7 +87,7 @@ f3 AS (
   FROM f2
 ),
 len_stats AS (
-  SELECT avg(review_text_length) AS m, stddev_samp(review_text_length) AS s FROM f3
+  SELECT avg(review_text_length) AS m, {_exact_sd("review_text_length", 0)} AS s FROM f3
 ),
 reviews_clean AS (
   SELECT parent_asin, asin, user_id, rating, title, text, "timestamp", helpful_vote,
@@ -187,6 +196,7 @@ rev_checked AS (
   FROM rr_src
 )"""
 
+
 _ALL = "WITH " + ",".join([_REVIEW_BASE, _CLEAN, _META, _JOINED, _META_RAW, _REVIEW_CHECKED])
 
 ID = "parent_asin, user_id, asin, \"timestamp\""
@@ -197,9 +207,9 @@ _METRICS_V = """count(*) AS review_count,
   round(avg(helpful_vote), 3) AS avg_helpful_vote,
   round(avg(received_helpful_vote) * 100, 2) AS percent_with_helpful_vote"""
 
-_PRODUCT_STATS = """
+_PRODUCT_STATS = f"""
   SELECT parent_asin, product_popularity_bin, count(*) AS review_count,
-    avg(rating) AS avg_rating, stddev_samp(rating) AS rating_stddev,
+    avg(rating) AS avg_rating, {_exact_sd("rating", 3)} AS rating_stddev,
     avg(CASE WHEN rating IN (1.0, 5.0) THEN 1 ELSE 0 END) AS extreme_rating_share
   FROM joined GROUP BY parent_asin, product_popularity_bin"""
 
@@ -324,8 +334,8 @@ SQL: dict[str, str] = {
     "row_counts": _q(_counts(("raw_reviews", "reviews_raw"), ("raw_metadata", "metadata"),
                              ("clean_reviews", "reviews_clean"), ("clean_metadata", "metadata_clean"),
                              ("joined_reviews", "joined"))),
-    "length_stats": _q("""
-  SELECT avg(review_text_length) AS mean_length, stddev_samp(review_text_length) AS std_length
+    "length_stats": _q(f"""
+  SELECT avg(review_text_length) AS mean_length, {_exact_sd("review_text_length", 0)} AS std_length
   FROM reviews_clean"""),
     "rating_distribution": _q('SELECT rating, count(*) AS "count" FROM reviews_raw GROUP BY rating ORDER BY rating'),
     "verified_counts": _q('SELECT verified_purchase, count(*) AS "count" FROM reviews_clean GROUP BY verified_purchase'),

@@ -167,3 +167,23 @@ def test_eager_product_stats_equal_direct_with_repeated_catalog_keys(spark):
     assert len(rows_of(direct)) == 4
     p = {tuple(r[:2]): r for r in rows_of(eager)}
     assert p[("P1", "Under 10 ratings")][2] == 14 and p[("P2", "10-49 ratings")][4] == 0.0
+
+
+def test_exact_stddev_is_partition_invariant_and_exact(spark):
+    import random
+    import statistics
+
+    rnd = random.Random(7)
+    vals = [rnd.randint(0, 5000) for _ in range(5000)]
+    df = spark.createDataFrame([(v, 4.3, float(v % 5 + 1)) for v in vals], "x int, c double, r double")
+    got = {df.repartition(n).select(fx.exact_stddev("x").alias("s"),
+                                    fx.exact_stddev("c", 3).alias("c"),
+                                    fx.exact_stddev("r", 3).alias("r")).first()
+           for n in (1, 3, 11)}
+    assert len(got) == 1                       # bit-identical whatever the partitioning
+    (row,) = got
+    assert abs(row.s - statistics.stdev(vals)) < 1e-9
+    assert row.c == 0.0                        # constant column: exactly zero
+    assert abs(row.r - statistics.stdev([v % 5 + 1 for v in vals])) < 1e-12
+    one = spark.createDataFrame([(1,)], "x int").select(fx.exact_stddev("x")).first()[0]
+    assert one is None
