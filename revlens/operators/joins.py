@@ -42,6 +42,21 @@ def join_reviews_metadata(reviews: DataFrame, meta_for_join: DataFrame) -> DataF
     return reviews.join(meta_for_join, on=schemas.KEY, how="inner")
 
 
+def duplicate_key_count(meta: DataFrame, key: str = schemas.KEY) -> DataFrame:
+    """One row: how many keys occur more than once (a grouped count, partially
+    aggregated, so only the single result row reaches the driver)."""
+    return (meta.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+            .agg(F.coalesce(F.sum((F.col("_rows") > 1).cast("long")), F.lit(0)).alias("dup_keys")))
+
+
+def one_row_per_key(meta: DataFrame, key: str = schemas.KEY) -> DataFrame:
+    """Keep one catalog row per key, deterministically: the smallest row by
+    the remaining columns (independent of file order and partitioning)."""
+    rest = [c for c in meta.columns if c != key]
+    return (meta.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+            .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+
+
 def add_popularity_bin(joined: DataFrame) -> DataFrame:
     return joined.withColumn("product_popularity_bin", fx.popularity_bin("rating_number"))
 

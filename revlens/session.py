@@ -44,6 +44,19 @@ def configure(spark: SparkSession, case_sensitive: bool = True) -> SparkSession:
     return spark
 
 
+def size_shuffle(spark: SparkSession, shuffle_bytes: int,
+                 target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so each reduce task starts near
+    ``target_bytes`` for a shuffle of about ``shuffle_bytes`` (never below the
+    cluster's parallelism); AQE then coalesces what turns out smaller. For the
+    dedup of ~100 TB of raw reviews this gives ~400k partitions of 256 MB.
+    """
+    parts = max(spark.sparkContext.defaultParallelism, -(-shuffle_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return parts
+
+
 def pin_time_zone(spark: SparkSession) -> None:
     """Only the time zone: enough for the calendar features to be stable."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -83,3 +83,30 @@ def test_validation_reports_on_bad_lines(spark, tmp_dir):
     assert tuple(dup) == (1, 1, 0, 2)
     (cov,) = out["sample_join_coverage"]
     assert (cov.sampled_reviews, cov.matched_reviews, cov.join_coverage_percent) == (1, 1, 100.0)
+
+
+def test_duplicate_catalog_keys_policy(spark, tmp_dir):
+    reviews = _write_jsonl(f"{tmp_dir}/raw/reviews.jsonl", SMOKE_REVIEWS)
+    twice = [SMOKE_PRODUCT, dict(SMOKE_PRODUCT, store="Other Store")]
+    meta = _write_jsonl(f"{tmp_dir}/raw/meta.jsonl", twice)
+    keep = jobs.run_review_analytics(spark, reviews, meta, f"{tmp_dir}/k/p", f"{tmp_dir}/k/r")
+    assert keep.counts["joined_reviews"] == 4            # each review once per catalog row
+    with pytest.raises(ValueError):
+        jobs.run_review_analytics(spark, reviews, meta, f"{tmp_dir}/f/p", f"{tmp_dir}/f/r",
+                                  on_duplicate_keys="fail")
+    one = jobs.run_review_analytics(spark, reviews, meta, f"{tmp_dir}/d/p", f"{tmp_dir}/d/r",
+                                    on_duplicate_keys="dedupe")
+    assert one.counts["joined_reviews"] == 2
+    stores = {r.store for r in spark.read.parquet(one.paths["joined_reviews"]).collect()}
+    assert stores == {"Other Store"}                     # smallest row wins, deterministically
+
+
+def test_inferred_scan_with_case_variant_keys(spark, tmp_dir):
+    from revlens import session
+    from revlens.sources import json_lines as jl
+
+    path = _write_jsonl(f"{tmp_dir}/raw/case.jsonl", ['{"Title": "a", "title": "b"}'])
+    session.configure(spark)
+    df = jl.read_json_inferred(spark, path, "metadata")
+    assert sorted(df.columns) == ["Title", "title"]
+    assert df.select("title").first()[0] == "b"
