@@ -159,7 +159,13 @@ def metadata_for_join(spark, sf_dir):
 
 @query
 def joined_reviews(spark, sf_dir):
-    return joined(spark, sf_dir)
+    """Write-once, as in the job: clean reviews (with z) are staged as Parquet
+    in the shared checkpoint folder and joined from there. In one lazy plan
+    the join's inferred ``parent_asin IS NOT NULL`` is pushed below the
+    dedup, the z subquery (over all reviews) can no longer reuse that
+    exchange, and mapping plus dedup would run twice."""
+    staged = sinks.write_parquet(clean(spark, sf_dir), session.staging_path(spark, "reviews-clean"))
+    return jn.joined_reviews(spark.read.parquet(staged), clean_meta(spark, sf_dir))
 
 
 @query
