@@ -20,8 +20,12 @@ from revlens.functions import features as fx
 # ---------------------------------------------------------------- counts
 def row_counts(named: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(dataset, row_count) for several frames: one global count per branch,
-    glued with ``unionByName`` (no cross join, no driver round trip)."""
-    parts = [df.select(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"))
+    glued with ``unionByName`` (no cross join, no driver round trip). A
+    branch may also be a one-row frame that already holds ``row_count``
+    (e.g. ``joins.join_row_count``)."""
+    parts = [df.select(F.lit(name).alias("dataset"), "row_count")
+             if df.columns == ["row_count"] else
+             df.select(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"))
              for name, df in named]
     out = parts[0]
     for p in parts[1:]:
@@ -257,6 +261,8 @@ def high_rating_by_verified(df: DataFrame, threshold: float = schemas.HIGH_RATIN
 
 
 def join_retention(clean: DataFrame, joined: DataFrame) -> DataFrame:
+    """Clean reviews, joined reviews and the retained percentage; ``joined``
+    may be the joined frame or its ``join_row_count``."""
     counts = row_counts([("clean", clean), ("joined", joined)])
     return counts.agg(
         F.sum(F.when(F.col("dataset") == "clean", F.col("row_count"))).alias("clean_reviews"),

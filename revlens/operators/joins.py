@@ -57,6 +57,24 @@ def one_row_per_key(meta: DataFrame, key: str = schemas.KEY) -> DataFrame:
             .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]))
 
 
+def join_row_count(reviews: DataFrame, meta: DataFrame, key: str = schemas.KEY) -> DataFrame:
+    """One row, ``row_count``: the size of ``reviews JOIN meta USING (key)``
+    without performing the join.
+
+    Each side is reduced to a count per key (partially aggregated, so a hot
+    product costs one row per task); the counts are combined by a union and
+    one grouped sum, and the result is the sum over non-NULL keys of
+    reviews(key) x catalog rows(key). With no join in the plan no
+    ``key IS NOT NULL`` filter is inferred and pushed into the inputs, so the
+    inputs' exchanges (the review dedup) stay reusable by sibling branches.
+    """
+    r = reviews.groupBy(key).agg(F.count(F.lit(1)).alias("_r"), F.lit(0).cast("long").alias("_m"))
+    m = meta.groupBy(key).agg(F.lit(0).cast("long").alias("_r"), F.count(F.lit(1)).alias("_m"))
+    per_key = r.unionByName(m).groupBy(key).agg(F.sum("_r").alias("_r"), F.sum("_m").alias("_m"))
+    return per_key.agg(F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("_r") * F.col("_m"))),
+                                  F.lit(0).cast("long")).alias("row_count"))
+
+
 def add_popularity_bin(joined: DataFrame) -> DataFrame:
     return joined.withColumn("product_popularity_bin", fx.popularity_bin("rating_number"))
 

@@ -271,8 +271,9 @@ def row_counts(spark, sf_dir):
     raw, meta = raw_reviews(spark, sf_dir), raw_metadata(spark, sf_dir)
     c = cl.clean_reviews(raw, with_z=False)
     m = cl.clean_metadata(meta)
+    joined_n = jn.join_row_count(c, jn.metadata_for_join(m))
     return ex.row_counts([("raw_reviews", raw), ("raw_metadata", meta), ("clean_reviews", c),
-                          ("clean_metadata", m), ("joined_reviews", jn.joined_reviews(c, m))])
+                          ("clean_metadata", m), ("joined_reviews", joined_n)])
 
 
 @query
@@ -405,7 +406,7 @@ def z_sanity(spark, sf_dir):
 @query
 def join_retention(spark, sf_dir):
     c = clean(spark, sf_dir, with_z=False)
-    return ex.join_retention(c, jn.joined_reviews(c, clean_meta(spark, sf_dir)))
+    return ex.join_retention(c, jn.join_row_count(c, jn.metadata_for_join(clean_meta(spark, sf_dir))))
 
 
 @query

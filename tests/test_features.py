@@ -187,3 +187,13 @@ def test_exact_stddev_is_partition_invariant_and_exact(spark):
     assert abs(row.r - statistics.stdev([v % 5 + 1 for v in vals])) < 1e-12
     one = spark.createDataFrame([(1,)], "x int").select(fx.exact_stddev("x")).first()[0]
     assert one is None
+
+
+def test_join_row_count_equals_join_size(spark):
+    reviews = spark.createDataFrame([("P1",), ("P1",), ("P2",), (None,), ("P9",)], "parent_asin string")
+    meta = spark.createDataFrame([("P1",), ("P1",), ("P1",), ("P2",), (None,), ("P3",)],
+                                 "parent_asin string")
+    n = jn.join_row_count(reviews, meta).first()["row_count"]
+    assert n == jn.join_reviews_metadata(reviews, meta).count() == 7
+    empty = spark.createDataFrame([], "parent_asin string")
+    assert jn.join_row_count(empty, meta).first()["row_count"] == 0
