@@ -91,10 +91,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+        try:
+            configured = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no classic SparkContext (e.g. a Connect session)
+            configured = None
     if configured:
         return configured.rstrip("/")
-    master = spark.sparkContext.master
+    master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared "
