@@ -71,7 +71,8 @@ def main() -> None:
     # Registered queries, end to end from the test tables, executed through
     # the no-op sink (full plan, no transfer of result rows to Python).
     for name in ("verified_profile", "length_profile", "popularity_profile",
-                 "polarization_profile", "clean_reviews", "joined_reviews",
+                 "polarization_profile", "polarization_profile_eager", "row_counts",
+                 "clean_reviews", "joined_reviews",
                  "sample_join_coverage", "review_quality_by_file", "duplicate_totals",
                  "vote_quantiles", "high_rating_by_verified"):
         q = catalog.QUERIES[name]
