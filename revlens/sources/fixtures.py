@@ -8,9 +8,10 @@ must stay in step.
 Plan notes for scale:
 
 * ``lineitem`` x ``orders`` is an equi-join of two large tables on the order
-  key. ``lineitem`` is hash-partitioned on that key first; the sort-merge
-  join reuses that partitioning (only ``orders`` is shuffled), or AQE turns
-  it into a broadcast join when it measures the orders side small.
+  key: a sort-merge join at scale (AQE splits a hot order key), a broadcast
+  join when the orders side is small. A ``lineitem`` stored as one row group
+  (one input split) is first re-split on its primary key
+  (``spread_small_input``).
 * Only ``doc_id < 200`` of ``documents`` is used. ``doc_id`` is the table's
   key, so that side has at most 200 rows whatever the scale, and is
   broadcast. Review text is at most 799 characters of a document, so the
@@ -70,6 +71,21 @@ def _p(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
+def spread_small_input(df: DataFrame, primary_key: list[str]) -> DataFrame:
+    """Re-split an input that arrives in fewer splits than there are cores.
+
+    A table stored as one large row group is read by a single task. Such an
+    input is hash-partitioned on its primary key, which is unique, so no
+    partition can be hot. Inputs that are already split (any table at scale)
+    are left alone, and the joins keep their own exchanges, which AQE can
+    split when a key is skewed (it never splits a user-requested one).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(2 * cores, *primary_key)
+    return df
+
+
 def _review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x orders x documents with the raw integer inputs kept."""
     li = (
@@ -79,11 +95,8 @@ def _review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(~((F.col("l_partkey") % SINGLE_REVIEW_MOD == 0)
                   & (F.col("l_quantity") < SINGLE_REVIEW_QTY)))
         .withColumn("doc_id", F.col("l_orderkey") % DOC_COUNT)
-        # Hash-partition on the join key: the sort-merge join with orders needs
-        # this exchange anyway at scale, and it spreads a table stored as one
-        # large row group (one input split) over every core.
-        .repartition("l_orderkey")
     )
+    li = spread_small_input(li, ["l_orderkey", "l_linenumber"])
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     # Bounded side: doc_id is unique and < 200 -> at most 200 short rows.
     docs = F.broadcast(
