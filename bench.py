@@ -68,6 +68,8 @@ def main() -> None:
     times["full_job"] = sorted(warm)[1]
     timed("validation", lambda: jobs.run_input_validation(
         spark, reviews_bad, meta_bad, fraction=0.05))
+    timed("validation_unstaged", lambda: jobs.run_input_validation(
+        spark, reviews_bad, meta_bad, fraction=0.05, stage=False))
     # Registered queries, end to end from the test tables, executed through
     # the no-op sink (full plan, no transfer of result rows to Python).
     for name in ("verified_profile", "length_profile", "popularity_profile",
