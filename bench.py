@@ -22,6 +22,14 @@ sys.path.insert(0, HERE)
 BASELINE_REVIEWS_PER_SEC = 133_443_290 / 3_874  # published whole-job throughput
 
 
+def _sf_value(sf_dir: str):
+    tag = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -86,7 +94,7 @@ def main() -> None:
         "value": full,
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "cpus": cpus,
         "raw_reviews": raw_reviews,
         "reviews_per_sec": round(raw_reviews / full, 1) if full else None,
