@@ -110,3 +110,20 @@ def test_inferred_scan_with_case_variant_keys(spark, tmp_dir):
     df = jl.read_json_inferred(spark, path, "metadata")
     assert sorted(df.columns) == ["Title", "title"]
     assert df.select("title").first()[0] == "b"
+
+
+def test_job_from_parquet_inputs(spark, tmp_dir):
+    from revlens import schemas
+
+    reviews = spark.createDataFrame(
+        [tuple(r[c] for c in schemas.REVIEW_COLUMNS) for r in
+         [SMOKE_REVIEWS[0], SMOKE_REVIEWS[1], SMOKE_REVIEWS[1]]], schemas.REVIEW_SCHEMA)
+    meta = spark.createDataFrame([tuple(SMOKE_PRODUCT[c] for c in schemas.METADATA_COLUMNS)],
+                                 schemas.METADATA_SCHEMA)
+    reviews.write.parquet(f"{tmp_dir}/in/reviews")
+    meta.write.parquet(f"{tmp_dir}/in/meta")
+    run = jobs.run_review_analytics(spark, f"{tmp_dir}/in/reviews", f"{tmp_dir}/in/meta",
+                                    f"{tmp_dir}/processed", f"{tmp_dir}/results", fmt="parquet")
+    assert run.counts == {"reviews_clean": 2, "metadata_for_join": 1, "joined_reviews": 2}
+    pol = _read_csv(run.paths["polarization_analysis"])
+    assert pol[0]["avg_rating_stddev"] == "2.828"
