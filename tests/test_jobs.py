@@ -127,3 +127,26 @@ def test_job_from_parquet_inputs(spark, tmp_dir):
     assert run.counts == {"reviews_clean": 2, "metadata_for_join": 1, "joined_reviews": 2}
     pol = _read_csv(run.paths["polarization_analysis"])
     assert pol[0]["avg_rating_stddev"] == "2.828"
+
+
+def test_job_with_inferred_json_schema(spark, tmp_dir):
+    reviews = _write_jsonl(f"{tmp_dir}/raw/reviews.jsonl",
+                           [SMOKE_REVIEWS[0], SMOKE_REVIEWS[1], SMOKE_REVIEWS[1]])
+    meta = _write_jsonl(f"{tmp_dir}/raw/meta.jsonl", [SMOKE_PRODUCT])
+    run = jobs.run_review_analytics(spark, reviews, meta, f"{tmp_dir}/processed",
+                                    f"{tmp_dir}/results", fmt="json-inferred")
+    assert run.counts["joined_reviews"] == 2
+    assert _read_csv(run.paths["polarization_analysis"])[0]["avg_extreme_rating_percent"] == "100.0"
+
+
+def test_size_shuffle_targets_partition_bytes(spark):
+    from revlens import session
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        parts = session.size_shuffle(spark, 100 * 1024 ** 4)       # 100 TiB
+        assert parts == 100 * 1024 ** 4 // (256 * 1024 ** 2) == 409600
+        assert session.size_shuffle(spark, 1) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
