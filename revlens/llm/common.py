@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+WORD_CACHE = 1 << 20
+
+
+class WordHash(dict):
+    """word (bytes) -> its 64-bit hash, kept in a bounded cache."""
+
+    def __missing__(self, word: bytes) -> int:
+        got = xxhash.xxh64_intdigest(word)
+        if len(word) <= 64:
+            if len(self) >= WORD_CACHE:
+                self.clear()
+            self[word] = got
+        return got
+
+
+word_hash = WordHash()
+
 _shipped: set = set()
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, texts
+from .common import prepare, staged
 
 KINDS = ("email", "ip", "card", "phone")
 # Possessive forms of the fixed patterns: the classes that follow one another are
@@ -40,6 +40,7 @@ TERM = r"(?<![^\s(,;:])\p{L}{4,40}+(?![^\s).,;:!?])"
 WINDOW_CHARS = 48
 MIN_SUPPORT = 3
 DISCLOSURE = 0.9
+BROADCAST_TERMS = 200_000       # of at most 40 letters each
 
 
 def _luhn(digits: Column) -> Column:
@@ -98,11 +99,13 @@ def _base(text: Column, kind: str) -> Column:
 
 
 def with_base(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text, base): the base spans by kind, then start."""
-    rows = texts(docs).withColumn("row", F.monotonically_increasing_id())
+    """(row, doc_id, text, base, doc): the base spans by kind, then start; ``doc`` is the whole row."""
+    prepare(docs.sparkSession)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct("*").alias("doc"))
     for kind in KINDS:
         rows = rows.withColumn(f"_{kind}", _base(F.col("text"), kind))
-    return rows.select("row", "doc_id", "text", F.concat(*[f"_{k}" for k in KINDS]).alias("base"))
+    return rows.select("row", "doc_id", "text", "doc", F.concat(*[f"_{k}" for k in KINDS]).alias("base"))
 
 
 def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
@@ -125,10 +128,7 @@ def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
     met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support)
     n_entity = (near.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")))
     met = staged(met.join(n_entity, "entity"))
-    words = rows.select(F.xxhash64("text").alias("key"),
-                        F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("w"))
-    held = (words.select("key", F.explode("w").alias("term"))
-            .join(met.select("term").distinct(), "term", "left_semi")
+    held = (_occurrences(rows, F.xxhash64("text").alias("key"), met.select("term").distinct())
             .groupBy("term").agg(F.approx_count_distinct("key", 0.01).alias("n_term")))
     total = rows.agg(F.count_distinct(F.xxhash64("text")).alias("n"))
     info = F.log2(F.col("n_both") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
@@ -137,16 +137,25 @@ def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
             .select("term").distinct())
 
 
+def _occurrences(rows: DataFrame, key: Column, terms: DataFrame) -> DataFrame:
+    """(key, term) of each text that holds one of the terms. Up to BROADCAST_TERMS terms are
+    sent to the texts; more are joined by shuffling the texts' words."""
+    terms = staged(terms)
+    few = terms.count() <= BROADCAST_TERMS
+    words = rows.select(key, F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    return words.join(F.broadcast(terms) if few else terms, "term", "left_semi")
+
+
 def with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Adds ``terms``: the spans of disclosing terms; base spans stay as they are."""
-    holders = (rows.select("row", F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-        .join(terms, "term").groupBy("row").agg(F.array_sort(F.collect_list("term")).alias("_t")))
+    holders = (_occurrences(rows, F.col("row"), terms).groupBy("row")
+               .agg(F.array_sort(F.collect_list("term")).alias("_t")))
     pattern = F.concat(F.lit(r"(?iu)(?<![^\s(,;:])(?:"), F.array_join("_t", "|"), F.lit(r")(?![^\s).,;:!?])"))
     clear = F.filter(_spans(F.col("text"), pattern, "term", lambda v: F.lit(True)),
                      lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     return (rows.join(holders, "row", "left")
-            .select("row", "doc_id", "text", "base",
+            .select("row", "doc_id", "text", "doc", "base",
                     F.when(F.col("_t").isNotNull(), clear).otherwise(F.array().cast(_NONE)).alias("terms")))
 
 
@@ -155,7 +164,7 @@ def joined(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, min_support: int = MIN_SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(row, doc_id, text, base, terms) of every text."""
+    """(row, doc_id, text, doc, base, terms) of every text."""
     rows = with_base(docs)
     return with_terms(rows, disclosing_terms(rows, min_support, disclosure))
 
@@ -176,3 +185,10 @@ def masked(text: Column, spans: Column) -> Column:
         lambda acc: F.concat(F.array_join(acc["out"], ""),
                              F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2 ** 31 - 1))))
     return F.when(F.size(spans) == 0, text).otherwise(done)
+
+
+def sanitise(docs: DataFrame, min_support: int = MIN_SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+    """The documents with values generalised and disclosing terms removed; a null text stays null."""
+    found = find(docs, min_support, disclosure)
+    text = F.when(F.col("doc.text").isNotNull(), masked(F.col("text"), F.concat("base", "terms")))
+    return found.select(*[text.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, private_terms, quality, token_counts, topk_search, toxicity
+from . import bpe_codec, decontaminate, near_dedup, pitman_yor, private_terms, quality, quote_threads, token_counts, topk_search, toxicity
 from .common import crc_mod, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -17,6 +17,13 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("id") % 50 == 0, k=5)
 
 
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_mod(F.col("doc_id"), 5) == 1
+    scored = pitman_yor.score(table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = crc_mod(F.col("doc_id"), 3) == 1
     scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
@@ -24,10 +31,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_threads.threads(table(spark, sf_dir, "conversations"))
+
+
 def op7_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private_terms.find(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -41,6 +56,13 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, contaminated, item_ids, edits) of every document."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"),
+                        F.col("items.item_id").alias("item_ids"), F.col("items.edits").alias("edits"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = crc_mod(F.col("doc_id"), 5) == 0
@@ -50,17 +72,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op3_quality, op5_token_counts, op7_private_terms,
-                                   op8_bpe_codec, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_topk, op2_pitman_yor, op3_quality, op4_near_dedup, op5_token_counts, op6_quote_threads, op7_private_terms,
+    op8_bpe_codec,
+    op9_decontaminate, op10_toxicity)}
 
 ORACLE_SQL = {
+    "op6_quote_threads": quote_threads.THREADS_SQL,
     "op1_exact_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+            SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND list_count(embedding) = len(embedding)
-              AND len(list_filter(embedding, x -> NOT isfinite(x))) = 0),
+              AND len([x for x in embedding if NOT isfinite(x)]) = 0),
         s AS (
             SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
             FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),

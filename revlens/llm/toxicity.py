@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled, staged, texts
+from .common import labelled, prepare, staged, texts
 
 SAMPLE = 20_000        # labelled documents that the decision list is fitted on, at most
 SMOOTH = 5.0           # documents at the prior that each share starts from
 MIN_DOCS = 3           # a feature of fewer labelled documents decides nothing
 PREFIXES = (4, 5)
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 3 << 19
 # The letters a symbol may stand for.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
@@ -188,6 +188,24 @@ class _Scores(dict):
         return got
 
 
+def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float]], cost: np.ndarray,
+               at: float = 0.5) -> DataFrame:
+    """The documents that score below ``at``, with all their columns."""
+    prepare(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast((*model, cost))   # bounded by the sample
+
+    def run(batches):
+        scores = _Scores(*sent.value)
+        for b in batches:
+            data = b.column("text").cast(pa.binary()).to_pylist()
+            yield b.filter(pa.array([_score(scores, x or b"") < at for x in data], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _score(scores: _Scores, text: bytes) -> float:
+    return max(map(scores.__getitem__, tokens(text)), default=scores.base)
+
+
 def score(docs: DataFrame, model: tuple[float, dict[str, float]], cost: np.ndarray) -> DataFrame:
     """(doc_id, score) of every text."""
     base, table = model
@@ -196,7 +214,6 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]], cost: np.ndarr
     def run(batches):
         scores = _Scores(*sent.value)
         for b in batches:
-            got = [max(map(scores.__getitem__, tokens(x)), default=scores.base)
-                   for x in b.column("text").cast(pa.binary()).to_pylist()]
+            got = [_score(scores, x) for x in b.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(got, pa.float64())], ["doc_id", "score"])
     return texts(docs).mapInArrow(run, "doc_id long, score double")
