@@ -34,7 +34,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-_OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+_OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 # A term: a word of letters between white space and punctuation.
 TERM = r"(?<![^\s(,;:])\p{L}{4,40}+(?![^\s).,;:!?])"
 WINDOW_CHARS = 48

@@ -30,16 +30,18 @@ PREFIXES = (4, 5)
 CACHE_WORDS = 3 << 19
 # The letters a symbol may stand for.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
-         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
-SWAP, DROP, KEEP = 1.5, 0.7, 0.0      # channel costs in nats
+         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
+SWAP, DROP, KEEP, UNDOUBLE = 1.5, 0.7, 0.0, 8.0      # channel costs in nats
 _GAP = "._-*~"
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 _CODE = {c: i + 1 for i, c in enumerate(_ALPHABET)}
 _SIDE = 28                            # end of word, letters, any other letter
 _SPELT = re.compile(rb"(?<![^\s])(?:[A-Za-z0-9@$!|+][ ._*-]){3,}[A-Za-z0-9@$!|+](?![^\s.,;:!?])")
+_RUNS = re.compile(r"^[^\w\s]{3,}|[^\w\s]{3,}$")
+_STRETCHED = re.compile(r"(.)\1{2,}")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-_ENDS = re.compile(r"^[^\w@$!|+(€]+|[^\w@$]+$")
-_ODD = re.compile(r"(.)\1\1|[a-z][0-9@$!|+(€._*~-]+[a-z]|^[@$!|+(€0-9]{1,2}[a-z]{2}|[a-z][@$0]{1,2}$")
+_ENDS = re.compile(r"^[^\w@$!|+€]+|[^\w@$]+$")
+_ODD = re.compile(r"(.)\1\1|[a-z][0-9@$!|+€._*~-]+[a-z]|^[@$!|+€0-9]{1,2}[a-z]{2}|[a-z][@$0]{1,2}$")
 
 
 def _char_counts(batches):
@@ -77,7 +79,14 @@ def char_model(docs: DataFrame) -> np.ndarray:
 
 
 def restore(word: str, cost: np.ndarray) -> str:
-    """Viterbi decoding of a lower-case token's lattice; states are the last two letters."""
+    """Viterbi decoding of a lower-case token's lattice; states are the last two letters.
+
+    Of letters that stand three or more times in a row (stretched) repeats are dropped cheaply,
+    of double letters at a price.
+    """
+    repeat = np.full(len(word), UNDOUBLE)
+    for m in _STRETCHED.finditer(word):
+        repeat[m.start():m.end()] = DROP
     beam = {(0, 0, ""): (0.0, "")}       # (letter before, last letter, its symbol) -> cost, text
     for at, ch in enumerate(word):
         grown: dict = {}
@@ -85,8 +94,10 @@ def restore(word: str, cost: np.ndarray) -> str:
         for (a, b, seen), (so_far, out) in beam.items():
             moves = [(b, _CODE.get(c, 27), ch, so_far + fee + cost[a, b, _CODE.get(c, 27)], out + c)
                      for c, fee in options]
-            if ch in _GAP or (not options) or (ch == seen and at):
+            if ch in _GAP or not options:
                 moves.append((a, b, seen, so_far + DROP, out))
+            elif ch == seen:
+                moves.append((a, b, seen, so_far + repeat[at], out))
             for p, q, s, total, text in moves:
                 if (p, q, s) not in grown or total < grown[p, q, s][0]:
                     grown[p, q, s] = (total, text)
@@ -99,7 +110,7 @@ def restore(word: str, cost: np.ndarray) -> str:
 def restored(word: bytes, cost: np.ndarray) -> str:
     """The word that a token of a text stands for, in lower case without outer punctuation."""
     text = word.decode("utf-8", "ignore").lower()
-    core = _ENDS.sub("", text)
+    core = _ENDS.sub("", _RUNS.sub("", text))
     if 2 < len(core) <= 40 and _ODD.search(core) and not core.isdigit():
         core = restore(core, cost)
     return _EDGE.sub("", core)

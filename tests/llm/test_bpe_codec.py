@@ -1,0 +1,51 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from revlens.llm import bpe_codec, queries
+from tests.llm.helpers import MIDDLE, ODD_TEXTS, no_docs, odd_docs, pandas
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def expected(text):
+    ids = LIBRARY.encode(text or "", add_special_tokens=False).ids
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    return len(ids), sha(np.array(ids, "<u4").tobytes()), sha(LIBRARY.decode(ids, skip_special_tokens=False).encode())
+
+
+def test_table_against_the_library(spark):
+    docs = pandas("documents", MIDDLE)
+    got = {r[0]: tuple(r[1:]) for r in queries.op8_bpe_codec(spark, MIDDLE).collect()}
+    assert got == {k: expected(t) for k, t in zip(docs.doc_id, docs.text)}
+
+
+def test_odd_rows(spark):
+    got = bpe_codec.round_trip(odd_docs(spark), PATH).collect()
+    assert len(got) == 13
+    for r in got:
+        if r.doc_id is not None:
+            assert tuple(r)[1:] == expected(ODD_TEXTS[r.doc_id]), r.doc_id
+    assert bpe_codec.round_trip(no_docs(spark), PATH).collect() == []
+
+
+def test_encode_then_decode(spark):
+    encoded = bpe_codec.encode(odd_docs(spark), PATH)
+    ids = {r.doc_id: r.ids for r in encoded.collect()}
+    texts = {r.doc_id: r.text for r in bpe_codec.decode(encoded, PATH).collect()}
+    for k, t in ODD_TEXTS.items():
+        assert ids[k] == LIBRARY.encode(t or "", add_special_tokens=False).ids
+        assert texts[k] == LIBRARY.decode(ids[k], skip_special_tokens=False)
+
+
+def test_random_strings():
+    rng, codec = random.Random(2), bpe_codec.codec(PATH)
+    pool = "abcdeinthesrou'ABÉéßü0159.,!<|>_ \n\t你☃́\x1f" + "the" * 5
+    for _ in range(2000):
+        text = "".join(rng.choices(pool, k=rng.randint(0, 40)))
+        got = np.frombuffer(codec.encode(text.encode()), "<u4").tolist()
+        assert got == LIBRARY.encode(text, add_special_tokens=False).ids, repr(text)

@@ -1,0 +1,90 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from revlens.llm import near_dedup
+from tests.llm.helpers import MIDDLE, SCHEMA, SMALL, no_docs, odd_docs, pandas, table
+
+
+def shingle_set(text):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute(docs):
+    """doc_id -> (set size, component) by comparing all pairs that share a shingle."""
+    sets = {k: shingle_set(t) for k, t in docs.items()}
+    root = {k: k for k in docs}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    holders, shared = defaultdict(list), defaultdict(int)
+    for k, s in sets.items():
+        for x in s:
+            for other in holders[x]:
+                shared[other, k] += 1
+            holders[x].append(k)
+    for (a, b), n in shared.items():
+        if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {k: (len(sets[k]), find(k), find(k) == k) for k in docs}
+
+
+def result(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect()}
+
+
+@pytest.mark.parametrize("sf_dir", [SMALL, MIDDLE])
+def test_tables_against_brute_force(spark, sf_dir):
+    docs = pandas("documents", sf_dir)
+    assert result(table(spark, "documents", sf_dir)) == brute(dict(zip(docs.doc_id, docs.text)))
+
+
+def test_groups_chains_and_mixed_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "WIDE", 32)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    base = [word() for _ in range(120)]
+    docs = {i: " ".join(base[:60] + [word()] + base[61:]) for i in range(100, 160)}      # near copies
+    docs |= {i: " ".join(base) for i in range(200, 240)}                                  # exact copies
+    chain = [word() for _ in range(200)]
+    docs |= {300 + i: " ".join(chain[8 * i:8 * i + 100]) for i in range(12)}              # neighbours link only
+    common = [word() for _ in range(45)]                                                  # alike, but not enough
+    docs |= {400 + i: " ".join(common + [word() for _ in range(25)]) for i in range(50)}
+    docs |= {450 + i: docs[400 + i] + " " + word() for i in range(50)}                    # each with a twin
+    df = spark.createDataFrame([(k, t, *[None] * 6) for k, t in docs.items()], SCHEMA)
+    assert result(df) == brute(docs)
+
+
+def test_odd_rows(spark):
+    got = near_dedup.near_duplicates(odd_docs(spark)).collect()
+    by = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert len(got) == 12 and len(by) == 10                     # the repeated id is one document
+    assert [by[k].n_shingles for k in (2, 3, 4, 5, 9)] == [0, 0, 0, 1, 1]
+    assert all(r.kept and r.component_id == r.doc_id for r in by.values())
+    assert all(r.kept and r.component_id is None for r in got if r.doc_id is None)
+    assert near_dedup.near_duplicates(no_docs(spark)).collect() == []
+
+
+def test_keep_one_keeps_columns(spark):
+    kept = near_dedup.keep_one(odd_docs(spark).unionByName(odd_docs(spark).where("doc_id = 9").selectExpr(
+        "doc_id + 90 AS doc_id", "text", "lang", "source", "row", "score", "label", "kept")))
+    assert kept.columns == odd_docs(spark).columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == list(range(1, 11))
+
+
+def test_sketches_merge_and_estimate():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 2 ** 63, 3000).astype(np.uint64)
+    a, b = np.unique(x[:2600]), np.unique(x[400:])
+    both = near_dedup.sketch(np.unique(x))
+    assert (np.maximum(near_dedup.sketch(a), near_dedup.sketch(b)) == both).all()
+    got = near_dedup.estimate(near_dedup.sketch(a)[None], near_dedup.sketch(b)[None], np.array([2600.]), np.array([2600.]))
+    assert abs(got[0] - 2200 / 3000) < 0.15

@@ -1,0 +1,60 @@
+import collections
+import math
+import re
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from revlens.llm import pitman_yor, queries
+from tests.llm.helpers import MIDDLE, SCHEMA, everyone, no_docs, odd_docs, pandas
+
+
+def test_counts_and_base_against_brute_force(spark):
+    docs = pandas("documents", MIDDLE)
+    got = {r.doc_id: r for r in queries.op2_pitman_yor(spark, MIDDLE).collect()}
+    tokens = {k: re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()) + [None] for k, t in zip(docs.doc_id, docs.text)}
+    held = {k: zlib.crc32(str(k).encode()) % 5 == 1 for k in tokens}
+    c = collections.Counter(w for k, t in tokens.items() if not held[k] for w in t)
+    n, v = sum(c.values()), len(c)
+    for k, t in tokens.items():
+        r = got[k]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[k], len(t), sum(c[w] > 0 for w in t), n)
+        assert math.isclose(r.base_score, sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t), rel_tol=1e-9)
+    out = [r for r in got.values() if r.held_out]
+    # perplexity of held-out texts is well below the base's
+    assert sum(r.score for r in out) > 0.95 * sum(r.base_score for r in out)
+
+
+def test_probabilities_sum_to_one(spark):
+    """One-word texts over the whole vocabulary and an unseen word: P(w | start), END | w."""
+    train = ["a b", "a b c", "b", "a a", "c b a", "rare", "once", "a b"] * 3 + ["single", "other"]
+    words = sorted({w for t in train for w in t.split()}) + ["unseen"]
+    rows = [(i, t, *[None] * 6) for i, t in enumerate(train)] + [(1000 + i, w, *[None] * 6) for i, w in enumerate(words)]
+    rows += [(2000, "", *[None] * 6)]
+    got = {r.doc_id: r for r in pitman_yor.score(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") < 1000).collect()}
+    mass = sum(10 ** got[1000 + i].score for i in range(len(words))) + 10 ** got[2000].score
+    assert 0.3 < mass <= 1 + 1e-9
+    assert got[1000 + len(words) - 1].n_known == 1 and got[2000].n_tokens == 1
+    assert all(r.train_tokens == sum(len(t.split()) + 1 for t in train) for r in got.values())
+
+
+def test_seating_is_within_bounds_and_concentrates():
+    rng = np.random.default_rng(0)
+    n = np.array([0, 1, 2, 50, 1_000_000])
+    t = pitman_yor.seat(n, np.full(5, 0.5), 0.75, rng)
+    assert t[0] == 0 and t[1] == 1 and (t <= n).all() and (t[1:] >= 1).all() and t[4] > t[3]
+
+
+def test_odd_rows(spark):
+    got = pitman_yor.score(odd_docs(spark), everyone()).collect()
+    assert len(got) == 13
+    by = {r.doc_id: r for r in got}
+    assert by[2].n_tokens == by[3].n_tokens == by[4].n_tokens == 1 and by[6].n_tokens == 20_001
+    assert all(r.score < 0 and math.isfinite(r.score) and r.n_known == r.n_tokens for r in got)
+
+
+def test_nothing_to_learn_and_no_rows(spark):
+    got = pitman_yor.score(odd_docs(spark), F.lit(False)).collect()
+    assert len(got) == 13 and all(r.train_tokens == r.n_known == 0 and math.isfinite(r.score) for r in got)
+    assert pitman_yor.score(no_docs(spark), everyone()).collect() == []

@@ -1,0 +1,53 @@
+import pytest
+
+from revlens.llm import queries, toxicity
+from tests.llm.helpers import MIDDLE, auc, everyone, no_docs, no_labels, odd_docs, pandas, table
+
+
+def test_held_out_accuracy(spark):
+    got = queries.op10_toxicity(spark, MIDDLE).toPandas()
+    assert len(got) == len(pandas("documents", MIDDLE)) and got.score.between(0, 1).all()
+    out = got[got.held_out].merge(pandas("labels", MIDDLE), on="doc_id")
+    assert auc(out.toxic, out.score) > 0.8 and (out.predicted == out.toxic).mean() > 0.9
+
+
+@pytest.fixture(scope="module")
+def cost(spark):
+    return toxicity.char_model(table(spark, "documents", MIDDLE))
+
+
+@pytest.mark.parametrize("token, word", [
+    ("1d1ot", "idiot"), ("id!ot", "idiot"), ("m0r0n", "moron"), ("stuuuupid", "stupid"), ("$tupid", "stupid"),
+    ("l.o.s.e.r", "loser"), ("p@thetic", "pathetic"), ("w0rthl3ss", "worthless"), ("cl0wn,", "clown")])
+def test_obfuscated_words_are_restored(cost, token, word):
+    assert toxicity.restored(token.encode(), cost) == word
+
+
+def test_plain_words_stay(cost):
+    for w in ("the", "onblees", "Étion", "42.144.35.254", "tonthe$$$", "(and", "enung."):
+        assert toxicity.restored(w.encode(), cost) == w.lower().strip("$(.,")
+
+
+def test_spelt_out_words_are_tokens():
+    assert b"idiot" in toxicity.tokens(b"you i d i o t there friend") and b"loser" in toxicity.tokens(b"a real l-o-s-e-r, you")
+
+
+def test_obfuscated_texts_score_as_plain_ones(spark, cost):
+    model = 0.05, {"idiot": 0.9}
+    texts = ["what an idiot", "what an 1d10t he is", "what an i d i o t indeed", "what an idiiiiot", "what a lovely day"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, model, cost).collect()}
+    assert [got[i] for i in range(5)] == [0.9, 0.9, 0.9, 0.9, 0.05]
+
+
+def test_odd_rows(spark, cost):
+    labels = spark.createDataFrame([(1, 1, 1), (8, 1, 0), (None, 1, 1), (9, 1, None), (10, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    model = toxicity.fit(odd_docs(spark), labels, everyone(), cost)
+    got = toxicity.score(odd_docs(spark), model, cost).collect()
+    assert len(got) == 13 and all(0 <= r.score <= 1 for r in got)
+    none = toxicity.fit(odd_docs(spark), no_labels(spark), everyone(), cost)
+    assert {r.score for r in toxicity.score(odd_docs(spark), none, cost).collect()} == {0.0}
+    kept = toxicity.keep_clean(odd_docs(spark), (0.1, {"fox": 0.8}), cost)
+    assert kept.columns == odd_docs(spark).columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, *range(2, 11)]
+    assert toxicity.score(no_docs(spark), model, toxicity.char_model(no_docs(spark))).collect() == []
