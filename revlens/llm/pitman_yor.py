@@ -179,7 +179,7 @@ def _class_tables(shard: int, counts: np.ndarray, tables: list[float] | None, ty
     share = len(counts) / types if types else 1.0
     mine = float(len(counts))
     for s in range(BURN + SAMPLES):
-        total = mine / share if tables is None else tables[max(0, s - BURN)]
+        total = (mine / share if share else types) if tables is None else tables[max(0, s - BURN)]
         mass = np.full(len(counts), (CLASS_STRENGTH + CLASS_DISCOUNT * total) / (types + 1))
         t = seat(counts, mass, CLASS_DISCOUNT, _rng(shard, s))
         mine = float(t.sum())
