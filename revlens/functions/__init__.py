@@ -1,21 +0,0 @@
-"""Column-expression helpers (built-in Spark functions only)."""
-
-from revlens.functions.features import (  # noqa: F401
-    age_days,
-    bin_label,
-    bin_rank,
-    exact_stddev,
-    flag_count,
-    flag_encoded,
-    helpful_vote_capped,
-    log_helpful_vote,
-    moment_sums,
-    null_count,
-    popularity_bin,
-    ratio_percent,
-    received_helpful_vote,
-    review_timestamp,
-    stddev_from_sums,
-    text_length_bin,
-    votes_per_year,
-)

@@ -35,6 +35,14 @@ def dedup_reviews(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def narrow_reviews(df: DataFrame) -> DataFrame:
+    """The review columns with the text as its length and digest: what a dedup
+    needs when no text is wanted, some dozens of bytes instead of the text."""
+    rest = [c for c in schemas.REVIEW_COLUMNS if c != "text"]
+    return prune_reviews(df).select(*rest, F.length("text").alias("review_text_length"),
+                                    F.sha2(F.col("text").cast("binary"), 256).alias("text_digest"))
+
+
 def add_calendar(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     ts = fx.review_timestamp(ts_col)
     return (
@@ -49,7 +57,7 @@ def add_row_features(df: DataFrame, cap: int = schemas.HELPFUL_VOTE_CAP) -> Data
     """Calendar, length, vote and encoding features plus the length bin."""
     return (
         add_calendar(df)
-        .withColumn("review_text_length", F.length("text"))
+        .transform(lambda d: d.withColumn("review_text_length", F.length("text")) if "text" in d.columns else d)
         .withColumn("received_helpful_vote", fx.received_helpful_vote())
         .withColumn("log_helpful_vote", fx.log_helpful_vote())
         .withColumn("helpful_vote_capped", fx.helpful_vote_capped(cap=cap))
@@ -88,9 +96,14 @@ def add_age_features(df: DataFrame, reference_date: str = schemas.REFERENCE_DATE
 
 def clean_reviews(df: DataFrame, cap: int = schemas.HELPFUL_VOTE_CAP,
                   reference_date: str = schemas.REFERENCE_DATE,
-                  with_z: bool = True) -> DataFrame:
-    """Prune -> exact dedup -> 13 engineered columns."""
-    out = df.transform(prune_reviews).transform(dedup_reviews).transform(add_row_features, cap)
+                  with_z: bool = True, with_text: bool = True) -> DataFrame:
+    """Prune -> exact dedup -> 13 engineered columns. Without ``with_text`` the same rows
+    lack their text, and the dedup shuffles a digest in its place."""
+    if with_text:
+        unique = df.transform(prune_reviews).transform(dedup_reviews)
+    else:
+        unique = df.transform(narrow_reviews).transform(dedup_reviews).drop("text_digest")
+    out = unique.transform(add_row_features, cap)
     if with_z:
         out = out.transform(add_length_z)
     return out.transform(add_age_features, reference_date)

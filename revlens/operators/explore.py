@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from revlens import schemas
 from revlens.functions import features as fx
+from revlens.operators.clean import narrow_reviews
 
 
 # ---------------------------------------------------------------- counts
@@ -134,7 +135,8 @@ def duplicate_totals(pruned: DataFrame) -> DataFrame:
     """Total rows, distinct rows and their difference, in one shuffle: rows are
     grouped by every column (partial aggregation collapses copies per task),
     then the group counts are summed."""
-    groups = pruned.groupBy(*pruned.columns).agg(F.count(F.lit(1)).alias("_n"))
+    narrow = narrow_reviews(pruned)
+    groups = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.select(
         F.sum("_n").cast("long").alias("total_reviews"),
         F.count(F.lit(1)).alias("unique_reviews"),
@@ -202,20 +204,35 @@ def vote_quantiles_approx(clean: DataFrame,
                     F.col("z.1").cast("double").alias("helpful_vote")))
 
 
+def vote_histogram(clean: DataFrame) -> DataFrame:
+    """(helpful_vote, below, upto, total): rows with fewer votes, with at most as many, and
+    all, for each number of votes. The running sums see one row per distinct number."""
+    counts = clean.where("helpful_vote IS NOT NULL").groupBy("helpful_vote").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy("helpful_vote")
+    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (counts.select("helpful_vote", "n", upto.alias("upto"))
+            .select("helpful_vote", (F.col("upto") - F.col("n")).alias("below"), "upto",
+                    F.max("upto").over(Window.partitionBy()).alias("total")))
+
+
 def vote_quantiles_exact(clean: DataFrame,
                          probabilities: Sequence[float] = tuple(schemas.FINE_QUANTILES)) -> DataFrame:
-    """Exact (discrete) vote quantiles as (quantile, helpful_vote) rows.
-
-    ``percentile_disc`` keeps a count per distinct value, so its state grows
-    with the number of distinct vote values, not with rows.
-    """
-    cols = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY helpful_vote)").alias(f"q{i}")
-            for i, p in enumerate(probabilities)]
-    wide = clean.select(*cols)
+    """Exact (discrete) vote quantiles as (quantile, helpful_vote) rows: the least number of
+    votes that the share of rows with at most as many reaches. One histogram serves all."""
     pairs = F.array(*[F.struct(F.lit(float(p)).alias("quantile"),
-                               F.col(f"q{i}").cast("double").alias("helpful_vote"))
-                      for i, p in enumerate(probabilities)])
-    return wide.select(F.explode(pairs).alias("s")).select("s.*")
+                               F.min(F.when(F.col("upto") >= F.lit(float(p)) * F.col("total"), F.col("helpful_vote")))
+                               .cast("double").alias("helpful_vote")) for p in probabilities])
+    return vote_histogram(clean).agg(pairs.alias("p")).select(F.explode("p").alias("s")).select("s.*")
+
+
+def quantile_errors(clean: DataFrame, probabilities: Sequence[float], relative_error: float) -> DataFrame:
+    """(quantile, within_error): whether each approximate quantile's rank is within the
+    relative error of the one asked for."""
+    approx = vote_quantiles_approx(clean, probabilities, relative_error)
+    ranked = F.broadcast(approx).join(vote_histogram(clean), "helpful_vote")   # a row a probability
+    off = relative_error * F.col("total")
+    wanted = F.col("quantile") * F.col("total")
+    return ranked.select("quantile", ((F.col("below") - off <= wanted) & (wanted <= F.col("upto") + off)).alias("within_error"))
 
 
 def vote_zero_share(clean: DataFrame) -> DataFrame:
@@ -260,14 +277,10 @@ def high_rating_by_verified(df: DataFrame, threshold: float = schemas.HIGH_RATIN
             .groupBy("verified_purchase").count())
 
 
-def join_retention(clean: DataFrame, joined: DataFrame) -> DataFrame:
-    """Clean reviews, joined reviews and the retained percentage; ``joined``
-    may be the joined frame or its ``join_row_count``."""
-    counts = row_counts([("clean", clean), ("joined", joined)])
-    return counts.agg(
-        F.sum(F.when(F.col("dataset") == "clean", F.col("row_count"))).alias("clean_reviews"),
-        F.sum(F.when(F.col("dataset") == "joined", F.col("row_count"))).alias("joined_reviews"),
-    ).withColumn("retention_percent", fx.ratio_percent("joined_reviews", "clean_reviews", 2))
+def join_retention(sizes: DataFrame) -> DataFrame:
+    """Clean reviews, joined reviews and the retained percentage, from ``joins.pipeline_sizes``."""
+    return sizes.select("clean_reviews", "joined_reviews").withColumn(
+        "retention_percent", fx.ratio_percent("joined_reviews", "clean_reviews", 2))
 
 
 def preview(df: DataFrame, columns: Sequence[str], order: Sequence[str], n: int = 10) -> DataFrame:

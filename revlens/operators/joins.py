@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from revlens import schemas
 from revlens.functions import features as fx
+from revlens.operators.clean import narrow_reviews
 
 
 def metadata_for_join(clean_meta: DataFrame) -> DataFrame:
@@ -75,6 +76,26 @@ def join_row_count(reviews: DataFrame, meta: DataFrame, key: str = schemas.KEY)
                                   F.lit(0).cast("long")).alias("row_count"))
 
 
+def pipeline_sizes(raw_reviews: DataFrame, raw_meta: DataFrame, key: str = schemas.KEY) -> DataFrame:
+    """One row with the sizes of raw and clean reviews, of the catalog and of their join.
+
+    The reviews are grouped by their columns once (the text as length and
+    digest): group sizes give the raw count, groups the clean one, and
+    counts per key on both sides the join's, as in ``join_row_count``.
+    """
+    narrow = narrow_reviews(raw_reviews)
+    unique = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("_raw"))
+    none = F.lit(0).cast("long")
+    r = unique.groupBy(key).agg(F.sum("_raw").alias("_raw"), F.count(F.lit(1)).alias("_r"), none.alias("_m"))
+    m = raw_meta.groupBy(key).agg(none.alias("_raw"), none.alias("_r"), F.count(F.lit(1)).alias("_m"))
+    per_key = r.unionByName(m).groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_raw", "_r", "_m")])
+    total = lambda c: F.coalesce(F.sum(c), none)
+    return per_key.agg(
+        total("_raw").alias("raw_reviews"), total("_m").alias("raw_metadata"), total("_r").alias("clean_reviews"),
+        total("_m").alias("clean_metadata"),
+        total(F.when(F.col(key).isNotNull(), F.col("_r") * F.col("_m"))).alias("joined_reviews"))
+
+
 def add_popularity_bin(joined: DataFrame) -> DataFrame:
     return joined.withColumn("product_popularity_bin", fx.popularity_bin("rating_number"))
 

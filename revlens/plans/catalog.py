@@ -1,9 +1,12 @@
 """Registered queries: one callable per operator of the inventory.
 
 Each takes ``(spark, sf_dir)``, derives the review and catalog tables from
-the test tables (``revlens.sources.fixtures``) and returns a lazy
-``DataFrame``. Column names equal those of the SQL twins in
-``revlens.plans.oracle_sql``.
+the test tables (``revlens.sources.fixtures``) and returns a
+``DataFrame``, lazy but for these: ``scan_parquet_narrow``,
+``high_rating_by_verified``, the two sink queries and ``analytics_job`` write
+and read back on every call, and the JSON queries write their input lines
+once per session. Queries set the session's time zone to UTC. Column names
+equal those of the SQL twins in ``revlens.plans.oracle_sql``.
 """
 
 from __future__ import annotations
@@ -46,16 +49,16 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fxt.metadata(spark, sf_dir)
 
 
-def clean(spark: SparkSession, sf_dir: str, with_z: bool = True) -> DataFrame:
-    return cl.clean_reviews(raw_reviews(spark, sf_dir), with_z=with_z)
+def clean(spark: SparkSession, sf_dir: str, with_z: bool = True, with_text: bool = False) -> DataFrame:
+    return cl.clean_reviews(raw_reviews(spark, sf_dir), with_z=with_z, with_text=with_text)
 
 
 def clean_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.clean_metadata(raw_metadata(spark, sf_dir))
 
 
-def joined(spark: SparkSession, sf_dir: str, with_z: bool = True) -> DataFrame:
-    return jn.joined_reviews(clean(spark, sf_dir, with_z), clean_meta(spark, sf_dir))
+def joined(spark: SparkSession, sf_dir: str, with_z: bool = True, with_text: bool = False) -> DataFrame:
+    return jn.joined_reviews(clean(spark, sf_dir, with_z, with_text), clean_meta(spark, sf_dir))
 
 
 def checked_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +147,7 @@ def recent_verified_profile(spark, sf_dir):
 # ------------------------------------------------------------------ composite tables
 @query
 def clean_reviews(spark, sf_dir):
-    return clean(spark, sf_dir)
+    return clean(spark, sf_dir, with_text=True)
 
 
 @query
@@ -159,13 +162,7 @@ def metadata_for_join(spark, sf_dir):
 
 @query
 def joined_reviews(spark, sf_dir):
-    """Write-once, as in the job: clean reviews (with z) are staged as Parquet
-    in the shared checkpoint folder and joined from there. In one lazy plan
-    the join's inferred ``parent_asin IS NOT NULL`` is pushed below the
-    dedup, the z subquery (over all reviews) can no longer reuse that
-    exchange, and mapping plus dedup would run twice."""
-    staged = sinks.write_parquet(clean(spark, sf_dir), session.staging_path(spark, "reviews-clean"))
-    return jn.joined_reviews(spark.read.parquet(staged), clean_meta(spark, sf_dir))
+    return joined(spark, sf_dir, with_text=True)
 
 
 @query
@@ -229,7 +226,7 @@ def feat_calendar(spark, sf_dir):
 
 @query
 def feat_text_length(spark, sf_dir):
-    return _features(spark, sf_dir, "text", "review_text_length")
+    return clean(spark, sf_dir, with_z=False, with_text=True).select(*ID_COLS, "text", "review_text_length")
 
 
 @query
@@ -268,12 +265,8 @@ def feat_popularity_bin(spark, sf_dir):
 # ------------------------------------------------------------------ exploration aggregates
 @query
 def row_counts(spark, sf_dir):
-    raw, meta = raw_reviews(spark, sf_dir), raw_metadata(spark, sf_dir)
-    c = cl.clean_reviews(raw, with_z=False)
-    m = cl.clean_metadata(meta)
-    joined_n = jn.join_row_count(c, jn.metadata_for_join(m))
-    return ex.row_counts([("raw_reviews", raw), ("raw_metadata", meta), ("clean_reviews", c),
-                          ("clean_metadata", m), ("joined_reviews", joined_n)])
+    sizes = jn.pipeline_sizes(raw_reviews(spark, sf_dir), raw_metadata(spark, sf_dir))
+    return sizes.unpivot([], sizes.columns, "dataset", "row_count")
 
 
 @query
@@ -369,13 +362,14 @@ def vote_range(spark, sf_dir):
 
 @query
 def vote_quantiles_approx(spark, sf_dir):
-    return ex.vote_quantiles_approx(clean(spark, sf_dir, with_z=False))
+    return ex.quantile_errors(clean(spark, sf_dir, with_z=False), schemas.COARSE_QUANTILES,
+                              schemas.COARSE_QUANTILE_ERROR)
 
 
 @query
 def vote_quantiles_fine_approx(spark, sf_dir):
-    return ex.vote_quantiles_approx(clean(spark, sf_dir, with_z=False),
-                                    schemas.FINE_QUANTILES, schemas.FINE_QUANTILE_ERROR)
+    return ex.quantile_errors(clean(spark, sf_dir, with_z=False), schemas.FINE_QUANTILES,
+                              schemas.FINE_QUANTILE_ERROR)
 
 
 @query
@@ -405,14 +399,13 @@ def z_sanity(spark, sf_dir):
 
 @query
 def join_retention(spark, sf_dir):
-    c = clean(spark, sf_dir, with_z=False)
-    return ex.join_retention(c, jn.join_row_count(c, jn.metadata_for_join(clean_meta(spark, sf_dir))))
+    return ex.join_retention(jn.pipeline_sizes(raw_reviews(spark, sf_dir), raw_metadata(spark, sf_dir)))
 
 
 @query
 def preview_joined(spark, sf_dir):
     return ex.preview(
-        joined(spark, sf_dir, with_z=False),
+        joined(spark, sf_dir, with_z=False, with_text=True),
         ["parent_asin", "product_title", "store", "rating", "verified_purchase",
          "review_text_length", "helpful_vote", "rating_number"],
         ["parent_asin", "user_id", "asin", "timestamp", "rating", "title", "text",
@@ -522,7 +515,7 @@ def high_rating_by_verified(spark, sf_dir):
 @query
 def sink_parquet_roundtrip(spark, sf_dir):
     """Write clean reviews, the catalog projection and the joined table, read back, count."""
-    c = clean(spark, sf_dir)
+    c = clean(spark, sf_dir, with_text=True)
     m = jn.metadata_for_join(clean_meta(spark, sf_dir))
     base = session.staging_path(spark, "processed")
     p_rev = sinks.write_parquet(c, f"{base}/reviews_clean.parquet")

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 
 def _exact_sd(col: str, scale: int) -> str:
-    """Sample stddev from exact DECIMAL moment sums (same formula as the Spark side)."""
+    """Sample stddev from exact DECIMAL moment sums, for z-scores that agree digit by digit;
+    ``length_stats`` and ``product_rating_stats`` hold the formula against ``stddev_samp``."""
     d = f"CAST({col} AS DECIMAL({10 + scale},{scale}))"
     n = f"count({col})"
     return (f"CASE WHEN {n} > 1 THEN sqrt(CAST({n} * sum({d} * {d}) - sum({d}) * sum({d}) AS DOUBLE)"
@@ -22,14 +23,12 @@ def _exact_sd(col: str, scale: int) -> str:
 _REVIEW_BASE = """
 rb AS (
   SELECT
-    'P' || CAST(l.l_partkey AS VARCHAR) AS parent_asin,
-    'A' || CAST(l.l_partkey AS VARCHAR) || '-' || CAST(l.l_suppkey % 3 AS VARCHAR) AS asin,
+    'P' || CAST(l.product AS VARCHAR) AS parent_asin,
+    'A' || CAST(l.product AS VARCHAR) || '-' || CAST(l.l_suppkey % 3 AS VARCHAR) AS asin,
     'U' || CAST(o.o_custkey AS VARCHAR) AS user_id,
     CAST(1 + CAST(l.l_quantity AS BIGINT) % 5 AS DOUBLE) AS rating,
     o.o_orderpriority AS title,
-    CASE WHEN l.l_orderkey % 97 = 0 THEN NULL
-         ELSE substr(d.text, 1, CAST((l.l_orderkey * 37 + l.l_linenumber * 101) % 800 AS INTEGER))
-    END AS text,
+    CASE WHEN l.l_orderkey % 97 <> 0 THEN d.text END AS text,
     CAST(epoch_ms(l.l_shipdate) + 662688000000
          + CASE WHEN l.l_orderkey % 211 = 0 THEN 86400000000 ELSE 0 END AS BIGINT) AS "timestamp",
     CAST(CASE WHEN l.l_orderkey % 89 = 0 THEN NULL
@@ -38,10 +37,10 @@ rb AS (
     CASE WHEN l.l_orderkey % 83 = 0 THEN NULL ELSE l.l_returnflag <> 'R' END AS verified_purchase,
     CASE WHEN l.l_orderkey % 2 = 0 THEN 'reviews_a' ELSE 'reviews_b' END AS source_file,
     l.l_orderkey AS ok
-  FROM lineitem l
+  FROM (SELECT *, CASE WHEN l_partkey % 61 = 0 AND l_quantity < 49 THEN l_partkey + 1 ELSE l_partkey END AS product
+        FROM lineitem) l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN documents d ON d.doc_id = l.l_orderkey % 200
-  WHERE NOT (l.l_partkey % 61 = 0 AND l.l_quantity < 49)
+  JOIN documents d ON d.doc_id = l.l_orderkey % (SELECT count(*) FROM documents)
 ),
 rr_src AS (
   SELECT * FROM rb
@@ -106,10 +105,11 @@ reviews_clean AS (
 _META = """
 meta_rows AS (
   SELECT p_partkey AS pk,
-    'P' || CAST(p_partkey AS VARCHAR) AS parent_asin,
+    CASE WHEN p_partkey % 53 = 0 THEN 'X' ELSE 'P' END || CAST(p_partkey AS VARCHAR) AS parent_asin,
     p_name AS title,
     p_type AS main_category,
-    CASE WHEN p_partkey % 6 = 0 THEN p_retailprice END AS price,
+    CASE WHEN p_partkey % 66 = 0 THEN CAST(0 AS DOUBLE) WHEN p_partkey % 78 = 0 THEN -p_retailprice
+         WHEN p_partkey % 6 = 0 THEN p_retailprice END AS price,
     CAST(10 + p_size % 41 AS DOUBLE) / CAST(10 AS DOUBLE) AS average_rating,
     CASE WHEN p_partkey % 101 = 0 THEN NULL
          ELSE CAST((CASE p_partkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 10 WHEN 2 THEN 100 ELSE 1000 END)
@@ -120,7 +120,7 @@ meta_rows AS (
 ),
 metadata AS (
   SELECT parent_asin, title, main_category, price, average_rating, rating_number, store
-  FROM meta_rows WHERE pk % 53 <> 0
+  FROM meta_rows
 ),
 metadata_clean AS (
   SELECT *, price IS NULL AS price_missing, store IS NULL AS store_missing,
@@ -149,7 +149,7 @@ joined AS (
 _META_RAW = """
 metadata_raw AS (
   SELECT pk, parent_asin, title, main_category, price, average_rating, rating_number, store,
-         own_file AS source_file FROM meta_rows WHERE pk % 53 <> 0
+         own_file AS source_file FROM meta_rows
   UNION ALL
   SELECT pk, parent_asin, title, main_category, price, average_rating, rating_number, store,
          'meta_c' FROM meta_rows WHERE pk % 199 = 5
@@ -209,7 +209,7 @@ _METRICS_V = """count(*) AS review_count,
 
 _PRODUCT_STATS = f"""
   SELECT parent_asin, product_popularity_bin, count(*) AS review_count,
-    avg(rating) AS avg_rating, {_exact_sd("rating", 3)} AS rating_stddev,
+    avg(rating) AS avg_rating, stddev_samp(rating) AS rating_stddev,
     avg(CASE WHEN rating IN (1.0, 5.0) THEN 1 ELSE 0 END) AS extreme_rating_share
   FROM joined GROUP BY parent_asin, product_popularity_bin"""
 
@@ -335,7 +335,7 @@ SQL: dict[str, str] = {
                              ("clean_reviews", "reviews_clean"), ("clean_metadata", "metadata_clean"),
                              ("joined_reviews", "joined"))),
     "length_stats": _q(f"""
-  SELECT avg(review_text_length) AS mean_length, {_exact_sd("review_text_length", 0)} AS std_length
+  SELECT avg(review_text_length) AS mean_length, stddev_samp(review_text_length) AS std_length
   FROM reviews_clean"""),
     "rating_distribution": _q('SELECT rating, count(*) AS "count" FROM reviews_raw GROUP BY rating ORDER BY rating'),
     "verified_counts": _q('SELECT verified_purchase, count(*) AS "count" FROM reviews_clean GROUP BY verified_purchase'),
@@ -403,6 +403,8 @@ SQL: dict[str, str] = {
     "vote_range": _q("""
   SELECT min(helpful_vote) AS min_helpful_vote, max(helpful_vote) AS max_helpful_vote,
     avg(helpful_vote) AS avg_helpful_vote FROM reviews_clean"""),
+    "vote_quantiles_approx": "SELECT CAST(unnest([0.5, 0.75, 0.9, 0.95, 0.99]) AS DOUBLE) AS quantile, TRUE AS within_error",
+    "vote_quantiles_fine_approx": "SELECT CAST(unnest([0.95, 0.99, 0.995, 0.999]) AS DOUBLE) AS quantile, TRUE AS within_error",
     "vote_quantiles": _q(_exact_quantiles([0.95, 0.99, 0.995, 0.999])),
     "vote_quantiles_coarse": _q(_exact_quantiles([0.5, 0.75, 0.9, 0.95, 0.99])),
     "vote_zero_share": _q("""
@@ -462,7 +464,7 @@ SQL: dict[str, str] = {
     CAST(coalesce(max(metadata_rows), 0) AS BIGINT) AS maximum_rows_for_one_key
   FROM (SELECT parent_asin, count(*) AS metadata_rows, count(DISTINCT source_file) AS source_file_count
         FROM meta_valid GROUP BY parent_asin)"""),
-    "sample_join_coverage": _q("""
+    "sample_join_coverage": _q(f"""
   SELECT source_file, sampled_reviews, matched_reviews,
     round(CAST(matched_reviews AS DOUBLE) / NULLIF(sampled_reviews, 0) * 100, 3) AS join_coverage_percent
   FROM (
@@ -470,7 +472,8 @@ SQL: dict[str, str] = {
       CAST(sum(CASE WHEN k.parent_asin IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS matched_reviews
     FROM (SELECT parent_asin, source_file FROM rev_checked
           WHERE NOT is_corrupt AND parent_asin IS NOT NULL
-            AND CAST(('0x' || substr(md5(user_id || '|' || asin || '|' || CAST("timestamp" AS VARCHAR)), 1, 8)) AS BIGINT) % 100000 < 5000) s
+            AND CAST('0x' || substr(md5('0|' || coalesce(user_id, '~') || '|' || coalesce(asin, '~') || '|'
+                                        || coalesce(CAST("timestamp" AS VARCHAR), '~')), 1, 15) AS BIGINT) < {int(0.05 * 2 ** 60)}) s
     LEFT JOIN (SELECT DISTINCT parent_asin FROM meta_valid) k ON s.parent_asin = k.parent_asin
     GROUP BY s.source_file)
   ORDER BY source_file"""),

@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +58,32 @@ def size_shuffle(spark: SparkSession, shuffle_bytes: int,
     return parts
 
 
+@contextmanager
+def sized_shuffle(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 256 * 1024 * 1024):
+    """``size_shuffle`` for the length of a job; the caller's settings return after it."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        yield size_shuffle(spark, shuffle_bytes, target_bytes)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Bytes of files, folders and globs, as their file systems report them."""
+    total, conf = 0, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for found in fs.globStatus(path) or []:
+            total += fs.getContentSummary(found.getPath()).getLength()
+    return total
+
+
 def pin_time_zone(spark: SparkSession) -> None:
     """Only the time zone: enough for the calendar features to be stable."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -111,3 +138,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint dir for one staged table."""
     return f"{checkpoint_dir(spark)}/revlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``staging_path`` named; other paths are refused."""
+    if not path.startswith(f"{checkpoint_dir(spark)}/revlens/"):
+        raise ValueError(f"{path} isn't a staged table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -7,16 +7,9 @@ must stay in step.
 
 Plan notes for scale:
 
-* ``lineitem`` x ``orders`` is an equi-join of two large tables on the order
-  key: a sort-merge join at scale (AQE splits a hot order key), a broadcast
-  join when the orders side is small. A ``lineitem`` stored as one row group
-  (one input split) is first re-split on its primary key
-  (``spread_small_input``).
-* Only ``doc_id < 200`` of ``documents`` is used. ``doc_id`` is the table's
-  key, so that side has at most 200 rows whatever the scale, and is
-  broadcast. Review text is at most 799 characters of a document, so the
-  broadcast side carries only the first 800 characters of each of those 200
-  documents (a projection, the review text itself is whole).
+* ``lineitem`` x ``orders`` x ``documents`` are plain equi-joins: sort-merge
+  joins at scale (AQE splits a hot key), broadcast joins where a side is
+  measured to be small. Every order line takes the whole text of one document.
 * The exact duplicates are produced with one ``explode`` over the joined rows
   instead of a second ``UNION ALL`` branch, so the join runs once.
 """
@@ -29,10 +22,9 @@ from pyspark.sql import functions as F
 from revlens import schemas
 
 # --- Fixed values of the fixture mapping (FIXTURES.md section 3) -------------
-DOC_COUNT = 200              # doc_id = l_orderkey % 200
-DOC_TEXT_MAX = 800           # text = substr(doc, 1, (ok*37 + ln*101) % 800)
-SINGLE_REVIEW_MOD = 61       # drop rows with l_partkey % 61 = 0 AND l_quantity < 49
-SINGLE_REVIEW_QTY = 49
+# doc_id = l_orderkey % (number of documents); text = the whole document
+SINGLE_REVIEW_MOD = 61       # lines with l_partkey % 61 = 0 AND l_quantity < 49 ...
+SINGLE_REVIEW_QTY = 49       # ... review the next product (l_partkey + 1)
 NULL_TEXT_MOD = 97
 TIME_SHIFT_MS = 662_688_000_000
 LATE_MOD = 211
@@ -42,8 +34,9 @@ VOTE_DISCOUNT = 0.08
 VOTE_MOD = 37
 NULL_VERIFIED_MOD = 83
 DUPLICATE_VOTE = 7           # rows with this vote appear twice in the raw table
-META_DROP_MOD = 53           # metadata = part WHERE p_partkey % 53 <> 0
+META_OTHER_MOD = 53          # p_partkey % 53 = 0 is catalogued as 'X...', which no review names
 PRICE_MOD = 6
+ZERO_PRICE_MOD, NEGATIVE_PRICE_MOD = 66, 78   # price 0, and the price below zero
 NULL_RATING_NUMBER_MOD = 101
 RATING_NUMBER_SCALE = [1, 10, 100, 1000]  # indexed by p_partkey % 4
 STORE_NULL_MOD = 20
@@ -57,8 +50,6 @@ NULL_KEY_MOD = 401           # key left out
 NULL_RATING_MOD = 307        # rating left out
 META_TRUNCATED_MOD = 251     # catalog line replaced by '{"parent_asin":'
 TRUNCATED_LINE = '{"parent_asin":'
-# Portable sample rule: md5 prefix (8 hex digits) % 100000 < fraction * 100000
-SAMPLE_MODULUS = 100_000
 SAMPLE_FRACTION = 0.05
 # -------------------------------------------------------------------------------
 
@@ -71,39 +62,18 @@ def _p(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def spread_small_input(df: DataFrame, primary_key: list[str]) -> DataFrame:
-    """Re-split an input that arrives in fewer splits than there are cores.
-
-    A table stored as one large row group is read by a single task. Such an
-    input is hash-partitioned on its primary key, which is unique, so no
-    partition can be hot. Inputs that are already split (any table at scale)
-    are left alone, and the joins keep their own exchanges, which AQE can
-    split when a key is skewed (it never splits a user-requested one).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(2 * cores, *primary_key)
-    return df
-
-
 def _review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x orders x documents with the raw integer inputs kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"))
+    moved = (F.col("l_partkey") % SINGLE_REVIEW_MOD == 0) & (F.col("l_quantity") < SINGLE_REVIEW_QTY)
     li = (
         table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
-        .filter(~((F.col("l_partkey") % SINGLE_REVIEW_MOD == 0)
-                  & (F.col("l_quantity") < SINGLE_REVIEW_QTY)))
-        .withColumn("doc_id", F.col("l_orderkey") % DOC_COUNT)
+        .select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
+                "l_returnflag", "l_shipdate",
+                F.when(moved, F.col("l_partkey") + 1).otherwise(F.col("l_partkey")).alias("l_partkey"))
+        .withColumn("doc_id", F.col("l_orderkey") % docs.agg(F.count(F.lit(1))).scalar())
     )
-    li = spread_small_input(li, ["l_orderkey", "l_linenumber"])
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    # Bounded side: doc_id is unique and < 200 -> at most 200 short rows.
-    docs = F.broadcast(
-        table(spark, sf_dir, "documents")
-        .filter(F.col("doc_id") < DOC_COUNT)
-        .select("doc_id", F.substring("text", 1, DOC_TEXT_MAX).alias("doc_text"))
-    )
     return (
         li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
         .join(docs, "doc_id", "inner")
@@ -117,7 +87,6 @@ def _review_columns(rows: DataFrame) -> list[Column]:
              .otherwise(F.lit(0).cast("long")))
     ts = (F.unix_millis(F.col("l_shipdate").cast("timestamp")) + F.lit(TIME_SHIFT_MS)
           + F.when(ok % LATE_MOD == 0, F.lit(LATE_SHIFT_MS)).otherwise(F.lit(0)))
-    text_len = (ok * 37 + F.col("l_linenumber") * 101) % DOC_TEXT_MAX
     return [
         _p("P", F.col("l_partkey")).alias("parent_asin"),
         F.concat(F.lit("A"), F.col("l_partkey").cast("string"), F.lit("-"),
@@ -126,8 +95,7 @@ def _review_columns(rows: DataFrame) -> list[Column]:
         (F.lit(1) + F.col("l_quantity").cast("long") % 5).cast("double").alias("rating"),
         F.col("o_orderpriority").alias("title"),
         F.when(ok % NULL_TEXT_MOD == 0, F.lit(None).cast("string"))
-         .otherwise(F.substr(F.col("doc_text"), F.lit(1), text_len.cast("int")))
-         .alias("text"),
+         .otherwise(F.col("doc_text")).alias("text"),
         ts.cast("long").alias("timestamp"),
         votes.cast("long").alias("helpful_vote"),
         F.when(ok % NULL_VERIFIED_MOD == 0, F.lit(None).cast("boolean"))
@@ -160,7 +128,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str, with_source: bool = False,
 
 def _metadata_columns(key_null: Column | None = None) -> list[Column]:
     pk = F.col("p_partkey")
-    key = _p("P", pk)
+    key = F.when(pk % META_OTHER_MOD == 0, _p("X", pk)).otherwise(_p("P", pk))
     if key_null is not None:
         key = F.when(key_null, F.lit(None).cast("string")).otherwise(key)
     scale = F.element_at(F.array(*[F.lit(x) for x in RATING_NUMBER_SCALE]),
@@ -169,7 +137,8 @@ def _metadata_columns(key_null: Column | None = None) -> list[Column]:
         key.alias("parent_asin"),
         F.col("p_name").alias("title"),
         F.col("p_type").alias("main_category"),
-        F.when(pk % PRICE_MOD == 0, F.col("p_retailprice")).alias("price"),
+        F.when(pk % ZERO_PRICE_MOD == 0, F.lit(0.0)).when(pk % NEGATIVE_PRICE_MOD == 0, -F.col("p_retailprice"))
+         .when(pk % PRICE_MOD == 0, F.col("p_retailprice")).alias("price"),
         ((F.lit(10) + F.col("p_size") % 41) / 10.0).cast("double").alias("average_rating"),
         F.when(pk % NULL_RATING_NUMBER_MOD == 0, F.lit(None).cast("long"))
          .otherwise((scale * (F.lit(1) + F.col("p_size") % 9)).cast("long"))
@@ -184,8 +153,8 @@ def _own_file(pk: Column) -> Column:
 
 
 def metadata(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
-    """Product catalog: every part except p_partkey % 53 = 0 (unique keys)."""
-    part = table(spark, sf_dir, "part").filter(F.col("p_partkey") % META_DROP_MOD != 0)
+    """Product catalog: every part once (unique keys)."""
+    part = table(spark, sf_dir, "part")
     extra = [_own_file(F.col("p_partkey")).alias(schemas.SOURCE_COLUMN)] if with_source else []
     return part.select(*_metadata_columns(), *extra)
 
@@ -194,12 +163,12 @@ def metadata_raw(spark: SparkSession, sf_dir: str, with_part_key: bool = False)
     """Catalog as delivered in files: duplicates within and across files and
     rows without a key. Always carries ``source_file``.
 
-    One scan of ``part``: each part row yields 0..4 output rows through an
+    One scan of ``part``: each part row yields 1..4 output rows through an
     ``explode`` of the variants that apply to it.
     """
     pk = F.col("p_partkey")
     variants = F.array_compact(F.array(
-        F.when(pk % META_DROP_MOD != 0, F.lit(0)),                     # the catalog row
+        F.lit(0),                                                      # the catalog row
         F.when(pk % META_SHARED_MOD == META_SHARED_REM, F.lit(1)),     # copy in meta_c
         F.when(pk % META_REPEAT_MOD == META_REPEAT_REM, F.lit(2)),     # copy, own file
         F.when(pk % META_NULLKEY_MOD == META_NULLKEY_REM, F.lit(3)),   # NULL key, meta_b
@@ -210,14 +179,3 @@ def metadata_raw(spark: SparkSession, sf_dir: str, with_part_key: bool = False)
     extra = [pk] if with_part_key else []
     return part.select(*_metadata_columns(key_null=(v == 3)),
                        source.alias(schemas.SOURCE_COLUMN), *extra)
-
-
-def sample_hash_bucket(key_cols=("user_id", "asin", "timestamp")) -> Column:
-    """Integer in [0, 100000) from md5 of the '|'-joined key (NULL if any part is NULL)."""
-    parts = []
-    for i, c in enumerate(key_cols):
-        if i:
-            parts.append(F.lit("|"))
-        parts.append(F.col(c).cast("string"))
-    digest = F.md5(F.concat(*parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % SAMPLE_MODULUS

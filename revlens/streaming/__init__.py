@@ -1,7 +0,0 @@
-"""Streaming: intentionally empty.
-
-The analyses this package reproduces are batch jobs over files (read,
-clean, join, aggregate, write); there is no stream source, watermark, window
-or state to carry over, so nothing is built here. A new drop of JSON-lines
-files is handled by re-running the batch job on the new inputs.
-"""
