@@ -41,6 +41,7 @@ WINDOW_CHARS = 48
 MIN_SUPPORT = 3
 DISCLOSURE = 0.9
 BROADCAST_TERMS = 200_000       # of at most 40 letters each
+BROADCAST_BYTES = 32 * 2 ** 20  # of texts' lists of disclosing terms
 
 
 def _luhn(digits: Column) -> Column:
@@ -127,14 +128,22 @@ def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
     # a value or term in too few texts can't reach the support: left out before the corpus counts
     met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support)
     n_entity = (near.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")))
-    met = staged(met.join(n_entity, "entity"))
+    n_near = pairs.groupBy("term").agg(F.count_distinct("key").alias("n_near"))
+    total = rows.agg(F.count_distinct(F.xxhash64("text"))).scalar()
+
+    def discloses(n_term: str) -> Column:
+        info = F.log2(F.col("n_both") * F.col("n") / (F.col(n_term) * F.col("n_entity")))
+        return info >= disclosure * F.log2(F.col("n") / F.col("n_entity"))
+
+    # a term is in at least as many texts as it is near some value in: common words can't
+    # pass, whatever the corpus counts, and need none
+    met = staged(met.join(n_entity, "entity").join(n_near, "term").withColumn("n", total)
+                 .where(discloses("n_near")))
     held = (_occurrences(rows, F.xxhash64("text").alias("key"), met.select("term").distinct())
             .groupBy("term").agg(F.approx_count_distinct("key", 0.01).alias("n_term")))
-    total = rows.agg(F.count_distinct(F.xxhash64("text")).alias("n"))
-    info = F.log2(F.col("n_both") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
-    return (met.join(held, "term").join(F.broadcast(total))
-            .where(info >= disclosure * F.log2(F.col("n") / F.col("n_entity")))
-            .select("term").distinct())
+    # the corpus estimate of n_term isn't exact, the count near values is a bound on it
+    return (met.join(held, "term").withColumn("n_term", F.greatest("n_term", "n_near"))
+            .where(discloses("n_term")).select("term").distinct())
 
 
 def _occurrences(rows: DataFrame, key: Column, terms: DataFrame) -> DataFrame:
@@ -149,8 +158,11 @@ def _occurrences(rows: DataFrame, key: Column, terms: DataFrame) -> DataFrame:
 
 def with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Adds ``terms``: the spans of disclosing terms; base spans stay as they are."""
-    holders = (_occurrences(rows, F.col("row"), terms).groupBy("row")
-               .agg(F.array_sort(F.collect_list("term")).alias("_t")))
+    holders = staged(_occurrences(rows, F.col("row"), terms).groupBy("row")
+                     .agg(F.array_sort(F.collect_list("term")).alias("_t")))
+    size = holders.agg(F.coalesce(F.sum(F.octet_length(F.array_join("_t", "|")) + 64), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        holders = F.broadcast(holders)
     pattern = F.concat(F.lit(r"(?iu)(?<![^\s(,;:])(?:"), F.array_join("_t", "|"), F.lit(r")(?![^\s).,;:!?])"))
     clear = F.filter(_spans(F.col("text"), pattern, "term", lambda v: F.lit(True)),
                      lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
