@@ -5,7 +5,8 @@ separators, stretched letters) becomes a lattice: at each position the letters t
 may stand for, or nothing for a repeat or a separator, each with a channel cost. The
 path of least cost under a character trigram model of the whole corpus is the restored
 word. Restored texts are scored by a decision list over words and word beginnings: the
-strongest smoothed share of toxic documents among the labelled documents that have it.
+strongest smoothed share of toxic documents among the labelled documents that have it,
+calibrated on labelled documents that the list of the other half of the sample scores.
 
 Defined results: a null or empty text scores the prior's base score; a null ``doc_id`` is
 kept; repeated rows are scored each; without labelled rows every score is 0; an empty table
@@ -14,6 +15,7 @@ gives no rows. Groups of copies among the labelled documents count once per grou
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -147,48 +149,78 @@ def _groups(batches):
              b.column("text")], ["doc_id", "label", "grp", "text"])
 
 
+_COUNTED = ("clean_0", "toxic_0", "clean_1", "toxic_1")     # by half of the sample
+
+
 def _feature_counts(cost: np.ndarray):
     def run(batches):
         counts: dict = {}
         for b in batches:
-            for label, text in zip(b.column("label").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+            for half, label, text in zip(b.column("half").to_pylist(), b.column("label").to_pylist(),
+                                         b.column("text").cast(pa.binary()).to_pylist()):
                 for f in {f for w in {restored(t, cost) for t in set(tokens(text))} for f in features(w)}:
-                    c = counts.setdefault(f, [0, 0])
-                    c[label] += 1
-        for lo in range(0, len(counts), 100_000):
-            part = [*counts.items()][lo:lo + 100_000]
+                    c = counts.setdefault(f, [0, 0, 0, 0])
+                    c[2 * half + label] += 1
+        part = [*counts.items()]
+        for lo in range(0, len(part), 100_000):
+            rows = part[lo:lo + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in part]), pa.array([c[0] for _, c in part], pa.int64()),
-                 pa.array([c[1] for _, c in part], pa.int64())], ["feature", "clean", "toxic"])
+                [pa.array([f for f, _ in rows]), *(pa.array([c[i] for _, c in rows], pa.int64()) for i in range(4))],
+                ["feature", *_COUNTED])
     return run
 
 
+def calibrate(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
+    """(slope, shift) of a logistic curve over the log odds of scores of documents that had no
+    part in them; held near (1, 0) so that few documents change little."""
+    x, w = np.log(score / (1 - score)), np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
+        grad = np.array([((p - label) * x).sum(), (p - label).sum()]) + 4 * (w - [1, 0])
+        h = p * (1 - p)
+        hess = np.array([[(h * x * x).sum() + 4, (h * x).sum()], [(h * x).sum(), h.sum() + 4]])
+        w = w - np.linalg.solve(hess, grad) * 0.8
+        w[0] = max(w[0], 0.1)
+    return float(w[0]), float(w[1])
+
+
 def fit(docs: DataFrame, labels: DataFrame, keep: Column, cost: np.ndarray,
-        sample: int = SAMPLE) -> tuple[float, dict[str, float]]:
-    """(base score, feature -> score) of features that make toxicity likelier.
+        sample: int = SAMPLE) -> tuple[float, dict[str, float], float, float]:
+    """(base score, feature -> share, slope, shift) of features that make toxicity likelier.
 
     What reaches the driver is bounded by the sample: features of at least
-    ``MIN_DOCS`` of its documents whose share is over the prior's.
+    ``MIN_DOCS`` of its documents whose share is over the prior's, and a score of
+    each of its documents.
     """
     drawn = labelled(docs, labels, "toxic", keep, sample)
     grouped = drawn.mapInArrow(_groups, "doc_id long, label int, grp long, text string")
-    once = staged(grouped.groupBy("grp", "label").agg(F.min_by("text", "doc_id").alias("text")).select("label", "text"))
+    once = staged(grouped.groupBy("grp", "label").agg(F.min_by("text", "doc_id").alias("text"))
+                  .select("label", "text", F.pmod("grp", F.lit(2)).cast("int").alias("half")))
     n, toxic = once.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not toxic:
-        return 0.0, {}
-    prior = toxic / n
-    share = (F.col("toxic") + SMOOTH * prior) / (F.col("clean") + F.col("toxic") + SMOOTH)
-    rows = (once.mapInArrow(_feature_counts(cost), "feature string, clean long, toxic long")
-            .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-            .where((F.col("clean") + F.col("toxic") >= MIN_DOCS) & (share > min(0.4, 2 * prior)))
-            .select("feature", share.alias("share")).collect())
-    return prior / 2, {r.feature: r.share for r in rows}
+        return 0.0, {}, 1.0, 0.0
+    prior, counts = toxic / n, [F.col(c) for c in _COUNTED]
+    share = lambda clean, bad: F.when(
+        (clean + bad >= MIN_DOCS) & ((bad + SMOOTH * prior) / (clean + bad + SMOOTH) > min(0.4, 2 * prior)),
+        (bad + SMOOTH * prior) / (clean + bad + SMOOTH))
+    rows = (once.mapInArrow(_feature_counts(cost), "feature string, " + ", ".join(f"{c} long" for c in _COUNTED))
+            .groupBy("feature").agg(*[F.sum(c).alias(c) for c in _COUNTED])
+            .select("feature", share(counts[0] + counts[2], counts[1] + counts[3]).alias("both"),
+                    share(counts[0], counts[1]).alias("first"), share(counts[2], counts[3]).alias("second"))
+            .where("both IS NOT NULL OR first IS NOT NULL OR second IS NOT NULL").collect())
+    table = {c: {r.feature: r[c] for r in rows if r[c] is not None} for c in ("both", "first", "second")}
+    base, seen = prior / 2, []
+    for half, other in ((0, "second"), (1, "first")):
+        unseen = once.where(F.col("half") == half).select(F.col("label").cast("long").alias("doc_id"), "text")
+        seen += score(unseen, (base, table[other], 1.0, 0.0), cost).collect()   # doc_id carries the label
+    slope, shift = calibrate(np.array([r.score for r in seen]), np.array([r.doc_id for r in seen], float))
+    return base, table["both"], slope, shift
 
 
 class _Scores(dict):
-    def __init__(self, base: float, table: dict[str, float], cost: np.ndarray):
+    def __init__(self, base: float, table: dict[str, float], slope: float, shift: float, cost: np.ndarray):
         super().__init__()
-        self.base, self.table, self.cost = base, table, cost
+        self.base, self.table, self.slope, self.shift, self.cost = base, table, slope, shift, cost
 
     def __missing__(self, word: bytes) -> float:
         got = max((self.table.get(f, self.base) for f in features(restored(word, self.cost))), default=self.base)
@@ -199,7 +231,7 @@ class _Scores(dict):
         return got
 
 
-def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float]], cost: np.ndarray,
+def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float], float, float], cost: np.ndarray,
                at: float = 0.5) -> DataFrame:
     """The documents that score below ``at``, with all their columns."""
     prepare(docs.sparkSession)
@@ -214,13 +246,15 @@ def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float]], cost: np.
 
 
 def _score(scores: _Scores, text: bytes) -> float:
-    return max(map(scores.__getitem__, tokens(text)), default=scores.base)
+    share = max(map(scores.__getitem__, tokens(text)), default=scores.base)
+    if not 0 < share < 1:
+        return share
+    return 1 / (1 + math.exp(-(scores.slope * math.log(share / (1 - share)) + scores.shift)))
 
 
-def score(docs: DataFrame, model: tuple[float, dict[str, float]], cost: np.ndarray) -> DataFrame:
+def score(docs: DataFrame, model: tuple[float, dict[str, float], float, float], cost: np.ndarray) -> DataFrame:
     """(doc_id, score) of every text."""
-    base, table = model
-    sent = docs.sparkSession.sparkContext.broadcast((base, table, cost))   # bounded by the sample
+    sent = docs.sparkSession.sparkContext.broadcast((*model, cost))   # bounded by the sample
 
     def run(batches):
         scores = _Scores(*sent.value)

@@ -33,11 +33,11 @@ def test_spelt_out_words_are_tokens():
 
 
 def test_obfuscated_texts_score_as_plain_ones(spark, cost):
-    model = 0.05, {"idiot": 0.9}
+    model = 0.05, {"idiot": 0.9}, 1.0, 0.0
     texts = ["what an idiot", "what an 1d10t he is", "what an i d i o t indeed", "what an idiiiiot", "what a lovely day"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.score for r in toxicity.score(df, model, cost).collect()}
-    assert [got[i] for i in range(5)] == [0.9, 0.9, 0.9, 0.9, 0.05]
+    assert [got[i] for i in range(5)] == pytest.approx([0.9, 0.9, 0.9, 0.9, 0.05])
 
 
 def test_odd_rows(spark, cost):
@@ -48,6 +48,6 @@ def test_odd_rows(spark, cost):
     assert len(got) == 13 and all(0 <= r.score <= 1 for r in got)
     none = toxicity.fit(odd_docs(spark), no_labels(spark), everyone(), cost)
     assert {r.score for r in toxicity.score(odd_docs(spark), none, cost).collect()} == {0.0}
-    kept = toxicity.keep_clean(odd_docs(spark), (0.1, {"fox": 0.8}), cost)
+    kept = toxicity.keep_clean(odd_docs(spark), (0.1, {"fox": 0.8}, 1.0, 0.0), cost)
     assert kept.columns == odd_docs(spark).columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, *range(2, 11)]
     assert toxicity.score(no_docs(spark), model, toxicity.char_model(no_docs(spark))).collect() == []
