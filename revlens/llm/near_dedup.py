@@ -254,11 +254,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = named.select("doc_id", "s.digest", "s.n", "s.regs")
     reps = staged(named.where("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")))
-    bands = staged(reps.select("rep", "regs").mapInArrow(_banded, "rep long, keys array<long>")
-                   .select("rep", F.explode("keys").alias("key")))
-    # one pivot a bucket
+    bands = (reps.select("rep", "regs").mapInArrow(_banded, "rep long, keys array<long>")
+             .select("rep", F.explode("keys").alias("key")))
+    # one pivot a bucket; buckets of one member are done with
     pivots = bands.groupBy("key").agg(F.min("rep").alias("b"), F.count("*").alias("members")).where("members > 1")
-    tried = (bands.join(pivots, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct())
+    shared = staged(bands.join(pivots, "key").select("key", "rep", "b"))
+    tried = shared.where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     side = lambda s: reps.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
     near = (tried.join(side("a"), "a").where("n_a IS NOT NULL").join(side("b"), "b")
             .where(f"100 * least(n_a, n_b) >= {SHARE} * greatest(n_a, n_b)")
@@ -267,7 +268,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = staged(verify(staged(best), docs, reps))
     comps = components(links)
     # buckets that hold more than one component
-    member = (bands.join(comps, bands.rep == comps.node, "left")
+    member = (shared.join(comps, F.col("rep") == F.col("node"), "left")
               .select("key", "rep", F.coalesce("comp", "rep").alias("comp")))
     sized = member.groupBy("key", "comp").agg(F.count("*").alias("c"))
     spread = (sized.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), F.sum("c").alias("all"),
