@@ -13,8 +13,8 @@ tables of the sweep before. After ``BURN`` sweeps, predictive probabilities are
 ``SAMPLES`` sweeps.
 
 Texts are packed into compressed slices once. Slices ask for the words and word pairs that
-they hold by hash, shards count them over the corpus and answer each slice, and slices meet
-their answers to be scored. Nothing but lists of listed words (bounded by 1 / SHARE) and
+they hold by hash, shards gather what is asked, count it over the corpus and answer each
+slice in the order of its questions, and slices meet their answers to be scored. Nothing but lists of listed words (bounded by 1 / SHARE) and
 scalars passes the driver.
 
 Defined results: a null or empty text is its end token alone; a null ``doc_id`` is learnt
@@ -104,6 +104,15 @@ def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, np.bincount(back[train], minlength=len(found)).astype(np.int64)
 
 
+def _small(x: np.ndarray, dtype: str = "<i8") -> bytes:
+    """Counts and the like: mostly equal or tiny, so compressed to a byte or two each."""
+    return zstandard.compress(x.astype(dtype).tobytes(), 1)
+
+
+def _large(x: bytes, dtype: str = "<i8") -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(x), dtype) if len(x) else np.zeros(0, dtype)
+
+
 _ASKED = "shard long, slice long, keys binary, counts binary"
 
 
@@ -117,8 +126,8 @@ def _ask_words(n: int):
         for b in batches:
             for r in b.to_pylist():
                 w, _, train = _tokens(r)
-                yield _asked([(s, r["slice"], k.tobytes(), c.tobytes())
-                              for s, k, c in _by_shard(*(lambda x: (x[0], n, x[1]))(_counted(w, train)))])
+                keys, counts = _counted(w, train)
+                yield _asked([(s, r["slice"], k.tobytes(), _small(c)) for s, k, c in _by_shard(keys, n, counts)])
     return run
 
 
@@ -138,10 +147,29 @@ def _ask_pairs(n: int, sent):
             for r in b.to_pylist():
                 w, starts, train = _tokens(r)
                 keys, counts = _counted(_pairs(w, starts, sent.value), train)
-                yield _asked([(s, r["slice"], k.tobytes(), c.tobytes()) for s, k, c in _by_shard(keys, n, counts)])
+                yield _asked([(s, r["slice"], k.tobytes(), _small(c)) for s, k, c in _by_shard(keys, n, counts)])
     return run
 
 
+_GATHERED = "shard long, slices array<long>, sizes array<long>, keys binary, counts binary"
+
+
+def _gather(key, group):
+    """All that slices ask of a shard, as one row."""
+    asked = sorted(zip(*(group.column(c).to_pylist() for c in ("slice", "keys", "counts"))))
+    counts = np.concatenate([_large(c) for _, _, c in asked])
+    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([[a[0] for a in asked]], pa.list_(pa.int64())),
+                     pa.array([[len(a[1]) // 8 for a in asked]], pa.list_(pa.int64())),
+                     pa.array([b"".join(a[1] for a in asked)], pa.binary()), pa.array([_small(counts)], pa.binary())],
+                    names=["shard", "slices", "sizes", "keys", "counts"])
+
+
+def _totals(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their counts over all slices, place of each asked key) of a gathered row."""
+    found, back = np.unique(np.frombuffer(r["keys"], "<i8"), return_inverse=True)
+    return found, np.bincount(back, _large(r["counts"]), len(found)).astype(np.int64), back
+
+
 # --- restaurants ------------------------------------------------------------
 
 
@@ -164,16 +192,6 @@ def _rng(*parts: int):
     return np.random.default_rng([7, *(abs(int(p)) for p in parts)])
 
 
-def _arrays(group, *names):
-    return [np.frombuffer(b"".join(x or b"" for x in group.column(n).to_pylist()), t) for n, t in names]
-
-
-def _totals(group) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, counts = _arrays(group, ("keys", "<i8"), ("counts", "<i8"))
-    found, back = np.unique(keys, return_inverse=True)
-    return found, np.bincount(back, counts, len(found)).astype(np.int64), back
-
-
 def _class_tables(shard: int, counts: np.ndarray, tables: list[float] | None, types: float):
     """Per sample: tables of each of a shard's class words, given the class's number of tables."""
     share = len(counts) / types if types else 1.0
@@ -189,53 +207,56 @@ def _class_tables(shard: int, counts: np.ndarray, tables: list[float] | None, ty
 
 def _vocabulary(cut: float):
     """Per shard: listed words, and totals of the rest."""
-    def run(key, group):
-        words, counts, _ = _totals(group)
-        listed, rest = counts >= cut, counts[(counts > 0) & (counts < cut)]
-        rows = [("listed", int(w), int(c)) for w, c in zip(words[listed], counts[listed])]
-        rows += [("types", 0, len(rest)), ("customers", 0, int(rest.sum()))]
-        return pa.table([pa.array(c) for c in zip(*rows)], schema=pa.schema(
-            [("kind", pa.string()), ("key", pa.int64()), ("n", pa.int64())]))
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                words, counts, _ = _totals(r)
+                listed, rest = counts >= cut, counts[(counts > 0) & (counts < cut)]
+                rows = [("listed", int(w), int(c)) for w, c in zip(words[listed], counts[listed])]
+                rows += [("types", 0, len(rest)), ("customers", 0, int(rest.sum()))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["kind", "key", "n"])
     return run
 
 
 def _class_totals(cut: float, types: float):
-    def run(key, group):
-        _, counts, _ = _totals(group)
-        rest = counts[(counts > 0) & (counts < cut)]
-        sums = [int(t.sum()) for t in _class_tables(key[0].as_py(), rest, None, types)]
-        return pa.table({"sample": pa.array(range(SAMPLES), pa.int64()), "tables": pa.array(sums, pa.int64())})
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                _, counts, _ = _totals(r)
+                rest = counts[(counts > 0) & (counts < cut)]
+                sums = [int(t.sum()) for t in _class_tables(r["shard"], rest, None, types)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(SAMPLES), pa.int64()), pa.array(sums, pa.int64())], ["sample", "tables"])
     return run
 
 
 def _answer_words(cut: float, types: float, customers: float, tables: list[float]):
     """To each slice: count of each word that it asked for, and log10 P(word | class)."""
-    def run(key, group):
-        words, counts, back = _totals(group)
-        rest = (counts > 0) & (counts < cut)
-        p = np.zeros(len(words))
-        for t, total in zip(_class_tables(key[0].as_py(), counts[rest], tables, types), tables):
-            fresh = (CLASS_STRENGTH + CLASS_DISCOUNT * total) / (types + 1)
-            p += fresh / (CLASS_STRENGTH + customers) / SAMPLES
-            p[rest] += (counts[rest] - CLASS_DISCOUNT * t) / (CLASS_STRENGTH + customers) / SAMPLES
-        return _to_slices("words", group, words, back, counts, np.log10(p))
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                words, counts, back = _totals(r)
+                rest = (counts > 0) & (counts < cut)
+                p = np.zeros(len(words))
+                for t, total in zip(_class_tables(r["shard"], counts[rest], tables, types), tables):
+                    fresh = (CLASS_STRENGTH + CLASS_DISCOUNT * total) / (types + 1)
+                    p += fresh / (CLASS_STRENGTH + customers) / SAMPLES
+                    p[rest] += (counts[rest] - CLASS_DISCOUNT * t) / (CLASS_STRENGTH + customers) / SAMPLES
+                yield _answers("words", r, counts[back], np.log10(p)[back], "<f8")
     return run
 
 
-_ANSWERS = "slice long, kind string, keys binary, counts binary, logs binary"
+_ANSWERS = "slice long, shard long, kind string, counts binary, logs binary"
 
 
-def _to_slices(kind: str, asked, keys, back, counts, logs):
-    rows, at = [], 0
-    for sl, raw in zip(asked.column("slice").to_pylist(), asked.column("keys").to_pylist()):
-        mine = back[at:at + len(raw) // 8]
-        at += len(mine)
-        rows.append((sl, kind, keys[mine].tobytes(), counts[mine].astype("<i8").tobytes(),
-                     logs[mine].astype("<f8").tobytes()))
-    out = pa.schema([("slice", pa.int64()), ("kind", pa.string()), ("keys", pa.binary()),
-                     ("counts", pa.binary()), ("logs", pa.binary())])
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), out.types)] if rows else
-                    [pa.array([], t) for t in out.types], schema=out)
+def _answers(kind: str, r: dict, counts, logs, dtype: str):
+    """An answer to each slice of a gathered row, in the order of its keys."""
+    ends = np.cumsum(r["sizes"])
+    parts = [slice(e - n, e) for e, n in zip(ends, r["sizes"])]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(r["slices"], pa.int64()), pa.array([r["shard"]] * len(parts), pa.int64()),
+         pa.array([kind] * len(parts)), pa.array([_small(counts[i]) if counts is not None else b"" for i in parts], pa.binary()),
+         pa.array([_small(logs[i], dtype) for i in parts], pa.binary())], ["slice", "shard", "kind", "counts", "logs"])
 
 
 _COUNTS = "shard long, keys binary, counts binary"
@@ -243,25 +264,31 @@ _COUNTS = "shard long, keys binary, counts binary"
 
 def _counts_of_pairs(n: int):
     """Sums of a shard's pairs, sent on to the shards of their contexts."""
-    def run(key, group):
-        keys, counts, _ = _totals(group)
-        keys, counts = keys[counts > 0], counts[counts > 0]
-        shard = _spread((keys >> _SHIFT).astype(np.uint64), n)
-        rows = [(int(s), keys[shard == s].tobytes(), counts[shard == s].tobytes()) for s in np.unique(shard)]
-        schema = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-        return pa.table([pa.array([r[i] for r in rows], schema.types[i]) for i in range(3)], schema=schema)
+    schema = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                keys, counts, _ = _totals(r)
+                keys, counts = keys[counts > 0], counts[counts > 0]
+                shard = _spread((keys >> _SHIFT).astype(np.uint64), n)
+                rows = [(int(s), keys[shard == s].tobytes(), _small(counts[shard == s])) for s in np.unique(shard)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], schema.types[i]) for i in range(3)],
+                                                 schema=schema)
     return run
 
 
 def _merged(key, group):
-    keys, counts, _ = _totals(group)
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([keys.tobytes()], pa.binary()),
-                     "counts": pa.array([counts.tobytes()], pa.binary())})
+    keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), "<i8")
+    counts = np.concatenate([_large(c) for c in group.column("counts").to_pylist()])
+    order = np.argsort(keys)                       # a pair comes from one shard only
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([keys[order].tobytes()], pa.binary()),
+                     "counts": pa.array([_small(counts[order])], pa.binary())})
 
 
 def _seated(r: dict, sweep: int, parent: np.ndarray, tables: np.ndarray):
     """(contexts, words, customers, tables) of a row of restaurants in one sweep."""
-    keys, counts = np.frombuffer(r["keys"], "<i8"), np.frombuffer(r["counts"], "<i8")
+    keys, counts = np.frombuffer(r["keys"], "<i8"), _large(r["counts"])
     u, w = keys >> _SHIFT, keys & ((1 << _SHIFT) - 1)
     mass = (STRENGTH + DISCOUNT * tables[u]) * parent[w]
     return u, w, counts, seat(counts, mass, DISCOUNT, _rng(r["shard"], sweep))
@@ -305,41 +332,46 @@ def _answer_pairs(sent):
     """To each slice: log10 P(word | context) of each pair that it asked for."""
     def run(key, asked, known):
         samples, of_context = sent.value
-        keys, counts, back = _totals(asked)
-        u, w = keys >> _SHIFT, keys & ((1 << _SHIFT) - 1)
-        p = np.zeros(len(keys))
-        for _, _, _, parent, tables in samples:
-            p += (STRENGTH + DISCOUNT * tables[u]) * parent[w] / (STRENGTH + of_context[u]) / SAMPLES
-        seen, value = _arrays(known, ("keys", "<i8"), ("p", "<f8"))
-        p[np.searchsorted(keys, seen)] = value          # every counted pair has been asked for
-        return _to_slices("pairs", asked, keys, back, counts, np.log10(p))
+        batches = []
+        for r in asked.to_pylist():
+            keys, _, back = _totals(r)
+            u, w = keys >> _SHIFT, keys & ((1 << _SHIFT) - 1)
+            p = np.zeros(len(keys))
+            for _, _, _, parent, tables in samples:
+                p += (STRENGTH + DISCOUNT * tables[u]) * parent[w] / (STRENGTH + of_context[u]) / SAMPLES
+            seen, value = (np.frombuffer(b"".join(known.column(c).to_pylist()), t) for c, t in (("keys", "<i8"), ("p", "<f8")))
+            p[np.searchsorted(keys, seen)] = value          # every counted pair has been asked for
+            batches.append(_answers("pairs", r, None, np.log10(p)[back], "<f4"))
+        return pa.Table.from_batches(batches)
     return run
 
 
-def _score(sent):
+def _score(n_shards: int, sent):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(key, packed, answers):
         listed, n, v = sent.value
-        kinds = np.array(answers.column("kind").to_pylist())
+        held = {(a["kind"], a["shard"]): a for a in answers.to_pylist()}
         out = []
-        tables = {}
-        for kind in ("words", "pairs"):
-            part = answers.filter(pa.array(kinds == kind))
-            keys, counts, logs = _arrays(part, ("keys", "<u8" if kind == "words" else "<i8"),
-                                         ("counts", "<i8"), ("logs", "<f8"))
-            order = np.argsort(keys)
-            tables[kind] = keys[order], counts[order], logs[order]
+
+        def answered(kind: str, keys: np.ndarray):
+            """(counts, logs) of a slice's tokens or pairs, from the answers to its distinct ones."""
+            found, back = np.unique(keys, return_inverse=True)
+            counts, logs = np.zeros(len(found), np.int64), np.zeros(len(found))
+            for shard, _, at in _by_shard(found, n_shards, np.arange(len(found))):
+                a = held[kind, shard]
+                logs[at] = _large(a["logs"], "<f8" if kind == "words" else "<f4")
+                if kind == "words":
+                    counts[at] = _large(a["counts"])
+            return counts[back], logs[back]
+
         for r in packed.to_pylist():
             w, starts, _ = _tokens(r)
-            words, counts, logs = tables["words"]
-            at = np.searchsorted(words, w)
-            c = counts[at]
+            c, of_class = answered("words", w)
             pairs = _pairs(w, starts, listed)
-            keys, _, of_pair = tables["pairs"]
-            score = of_pair[np.searchsorted(keys, pairs)]
-            score = score + np.where((pairs & ((1 << _SHIFT) - 1)) == len(listed), logs[at], 0.0)
+            score = answered("pairs", pairs)[1]
+            score = score + np.where((pairs & ((1 << _SHIFT) - 1)) == len(listed), of_class, 0.0)
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             total = lambda x: np.add.reduceat(x, starts)
             out.append(pa.table([pa.array(r["ids"], pa.int64()), pa.array(total(np.ones(len(w), np.int64))),
@@ -366,22 +398,22 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     packed = staged(texts(docs).withColumn("train", train).mapInArrow(_pack, _PACKED))
     shards = max(1, packed.count())
 
-    words = staged(packed.mapInArrow(_ask_words(shards), _ASKED))
+    gathered = lambda asked: staged(asked.groupBy("shard").applyInArrow(_gather, _GATHERED))
+    words = gathered(packed.mapInArrow(_ask_words(shards), _ASKED))
     n = words.mapInArrow(_sums, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     cut = max(2.0, SHARE * n)
-    by_shard = words.groupBy("shard")
-    found = staged(by_shard.applyInArrow(_vocabulary(cut), "kind string, key long, n long"))
+    found = staged(words.mapInArrow(_vocabulary(cut), "kind string, key long, n long"))
     sums = {r.kind: (r.n, r.rows) for r in found.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
     types, customers = sums.get("types", (0, 0))[0], sums.get("customers", (0, 0))[0]
     listed = np.array([r.key for r in found.where("kind = 'listed'").select("key").collect()], np.int64).view(np.uint64)
     listed.sort()                                # at most 1 / SHARE words
     v = types + len(listed)
-    tables = [float(r.n) for r in by_shard.applyInArrow(_class_totals(cut, types), "sample long, tables long")
+    tables = [float(r.n) for r in words.mapInArrow(_class_totals(cut, types), "sample long, tables long")
               .groupBy("sample").agg(F.sum("tables").alias("n")).orderBy("sample").collect()] or [0.0] * SAMPLES
-    word_answers = by_shard.applyInArrow(_answer_words(cut, types, customers, tables), _ANSWERS)
+    word_answers = words.mapInArrow(_answer_words(cut, types, customers, tables), _ANSWERS)
 
-    pairs = staged(packed.mapInArrow(_ask_pairs(shards, send(listed)), _ASKED))
-    restaurants = staged(pairs.groupBy("shard").applyInArrow(_counts_of_pairs(shards), _COUNTS)
+    pairs = gathered(packed.mapInArrow(_ask_pairs(shards, send(listed)), _ASKED))
+    restaurants = staged(pairs.mapInArrow(_counts_of_pairs(shards), _COUNTS)
                          .groupBy("shard").applyInArrow(_merged, _COUNTS))
     size = len(listed) + 2                       # listed words, the class, the beginning
     of_context = _vector(restaurants.mapInArrow(_customers, "key long, n long"), size)
@@ -402,7 +434,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
                     .applyInArrow(_answer_pairs(model), _ANSWERS))
     answers = word_answers.unionByName(pair_answers)
     scored = (packed.groupBy("slice").cogroup(answers.groupBy("slice"))
-              .applyInArrow(_score(send((listed, n, v))),
+              .applyInArrow(_score(shards, send((listed, n, v))),
                             "doc_id long, n_tokens long, n_known long, base_score double, score double"))
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          "base_score", "score")
@@ -411,7 +443,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
 def _sums(batches):
     for b in batches:
         yield pa.RecordBatch.from_arrays(
-            [pa.array([sum(int(np.frombuffer(c, "<i8").sum()) for c in b.column("counts").to_pylist())], pa.int64())], ["n"])
+            [pa.array([sum(int(_large(c).sum()) for c in b.column("counts").to_pylist())], pa.int64())], ["n"])
 
 
 def _customers(batches):
@@ -420,7 +452,7 @@ def _customers(batches):
             found, back = np.unique(np.frombuffer(r["keys"], "<i8") >> _SHIFT, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.int64()),
-                 pa.array(np.bincount(back, np.frombuffer(r["counts"], "<i8"), len(found)).astype(np.int64))], ["key", "n"])
+                 pa.array(np.bincount(back, _large(r["counts"]), len(found)).astype(np.int64))], ["key", "n"])
 
 
 def _vector(rows: DataFrame, size: int) -> np.ndarray:
