@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-WORD_CACHE = 1 << 20
+WORD_CACHE = 1 << 18
 
 
 class WordHash(dict):

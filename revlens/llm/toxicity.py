@@ -29,7 +29,7 @@ SAMPLE = 20_000        # labelled documents that the decision list is fitted on,
 SMOOTH = 5.0           # documents at the prior that each share starts from
 MIN_DOCS = 3           # a feature of fewer labelled documents decides nothing
 PREFIXES = (4, 5)
-CACHE_WORDS = 3 << 19
+CACHE_WORDS = 1 << 18
 # The letters a symbol may stand for.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
