@@ -39,7 +39,8 @@ rb AS (
     l.l_orderkey AS ok
   FROM (SELECT *, CASE WHEN l_partkey % 61 = 0 AND l_quantity < 49 THEN l_partkey + 1 ELSE l_partkey END AS product
         FROM lineitem) l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  -- reverse(reverse(x)) is x as a plain string: DuckDB 2.0.0 fails on dictionary strings in the DISTINCT below
+  JOIN (SELECT o_orderkey, o_custkey, reverse(reverse(o_orderpriority)) AS o_orderpriority FROM orders) o ON l.l_orderkey = o.o_orderkey
   JOIN documents d ON d.doc_id = l.l_orderkey % (SELECT count(*) FROM documents)
 ),
 rr_src AS (
