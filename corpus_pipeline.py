@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm import bpe_codec, decontaminate, near_dedup, private_terms, toxicity
 from revlens.llm.common import crc_mod, table
-from revlens.session import staging_path
+from revlens.session import drop_staged, staging_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows go to the shared folder as Parquet."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each one's rows go to the shared folder as Parquet, where
+    the last one's stay for the caller."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         where = staging_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(where)
         docs = spark.read.parquet(where)
+        if before:
+            drop_staged(spark, before)
+        before = where
     return docs

@@ -140,8 +140,8 @@ def train(stats: DataFrame, labels: DataFrame, keep: Column, sample: int = SAMPL
              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & keep)
              .groupBy("doc_id").agg(F.max("y").alias("y"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = (stats.groupBy("doc_id").agg(F.max("stats").alias("stats"))
-            .join(F.broadcast(drawn), "doc_id").orderBy("doc_id").select("stats", "y").collect())
+    rows = (stats.join(F.broadcast(drawn), "doc_id").groupBy("doc_id")
+            .agg(F.max("stats").alias("stats"), F.max("y").alias("y")).orderBy("doc_id").collect())
     x = np.array([np.frombuffer(r.stats, np.float32) for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
     return fit(x, np.array([r.y for r in rows], np.float64))
 
