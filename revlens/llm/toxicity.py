@@ -27,7 +27,7 @@ from .common import labelled, prepare, staged, texts
 
 SAMPLE = 20_000        # labelled documents that the decision list is fitted on, at most
 SMOOTH = 5.0           # documents at the prior that each share starts from
-HOLD = 100.0
+HOLD = 7_000.0         # over the sample's size: how firmly calibration is held to none
 MIN_DOCS = 3           # a feature of fewer labelled documents decides nothing
 PREFIXES = (4, 5)
 CACHE_WORDS = 1 << 18
@@ -173,13 +173,14 @@ def _feature_counts(cost: np.ndarray):
 
 def calibrate(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """(slope, shift) of a logistic curve over the log odds of scores of documents that had no
-    part in them; held near (1, 0) with the weight of ``HOLD``, so that few documents change little."""
+    part in them; held near (1, 0), the firmer the fewer they are."""
+    hold = 4 + HOLD / max(1, len(label))
     x, w = np.log(score / (1 - score)), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
-        grad = np.array([((p - label) * x).sum(), (p - label).sum()]) + HOLD * (w - [1, 0])
+        grad = np.array([((p - label) * x).sum(), (p - label).sum()]) + hold * (w - [1, 0])
         h = p * (1 - p)
-        hess = np.array([[(h * x * x).sum() + HOLD, (h * x).sum()], [(h * x).sum(), h.sum() + HOLD]])
+        hess = np.array([[(h * x * x).sum() + hold, (h * x).sum()], [(h * x).sum(), h.sum() + hold]])
         w = w - np.linalg.solve(hess, grad) * 0.8
         w[0] = max(w[0], 0.1)
     return float(w[0]), float(w[1])
