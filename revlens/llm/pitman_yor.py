@@ -1,11 +1,8 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-The open vocabulary is split by share: words of at least ``SHARE`` of the training tokens are
-listed (at most 1 / SHARE of them, whatever the corpus), all others are one class. Each listed
-word, the class and the beginning of a text is a context restaurant; its dishes are the words
-that follow. The restaurants share one parent over the listed words, whose customers are
-their tables and whose base is uniform. A word of the class is then drawn from a restaurant
-over all words of the class, with a uniform base over them and one unseen word.
+Every word and the beginning of a text is a context restaurant; its dishes are the words that
+follow, whatever their counts. The restaurants share one parent over all training words, whose
+customers are their tables and whose base is uniform over the words and one unseen word.
 
 Seating is sampled by Gibbs sweeps over tables of dishes: each sweep seats every dish's
 customers anew, given the parent's predictive probabilities and the restaurants' numbers of
@@ -14,8 +11,10 @@ tables of the sweep before. After ``BURN`` sweeps, predictive probabilities are
 
 Texts are packed into compressed slices once. Slices ask for the words and word pairs that
 they hold by hash, shards gather what is asked, count it over the corpus and answer each
-slice in the order of its questions, and slices meet their answers to be scored. Nothing but lists of listed words (bounded by 1 / SHARE) and
-scalars passes the driver.
+slice in the order of its questions, and slices meet their answers to be scored. Pairs are dealt
+by context and word together, so no frequent context or word is one shard's alone; each sweep,
+pair shards send their numbers of tables to the shards of the words, which add them up, seat the
+parent and answer likewise. Nothing but scalars passes the driver, and nothing is broadcast.
 
 Defined results: a null or empty text is its end token alone; a null ``doc_id`` is learnt
 and scored like any; repeated rows are learnt and scored each; without training tokens,
@@ -35,14 +34,13 @@ from pyspark.sql import functions as F
 from .common import staged, texts, word_hash
 
 SLICE_BYTES = 16 * 2 ** 20
-SHARE = 1e-5
 BURN, SAMPLES = 2, 3
 DISCOUNT, STRENGTH = 0.75, 1.0                # of the context restaurants
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
-CLASS_DISCOUNT, CLASS_STRENGTH = 0.75, 1.0
 END = xxhash.xxh64_intdigest(b" end")         # no word holds a space
-_SHIFT = 20                                   # listed words and marks are fewer than 2^20
+START = np.uint64(2 ** 64 - 1)                # the beginning of a text, last in the order of contexts
 _M = np.uint64(0x9E3779B97F4A7C15)
+_P = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _spread(x: np.ndarray, n: int) -> np.ndarray:
@@ -131,23 +129,29 @@ def _ask_words(n: int):
     return run
 
 
-def _pairs(w: np.ndarray, starts: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    """context << 20 | word of each token, in listed numbers; then come the class and the beginning."""
-    number = np.searchsorted(listed, w) if len(listed) else np.zeros(len(w), np.int64)
-    number = np.minimum(number, max(0, len(listed) - 1))
-    number = np.where(listed[number] == w, number, len(listed)) if len(listed) else number
+def _pairs(w: np.ndarray, starts: np.ndarray, train: np.ndarray):
+    """(contexts, words, training counts) of the distinct pairs in order, and each token's place among them."""
+    found, number = np.unique(w, return_inverse=True)
     before = np.concatenate([[0], number[:-1]])
-    before[starts] = len(listed) + 1
-    return (before.astype(np.int64) << _SHIFT) | number.astype(np.int64)
+    before[starts] = len(found)
+    keys, back = np.unique(before * len(found) + number, return_inverse=True)
+    counts = np.bincount(back[train], minlength=len(keys)).astype(np.int64)
+    return np.append(found, START)[keys // len(found)], found[keys % len(found)], counts, back
 
 
-def _ask_pairs(n: int, sent):
+_ASKED_PAIRS = "shard long, slice long, contexts binary, words binary, counts binary"
+
+
+def _ask_pairs(n: int):
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                w, starts, train = _tokens(r)
-                keys, counts = _counted(_pairs(w, starts, sent.value), train)
-                yield _asked([(s, r["slice"], k.tobytes(), _small(c)) for s, k, c in _by_shard(keys, n, counts)])
+                u, w, counts, _ = _pairs(*_tokens(r))
+                rows = [(s, r["slice"], _small(x), y.tobytes(), _small(c))
+                        for s, _, x, y, c in _by_shard(u * _P + w, n, u, w, counts)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 3)],
+                    ["shard", "slice", "contexts", "words", "counts"])
     return run
 
 
@@ -170,6 +174,40 @@ def _totals(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return found, np.bincount(back, _large(r["counts"]), len(found)).astype(np.int64), back
 
 
+_PAIRS = ("shard long, slices array<long>, sizes array<long>, steps binary, names binary, parts array<long>, "
+          "u binary, w binary, counts binary")
+
+
+def _gather_pairs(n: int):
+    """All that slices ask of a shard, as one row: distinct pairs as places ``u`` and ``w`` in the
+    shard's ``names``, which stand by word shard (``parts`` of them each). A slice's pairs are in
+    order, so ``steps`` between their places are small."""
+    def run(key, group):
+        asked = sorted(zip(*(group.column(c).to_pylist() for c in ("slice", "contexts", "words", "counts"))))
+        u = np.concatenate([_large(a[1]) for a in asked]).astype("<u8")
+        w = np.frombuffer(b"".join(a[2] for a in asked), "<u8")
+        counts = np.concatenate([_large(a[3]) for a in asked])
+        order = np.lexsort((w, u))
+        new = np.append(True, (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0))
+        back = np.empty(len(u), np.int64)
+        back[order] = np.cumsum(new) - 1
+        names, place = np.unique(np.concatenate([u[order][new], w[order][new]]), return_inverse=True)
+        shard = _spread(names, n)
+        by_shard = np.argsort(shard, kind="stable")
+        at = np.empty(len(names), np.int64)
+        at[by_shard] = np.arange(len(names))
+        place = at[place]
+        half = len(place) // 2
+        row = (key[0].as_py(), [a[0] for a in asked], [len(a[2]) // 8 for a in asked],
+               _small(np.diff(back, prepend=0), "<i4"), names[by_shard].tobytes(), np.bincount(shard, minlength=n).tolist(),
+               _small(place[:half], "<i4"), _small(place[half:], "<i4"), _small(np.bincount(back, counts)))
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()),
+                 *[pa.binary()] * 3]
+        return pa.table([pa.array([x], t) for x, t in zip(row, kinds)],
+                        names=["shard", "slices", "sizes", "steps", "names", "parts", "u", "w", "counts"])
+    return run
+
+
 # --- restaurants ------------------------------------------------------------
 
 
@@ -192,186 +230,193 @@ def _rng(*parts: int):
     return np.random.default_rng([7, *(abs(int(p)) for p in parts)])
 
 
-def _class_tables(shard: int, counts: np.ndarray, tables: list[float] | None, types: float):
-    """Per sample: tables of each of a shard's class words, given the class's number of tables."""
-    share = len(counts) / types if types else 1.0
-    mine = float(len(counts))
-    for s in range(BURN + SAMPLES):
-        total = (mine / share if share else types) if tables is None else tables[max(0, s - BURN)]
-        mass = np.full(len(counts), (CLASS_STRENGTH + CLASS_DISCOUNT * total) / (types + 1))
-        t = seat(counts, mass, CLASS_DISCOUNT, _rng(shard, s))
-        mine = float(t.sum())
-        if s >= BURN:
-            yield t
-
-
-def _vocabulary(cut: float):
-    """Per shard: listed words, and totals of the rest."""
-    def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                words, counts, _ = _totals(r)
-                listed, rest = counts >= cut, counts[(counts > 0) & (counts < cut)]
-                rows = [("listed", int(w), int(c)) for w, c in zip(words[listed], counts[listed])]
-                rows += [("types", 0, len(rest)), ("customers", 0, int(rest.sum()))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["kind", "key", "n"])
-    return run
-
-
-def _class_totals(cut: float, types: float):
-    def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                _, counts, _ = _totals(r)
-                rest = counts[(counts > 0) & (counts < cut)]
-                sums = [int(t.sum()) for t in _class_tables(r["shard"], rest, None, types)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(SAMPLES), pa.int64()), pa.array(sums, pa.int64())], ["sample", "tables"])
-    return run
-
-
-def _answer_words(cut: float, types: float, customers: float, tables: list[float]):
-    """To each slice: count of each word that it asked for, and log10 P(word | class)."""
-    def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                words, counts, back = _totals(r)
-                rest = (counts > 0) & (counts < cut)
-                p = np.zeros(len(words))
-                for t, total in zip(_class_tables(r["shard"], counts[rest], tables, types), tables):
-                    fresh = (CLASS_STRENGTH + CLASS_DISCOUNT * total) / (types + 1)
-                    p += fresh / (CLASS_STRENGTH + customers) / SAMPLES
-                    p[rest] += (counts[rest] - CLASS_DISCOUNT * t) / (CLASS_STRENGTH + customers) / SAMPLES
-                yield _answers("words", r, counts[back], np.log10(p)[back], "<f8")
-    return run
+def _answer_words(batches):
+    """To each slice: count of each word that it asked for."""
+    for b in batches:
+        for r in b.to_pylist():
+            _, counts, back = _totals(r)
+            yield _answers("words", r, counts[back], None)
 
 
 _ANSWERS = "slice long, shard long, kind string, counts binary, logs binary"
 
 
-def _answers(kind: str, r: dict, counts, logs, dtype: str):
+def _answers(kind: str, r: dict, counts, logs, dtype: str = "<f8"):
     """An answer to each slice of a gathered row, in the order of its keys."""
     ends = np.cumsum(r["sizes"])
     parts = [slice(e - n, e) for e, n in zip(ends, r["sizes"])]
     return pa.RecordBatch.from_arrays(
         [pa.array(r["slices"], pa.int64()), pa.array([r["shard"]] * len(parts), pa.int64()),
          pa.array([kind] * len(parts)), pa.array([_small(counts[i]) if counts is not None else b"" for i in parts], pa.binary()),
-         pa.array([_small(logs[i], dtype) for i in parts], pa.binary())], ["slice", "shard", "kind", "counts", "logs"])
+         pa.array([_small(logs[i], dtype) if logs is not None else b"" for i in parts], pa.binary())], ["slice", "shard", "kind", "counts", "logs"])
 
 
-_COUNTS = "shard long, keys binary, counts binary"
+_NAMED = "shard long, source long, keys binary, customers binary"
 
 
-def _counts_of_pairs(n: int):
-    """Sums of a shard's pairs, sent on to the shards of their contexts."""
-    schema = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+def _name(batches):
+    """To each word shard: a pair shard's names, and their customers there as contexts."""
+    for b in batches:
+        for r in b.to_pylist():
+            names = np.frombuffer(r["names"], "<i8")
+            customers = np.bincount(_large(r["u"], "<i4"), _large(r["counts"]), len(names))
+            rows = [(s, r["shard"], names[i].tobytes(), _small(customers[i])) for s, i in _parts(r)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 2)],
+                ["shard", "source", "keys", "customers"])
+
+
+def _parts(r: dict):
+    """(word shard, its names' places) of a pair shard."""
+    ends = np.cumsum(r["parts"])
+    return [(s, slice(e - n, e)) for s, (e, n) in enumerate(zip(ends, r["parts"])) if n]
+
+
+_TYPES = "shard long, sources array<long>, sizes array<long>, back binary, customers binary"
 
-    def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                keys, counts, _ = _totals(r)
-                keys, counts = keys[counts > 0], counts[counts > 0]
-                shard = _spread((keys >> _SHIFT).astype(np.uint64), n)
-                rows = [(int(s), keys[shard == s].tobytes(), _small(counts[shard == s])) for s in np.unique(shard)]
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], schema.types[i]) for i in range(3)],
-                                                 schema=schema)
-    return run
 
+def _types(key, group):
+    """A word shard's words as places of what pair shards name, and their customers as contexts."""
+    named = sorted(zip(*(group.column(c).to_pylist() for c in ("source", "keys", "customers"))))
+    found, back = np.unique(np.frombuffer(b"".join(x[1] for x in named), "<i8"), return_inverse=True)
+    customers = np.bincount(back, np.concatenate([_large(x[2]) for x in named]), len(found))
+    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([[x[0] for x in named]], pa.list_(pa.int64())),
+                     pa.array([[len(x[1]) // 8 for x in named]], pa.list_(pa.int64())),
+                     pa.array([_small(back, "<i4")], pa.binary()), pa.array([_small(customers)], pa.binary())],
+                    names=["shard", "sources", "sizes", "back", "customers"])
 
-def _merged(key, group):
-    keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), "<i8")
-    counts = np.concatenate([_large(c) for c in group.column("counts").to_pylist()])
-    order = np.argsort(keys)                       # a pair comes from one shard only
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([keys[order].tobytes()], pa.binary()),
-                     "counts": pa.array([_small(counts[order])], pa.binary())})
 
+_REPLIES = ("shard long, sweep long, part long, dishes binary, own binary, contexts binary, "
+            "all_dishes long, all_own long")
 
-def _seated(r: dict, sweep: int, parent: np.ndarray, tables: np.ndarray):
-    """(contexts, words, customers, tables) of a row of restaurants in one sweep."""
-    keys, counts = np.frombuffer(r["keys"], "<i8"), _large(r["counts"])
-    u, w = keys >> _SHIFT, keys & ((1 << _SHIFT) - 1)
+
+def _replies(r: dict, sweep: int, dishes, own, contexts) -> pa.Table:
+    """To each pair shard, in the order of its names: tables as dish, the parent's tables of it, tables
+    as context. The sums over the word shard's words stand in the first row."""
+    back, rows, at = _large(r["back"], "<i4"), [], 0
+    sums = int(dishes.sum()), int(own.sum())
+    for source, n in zip(r["sources"], r["sizes"]):
+        i = back[at:at + n]
+        rows.append((source, sweep, r["shard"], _small(dishes[i]), _small(own[i]), _small(contexts[i]),
+                     *(sums if not at else (0, 0))))
+        at += n
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 3 + [pa.int64()] * 2
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                    names=["shard", "sweep", "part", "dishes", "own", "contexts", "all_dishes", "all_own"])
+
+
+def _reply_customers(batches):
+    """Each name's customers as a context, as the replies before the first sweep."""
+    for b in batches:
+        for r in b.to_pylist():
+            c = _large(r["customers"])
+            yield from _replies(r, -1, np.zeros_like(c), np.zeros_like(c), c).to_batches()
+
+
+class _State:
+    """What a pair shard knows of its names: the customers of each as a context, and after each sweep
+    the parent's predictive probability and the number of tables as a context."""
+
+    def __init__(self, replies: list[dict], types: int):
+        self.types, self.by = types, {}
+        for a in sorted(replies, key=lambda a: a["part"]):
+            self.by.setdefault(a["sweep"], []).append(a)
+        self.customers = self._vector(-1, "contexts")
+
+    def _vector(self, sweep: int, column: str) -> np.ndarray:
+        return np.concatenate([_large(a[column]) for a in self.by[sweep]])
+
+    def after(self, sweep: int, sums: dict) -> tuple[np.ndarray, np.ndarray]:
+        uniform = 1.0 / (self.types + 1)
+        if sweep < 0:
+            return np.full(len(self.customers), uniform), np.minimum(self.customers, 1)
+        dishes, own = sums[sweep]
+        parent = ((self._vector(sweep, "dishes") - PARENT_DISCOUNT * self._vector(sweep, "own")
+                   + (PARENT_STRENGTH + PARENT_DISCOUNT * own) * uniform) / (PARENT_STRENGTH + dishes))
+        return parent, self._vector(sweep, "contexts")
+
+
+def _seated(r: dict, sweep: int, state: _State, sums: dict):
+    """(pairs with customers, contexts, words, customers, tables) of a row of pairs in one sweep."""
+    counts = _large(r["counts"])
+    at = np.flatnonzero(counts)
+    u, w, counts = _large(r["u"], "<i4")[at], _large(r["w"], "<i4")[at], counts[at]
+    parent, tables = state.after(sweep - 1, sums)
     mass = (STRENGTH + DISCOUNT * tables[u]) * parent[w]
-    return u, w, counts, seat(counts, mass, DISCOUNT, _rng(r["shard"], sweep))
+    return at, u, w, counts, seat(counts, mass, DISCOUNT, _rng(r["shard"], sweep))
 
 
-def _sweep(sweep: int, sent):
-    """Numbers of tables by word and by context."""
-    def run(batches):
-        parent, tables = sent.value
-        for b in batches:
-            for r in b.to_pylist():
-                u, w, _, t = _seated(r, sweep, parent, tables)
-                for kind, key in ((0, u), (1, w)):
-                    found, back = np.unique(key, return_inverse=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), kind), pa.int64()), pa.array(found, pa.int64()),
-                         pa.array(np.bincount(back, t, len(found)).astype(np.int64))], ["kind", "key", "n"])
-    return run
+_TABLES = "shard long, source long, dishes binary, contexts binary"
+
 
+def _sweep(sweep: int, types: int, sums: dict):
+    """To each word shard: a pair shard's numbers of tables by dish and by context."""
+    def run(key, pairs, replies):
+        state, rows = _State(replies.to_pylist(), types), []
+        for r in pairs.to_pylist():
+            _, u, w, _, t = _seated(r, sweep, state, sums)
+            size = len(state.customers)
+            dishes, contexts = np.bincount(w, t, size), np.bincount(u, t, size)
+            rows += [(s, r["shard"], _small(dishes[i]), _small(contexts[i])) for s, i in _parts(r)]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 2)],
+                        names=["shard", "source", "dishes", "contexts"])
+    return run
 
-def _predicted(n: int, sent):
-    """Averaged predictive probabilities of the pairs of a row of restaurants."""
-    schema = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("p", pa.binary())])
 
-    def run(batches):
-        samples, of_context = sent.value
-        for b in batches:
-            for r in b.to_pylist():
-                p = 0.0
-                for sweep, before, tables_before, parent, tables in samples:
-                    u, w, c, t = _seated(r, sweep, before, tables_before)
-                    p = p + (c - DISCOUNT * t + (STRENGTH + DISCOUNT * tables[u]) * parent[w]) \
-                        / (STRENGTH + of_context[u]) / SAMPLES
-                keys = np.frombuffer(r["keys"], "<i8")
-                rows = [(s, k.tobytes(), v.astype("<f8").tobytes()) for s, k, v in _by_shard(keys, n, p)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), schema.types)], schema=schema)
+def _parent(sweep: int, types: int):
+    """Tables of a word shard's words over all pair shards, and the parent's tables of them."""
+    def run(key, words, tables):
+        r = words.to_pylist()[0]
+        sent = sorted(zip(*(tables.column(c).to_pylist() for c in ("source", "dishes", "contexts"))))
+        back, size = _large(r["back"], "<i4"), len(_large(r["customers"]))
+        dishes, contexts = (np.bincount(back, np.concatenate([_large(x[i]) for x in sent]), size).astype(np.int64)
+                            for i in (1, 2))
+        # every training word is a dish of the parent
+        mass = np.full(size, (PARENT_STRENGTH + PARENT_DISCOUNT * types) / (types + 1))
+        return _replies(r, sweep, dishes, seat(dishes, mass, PARENT_DISCOUNT, _rng(r["shard"], sweep, 1)), contexts)
     return run
 
 
-def _answer_pairs(sent):
+def _answer_pairs(types: int, sums: dict):
     """To each slice: log10 P(word | context) of each pair that it asked for."""
-    def run(key, asked, known):
-        samples, of_context = sent.value
-        batches = []
-        for r in asked.to_pylist():
-            keys, _, back = _totals(r)
-            u, w = keys >> _SHIFT, keys & ((1 << _SHIFT) - 1)
-            p = np.zeros(len(keys))
-            for _, _, _, parent, tables in samples:
-                p += (STRENGTH + DISCOUNT * tables[u]) * parent[w] / (STRENGTH + of_context[u]) / SAMPLES
-            seen, value = (np.frombuffer(b"".join(known.column(c).to_pylist()), t) for c, t in (("keys", "<i8"), ("p", "<f8")))
-            p[np.searchsorted(keys, seen)] = value          # every counted pair has been asked for
-            batches.append(_answers("pairs", r, None, np.log10(p)[back], "<f4"))
+    def run(key, pairs, replies):
+        state, batches = _State(replies.to_pylist(), types), []
+        for r in pairs.to_pylist():
+            every_u, every_w = _large(r["u"], "<i4"), _large(r["w"], "<i4")
+            p = np.zeros(len(every_u))
+            for sweep in range(BURN, BURN + SAMPLES):
+                at, _, _, c, t = _seated(r, sweep, state, sums)
+                parent, tables = state.after(sweep, sums)
+                p += (STRENGTH + DISCOUNT * tables[every_u]) * parent[every_w] / SAMPLES
+                p[at] += (c - DISCOUNT * t) / SAMPLES
+            p = np.log10(p / (STRENGTH + state.customers[every_u]))
+            places = np.cumsum(_large(r["steps"], "<i4"), dtype=np.int64)
+            batches.append(_answers("pairs", r, None, p[places]))
         return pa.Table.from_batches(batches)
     return run
 
 
-def _score(n_shards: int, sent):
+def _score(n_shards: int, n: int, v: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(key, packed, answers):
-        listed, n, v = sent.value
         held = {(a["kind"], a["shard"]): a for a in answers.to_pylist()}
         out = []
 
-        def answered(kind: str, keys: np.ndarray):
-            """(counts, logs) of a slice's tokens or pairs, from the answers to its distinct ones."""
-            found, back = np.unique(keys, return_inverse=True)
-            counts, logs = np.zeros(len(found), np.int64), np.zeros(len(found))
-            for shard, _, at in _by_shard(found, n_shards, np.arange(len(found))):
-                a = held[kind, shard]
-                logs[at] = _large(a["logs"], "<f8" if kind == "words" else "<f4")
-                if kind == "words":
-                    counts[at] = _large(a["counts"])
-            return counts[back], logs[back]
+        def answered(kind: str, keys: np.ndarray, column: str, dtype: str):
+            """The answers to a slice's distinct words or pairs, in their order."""
+            got = np.zeros(len(keys), dtype)
+            for shard, _, at in _by_shard(keys, n_shards, np.arange(len(keys))):
+                got[at] = _large(held[kind, shard][column], dtype)
+            return got
 
         for r in packed.to_pylist():
-            w, starts, _ = _tokens(r)
-            c, of_class = answered("words", w)
-            pairs = _pairs(w, starts, listed)
-            score = answered("pairs", pairs)[1]
-            score = score + np.where((pairs & ((1 << _SHIFT) - 1)) == len(listed), of_class, 0.0)
+            w, starts, train = _tokens(r)
+            found, back = np.unique(w, return_inverse=True)
+            c = answered("words", found, "counts", "<i8")[back]
+            before, after, _, back = _pairs(w, starts, train)
+            score = answered("pairs", before * _P + after, "logs", "<f8")[back]
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             total = lambda x: np.add.reduceat(x, starts)
             out.append(pa.table([pa.array(r["ids"], pa.int64()), pa.array(total(np.ones(len(w), np.int64))),
@@ -381,83 +426,49 @@ def _score(n_shards: int, sent):
     return run
 
 
-def _parent(tables: np.ndarray, rng) -> np.ndarray:
-    """The parent's predictive probabilities, its customers being the restaurants' tables."""
-    uniform = 1.0 / len(tables)
-    mine = np.minimum(tables, 1).sum()
-    own = seat(tables, np.full(len(tables), (PARENT_STRENGTH + PARENT_DISCOUNT * mine) * uniform), PARENT_DISCOUNT, rng)
-    return ((tables - PARENT_DISCOUNT * own + (PARENT_STRENGTH + PARENT_DISCOUNT * own.sum()) * uniform)
-            / (PARENT_STRENGTH + tables.sum()))
-
-
 def score(docs: DataFrame, train: Column) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score); ``train`` marks the
     texts to learn from, as a column over ``doc_id``."""
-    spark = docs.sparkSession
-    send = spark.sparkContext.broadcast
     packed = staged(texts(docs).withColumn("train", train).mapInArrow(_pack, _PACKED))
     shards = max(1, packed.count())
 
-    gathered = lambda asked: staged(asked.groupBy("shard").applyInArrow(_gather, _GATHERED))
-    words = gathered(packed.mapInArrow(_ask_words(shards), _ASKED))
-    n = words.mapInArrow(_sums, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    cut = max(2.0, SHARE * n)
-    found = staged(words.mapInArrow(_vocabulary(cut), "kind string, key long, n long"))
-    sums = {r.kind: (r.n, r.rows) for r in found.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
-    types, customers = sums.get("types", (0, 0))[0], sums.get("customers", (0, 0))[0]
-    listed = np.array([r.key for r in found.where("kind = 'listed'").select("key").collect()], np.int64).view(np.uint64)
-    listed.sort()                                # at most 1 / SHARE words
-    v = types + len(listed)
-    tables = [float(r.n) for r in words.mapInArrow(_class_totals(cut, types), "sample long, tables long")
-              .groupBy("sample").agg(F.sum("tables").alias("n")).orderBy("sample").collect()] or [0.0] * SAMPLES
-    word_answers = words.mapInArrow(_answer_words(cut, types, customers, tables), _ANSWERS)
-
-    pairs = gathered(packed.mapInArrow(_ask_pairs(shards, send(listed)), _ASKED))
-    restaurants = staged(pairs.mapInArrow(_counts_of_pairs(shards), _COUNTS)
-                         .groupBy("shard").applyInArrow(_merged, _COUNTS))
-    size = len(listed) + 2                       # listed words, the class, the beginning
-    of_context = _vector(restaurants.mapInArrow(_customers, "key long, n long"), size)
-    parent, seats, samples = np.full(size - 1, 1.0 / (size - 1)), np.minimum(of_context, 1), []
-    parent = np.append(parent, 0.0)
+    words = staged(packed.mapInArrow(_ask_words(shards), _ASKED).groupBy("shard").applyInArrow(_gather, _GATHERED))
+    n, v = words.mapInArrow(_sums, "n long, v long").agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    word_answers = words.mapInArrow(_answer_words, _ANSWERS)
+
+    # dealt out once: staged rows keep their partitions, so sweeps only move replies and tables
+    dealt = lambda df: staged(df.repartition(2 * shards, "shard"))
+    pairs = dealt(packed.mapInArrow(_ask_pairs(shards), _ASKED_PAIRS)
+                  .groupBy("shard").applyInArrow(_gather_pairs(shards), _PAIRS))
+    types = dealt(pairs.select("shard", "names", "parts", "u", "counts").mapInArrow(_name, _NAMED)
+                  .groupBy("shard").applyInArrow(_types, _TYPES))
+    customers = staged(types.mapInArrow(_reply_customers, _REPLIES))
+    replies, sums = [customers], {}
     for sweep in range(BURN + SAMPLES):
-        rows = staged(restaurants.mapInArrow(_sweep(sweep, send((parent, seats))), "kind long, key long, n long")
-                      .groupBy("kind", "key").agg(F.sum("n").alias("n")))
-        by_word = _vector(rows.where("kind = 1"), size)
-        now = _vector(rows.where("kind = 0"), size)
-        new = np.append(_parent(by_word[:-1], _rng(sweep, 1)), 0.0)   # nothing is followed by a beginning
-        if sweep >= BURN:
-            samples.append((sweep, parent, seats, new, now))
-        parent, seats = new, now
-    model = send((samples, of_context))
-    known = restaurants.mapInArrow(_predicted(shards, model), "shard long, keys binary, p binary")
-    pair_answers = (pairs.groupBy("shard").cogroup(known.groupBy("shard"))
-                    .applyInArrow(_answer_pairs(model), _ANSWERS))
+        before = customers if not sweep else customers.unionByName(replies[-1])
+        tables = (pairs.select("shard", "parts", "u", "w", "counts").groupBy("shard").cogroup(before.groupBy("shard"))
+                  .applyInArrow(_sweep(sweep, v, dict(sums)), _TABLES))
+        now = staged(types.groupBy("shard").cogroup(tables.groupBy("shard")).applyInArrow(_parent(sweep, v), _REPLIES))
+        sums[sweep] = tuple(now.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("all_dishes", "all_own")]).first())
+        replies.append(now)
+    used = customers
+    for now in replies[max(1, BURN):]:
+        used = used.unionByName(now)
+    pair_answers = (pairs.drop("names", "parts").groupBy("shard").cogroup(used.groupBy("shard"))
+                    .applyInArrow(_answer_pairs(v, sums), _ANSWERS))
     answers = word_answers.unionByName(pair_answers)
     scored = (packed.groupBy("slice").cogroup(answers.groupBy("slice"))
-              .applyInArrow(_score(shards, send((listed, n, v))),
+              .applyInArrow(_score(shards, n, v),
                             "doc_id long, n_tokens long, n_known long, base_score double, score double"))
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          "base_score", "score")
 
 
 def _sums(batches):
-    for b in batches:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([sum(int(_large(c).sum()) for c in b.column("counts").to_pylist())], pa.int64())], ["n"])
-
-
-def _customers(batches):
+    """Training tokens and training words of each shard."""
     for b in batches:
         for r in b.to_pylist():
-            found, back = np.unique(np.frombuffer(r["keys"], "<i8") >> _SHIFT, return_inverse=True)
+            _, counts, _ = _totals(r)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()),
-                 pa.array(np.bincount(back, _large(r["counts"]), len(found)).astype(np.int64))], ["key", "n"])
-
-
-def _vector(rows: DataFrame, size: int) -> np.ndarray:
-    """A vector over listed words (bounded by 1 / SHARE) from rows (key, n)."""
-    out = np.zeros(size, np.int64)
-    for r in rows.groupBy("key").agg(F.sum("n").alias("n")).collect():
-        out[r.key] = r.n
-    return out
+                [pa.array([int(counts.sum())], pa.int64()), pa.array([int((counts > 0).sum())], pa.int64())], ["n", "v"])

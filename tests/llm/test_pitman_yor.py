@@ -58,3 +58,12 @@ def test_nothing_to_learn_and_no_rows(spark):
     got = pitman_yor.score(odd_docs(spark), F.lit(False)).collect()
     assert len(got) == 13 and all(r.train_tokens == r.n_known == 0 and math.isfinite(r.score) for r in got)
     assert pitman_yor.score(no_docs(spark), everyone()).collect() == []
+
+
+def test_rare_words_keep_their_context_statistics(spark):
+    """Of 400,000 training tokens 'lefta', 'leftb', 'righta', 'rightb' are 3 each: their pairs still count."""
+    train = ["common " * 100_000] * 4 + ["lefta righta", "leftb rightb"] * 3
+    rows = [(i, t, *[None] * 6) for i, t in enumerate(train + ["lefta righta", "lefta rightb"])]
+    rows += [(100 + i, " ".join(f"w{i}x{j}" for j in range(200)), *[None] * 6) for i in range(5)]
+    got = {r.doc_id: r.score for r in pitman_yor.score(spark.createDataFrame(rows, SCHEMA), ~F.col("doc_id").isin(10, 11)).collect()}
+    assert got[10] > got[11] + 1
