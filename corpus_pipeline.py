@@ -40,8 +40,8 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded_sha256) of each text that is left."""
-    return bpe_codec.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """(doc_id, n_tokens, ids, decoded_sha256) of each text that is left: its ids, and the digest of what they decode to."""
+    return bpe_codec.encode_and_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

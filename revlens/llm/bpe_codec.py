@@ -133,16 +133,32 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids array<int>) of every text."""
+    return _encoded(docs, path, False)
+
+
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids array<int>, decoded_sha256) of every text: the digest is of the
+    text that its ids decode to."""
+    return _encoded(docs, path, True)
+
+
+def _encoded(docs: DataFrame, path: str, decoded: bool) -> DataFrame:
+    names = ["doc_id", "n_tokens", "ids"] + ["decoded_sha256"] * decoded
+
     def run(batches):
         c = codec(path)
         for b in batches:
             ids = [np.frombuffer(c.encode(x), "<u4") for x in b.column("text").cast(pa.binary()).to_pylist()]
             flat = np.concatenate([*ids, np.zeros(0, "<u4")]).astype(np.int32)
             ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_tokens", "ids"])
-    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+            columns = [b.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
+                       pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            if decoded:
+                columns.append(pa.array([hashlib.sha256(c.decode(i.tolist()).encode("utf-8")).hexdigest() for i in ids],
+                                        pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
+    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>"
+                                  + ", decoded_sha256 string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import hashlib
+
 import corpus_pipeline
 import public_tokenizers
 import pytest
@@ -64,6 +66,13 @@ def test_last_stage_is_the_encoding(stages):
         assert list(now.ids[k]) == library.encode(t, add_special_tokens=False).ids and now.n_tokens[k] == len(now.ids[k])
 
 
+def test_last_stage_decodes_the_ids(stages):
+    now = stages["bpe"][1]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for ids, digest in zip(now.ids, now.decoded_sha256):
+        assert digest == hashlib.sha256(library.decode([*map(int, ids)], skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_run_gives_the_last_stage_and_odd_rows_pass(spark, stages):
     got = corpus_pipeline.run(spark, SMALL).toPandas().set_index("doc_id")
     assert set(got.index) == set(stages["bpe"][1].index)
