@@ -4,7 +4,8 @@ A suspicious token (letters mixed with look-alike symbols, letters spelled out w
 separators, stretched letters) becomes a lattice: at each position the letters that it
 may stand for, or nothing for a repeat or a separator, each with a channel cost. The
 path of least cost under a character trigram model of the whole corpus is the restored
-word. Restored texts are scored by a decision list over words and word beginnings: the
+word; a run of single characters is decoded as a whole with optional word ends between them,
+as its own spaces don't part words. Restored texts are scored by a decision list over words and word beginnings: the
 strongest smoothed share of toxic documents among the labelled documents that have it,
 calibrated on labelled documents that the list of the other half of the sample scores.
 
@@ -35,13 +36,16 @@ CACHE_WORDS = 1 << 18
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 SWAP, DROP, KEEP, UNDOUBLE = 1.5, 0.7, 0.0, 8.0      # channel costs in nats
+MARGIN = 8.0          # over the best path's cost: up to it, words of a run of single characters are looked up
 _GAP = "._-*~"
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 _CODE = {c: i + 1 for i, c in enumerate(_ALPHABET)}
 _SIDE = 28                            # end of word, letters, any other letter
-_SPELT = re.compile(rb"(?<![^\s])(?:[A-Za-z0-9@$!|+][ ._*-]){3,}[A-Za-z0-9@$!|+](?![^\s.,;:!?])")
+_SPELT = re.compile(rb"(?<![^\s])(?:[A-Za-z0-9@$!|+][\s._*-]+){2,}[A-Za-z0-9@$!|+](?![^\s.,;:!?])")
 _RUNS = re.compile(r"^[^\w\s]{3,}|[^\w\s]{3,}$")
 _STRETCHED = re.compile(r"(.)\1{2,}")
+_TWICE = re.compile(r"(.)\1")
+_LONG = re.compile(r"(.)\1{4,}", re.S)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _ENDS = re.compile(r"^[^\w@$!|+€]+|[^\w@$]+$")
 _ODD = re.compile(r"(.)\1\1|[a-z][0-9@$!|+€._*~-]+[a-z]|^[@$!|+€0-9]{1,2}[a-z]{2}|[a-z][@$0]{1,2}$")
@@ -81,33 +85,72 @@ def char_model(docs: DataFrame) -> np.ndarray:
     return -np.log((tri + 20 * p2) / (tri.sum(2, keepdims=True) + 20))
 
 
-def restore(word: str, cost: np.ndarray) -> str:
-    """Viterbi decoding of a lower-case token's lattice; states are the last two letters.
-
-    Of letters that stand three or more times in a row (stretched) repeats are dropped cheaply,
-    of double letters at a price.
-    """
-    repeat = np.full(len(word), UNDOUBLE)
+def _repeats(word: str) -> list[float]:
+    """What dropping a repeat costs: little in runs of three or more (stretched), a price in doubles."""
+    repeat = [UNDOUBLE] * len(word)
     for m in _STRETCHED.finditer(word):
-        repeat[m.start():m.end()] = DROP
-    beam = {(0, 0, ""): (0.0, "")}       # (letter before, last letter, its symbol) -> cost, text
+        repeat[m.start():m.end()] = [DROP] * (m.end() - m.start())
+    return repeat
+
+
+def _step(beam: dict, ch: str, repeat: float, cost: np.ndarray) -> dict:
+    """The lattice's states after one more character; a key ends in (letter before, last letter, its symbol),
+    a value is (cost, (text before, letter))."""
+    grown: dict = {}
+    options = [(c, KEEP if c == ch else SWAP) for c in (ch if ch.isalpha() else "") + LOOKS.get(ch, "")]
+    for (start, a, b, seen), (so_far, out) in beam.items():
+        moves = [(b, _CODE.get(c, 27), ch, so_far + fee + cost.item(a, b, _CODE.get(c, 27)), (out, c))
+                 for c, fee in options]
+        if ch in _GAP or not options:
+            moves.append((a, b, seen, so_far + DROP, out))
+        elif ch == seen:
+            moves.append((a, b, seen, so_far + repeat, out))
+        for p, q, s, total, text in moves:
+            if (start, p, q, s) not in grown or total < grown[start, p, q, s][0]:
+                grown[start, p, q, s] = (total, text)
+    return grown
+
+
+def _text(chain) -> str:
+    letters = []
+    while chain:
+        chain, c = chain
+        letters.append(c)
+    return "".join(reversed(letters))
+
+
+def restore(word: str, cost: np.ndarray) -> str:
+    """Viterbi decoding of a lower-case token's lattice; states are the last two letters."""
+    repeat, beam = _repeats(word), {(0, 0, 0, ""): (0.0, None)}
     for at, ch in enumerate(word):
-        grown: dict = {}
-        options = [(c, KEEP if c == ch else SWAP) for c in (ch if ch.isalpha() else "") + LOOKS.get(ch, "")]
-        for (a, b, seen), (so_far, out) in beam.items():
-            moves = [(b, _CODE.get(c, 27), ch, so_far + fee + cost[a, b, _CODE.get(c, 27)], out + c)
-                     for c, fee in options]
-            if ch in _GAP or not options:
-                moves.append((a, b, seen, so_far + DROP, out))
-            elif ch == seen:
-                moves.append((a, b, seen, so_far + repeat[at], out))
-            for p, q, s, total, text in moves:
-                if (p, q, s) not in grown or total < grown[p, q, s][0]:
-                    grown[p, q, s] = (total, text)
-        beam = grown
-    total = {text: so_far + cost[a, b, 0] for (a, b, _), (so_far, text) in
-             sorted(beam.items(), key=lambda e: -e[1][0])}
-    return min(total, key=total.get)
+        beam = _step(beam, ch, repeat[at], cost)
+    return _text(min(((so_far + cost.item(a, b, 0), out) for (_, a, b, _), (so_far, out) in beam.items()),
+                     key=lambda e: e[0])[1])
+
+
+def words_in(run: str, cost: np.ndarray) -> list[str]:
+    """The words of a run whose spaces are lost: those of paths with word ends after any letter that cost
+    at most ``MARGIN`` more than the best up to there. States also hold where their word began."""
+    repeat, beam, found = _repeats(run), {(0, 0, 0, ""): (0.0, None)}, set()
+    for at, ch in enumerate(run):
+        beam = _step(beam, ch, repeat[at], cost)
+        ended = [(total + cost.item(a, b, 0), text) for (_, a, b, _), (total, text) in beam.items() if b]
+        most = min([t for t, _ in beam.values()] + [t for t, _ in ended]) + MARGIN
+        found.update(_text(text) for total, text in ended if total <= most)
+        beam = {k: v for k, v in beam.items() if v[0] <= most}
+        if ended:
+            beam[at + 1, 0, 0, ""] = (min(t for t, _ in ended), None)
+    return sorted(found)
+
+
+def _shortened(word: str, cost: np.ndarray) -> str:
+    """Runs of five or more equal characters as four: where a further one is dropped no dearer than
+    kept, the best path keeps at most two, and all paths drop the others alike."""
+    def four(m):
+        c = m[1]
+        code = _CODE.get(c, 27)
+        return m[0] if c.isalpha() and cost[code, code, code] < DROP else c * 4
+    return _LONG.sub(four, word)
 
 
 def restored(word: bytes, cost: np.ndarray) -> str:
@@ -115,20 +158,36 @@ def restored(word: bytes, cost: np.ndarray) -> str:
     text = word.decode("utf-8", "ignore").lower()
     core = _ENDS.sub("", _RUNS.sub("", text))
     if 2 < len(core) <= 40 and _ODD.search(core) and not core.isdigit():
-        core = restore(core, cost)
+        core = restore(_shortened(core, cost), cost)
     return _EDGE.sub("", core)
 
 
+def spelt(text: bytes) -> list[bytes]:
+    """The text's runs of single characters, without what parts them."""
+    return [re.sub(rb"[\s._*-]+", b"", m[0]) for m in _SPELT.finditer(text)]
+
+
+def respelt(run: bytes, cost: np.ndarray) -> list[str]:
+    """The words that a run of single characters may stand for."""
+    text = run.decode("ascii").lower()
+    return [] if text.isdigit() else words_in(_shortened(text, cost), cost)
+
+
+def readings(word: bytes, cost: np.ndarray) -> set[str]:
+    """The restored word, and of letters alone also the word as it stands (its repeats may be its own)."""
+    plain = _EDGE.sub("", word.decode("utf-8", "ignore").lower())
+    if plain.isalpha() and len(plain) == len(word) and not _TWICE.search(plain):     # nothing to decode or strip
+        return {plain}
+    return {restored(word, cost)} | ({plain} if plain.isalpha() else set())
+
+
 def features(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)] if len(word) > 2 else []
 
 
 def tokens(text: bytes) -> list[bytes]:
     """The text's words, and those that it spells out letter by letter."""
-    words = text.split()
-    if len(words) > 3:
-        words += [re.sub(rb"[ ._*-]", b"", m[0]) for m in _SPELT.finditer(text)]
-    return words
+    return text.split() + spelt(text)
 
 
 def _group_of(text: bytes) -> int:
@@ -159,7 +218,8 @@ def _feature_counts(cost: np.ndarray):
         for b in batches:
             for half, label, text in zip(b.column("half").to_pylist(), b.column("label").to_pylist(),
                                          b.column("text").cast(pa.binary()).to_pylist()):
-                for f in {f for w in {restored(t, cost) for t in set(tokens(text))} for f in features(w)}:
+                words = {w for t in set(tokens(text)) for w in readings(t, cost)} | {w for t in spelt(text) for w in respelt(t, cost)}
+                for f in {f for w in words for f in features(w)}:
                     c = counts.setdefault(f, [0, 0, 0, 0])
                     c[2 * half + label] += 1
         part = [*counts.items()]
@@ -225,7 +285,7 @@ class _Scores(dict):
         self.base, self.table, self.slope, self.shift, self.cost = base, table, slope, shift, cost
 
     def __missing__(self, word: bytes) -> float:
-        got = max((self.table.get(f, self.base) for f in features(restored(word, self.cost))), default=self.base)
+        got = max((self.table.get(f, self.base) for w in readings(word, self.cost) for f in features(w)), default=self.base)
         if len(word) <= 64:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -249,6 +309,8 @@ def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float], float, flo
 
 def _score(scores: _Scores, text: bytes) -> float:
     share = max(map(scores.__getitem__, tokens(text)), default=scores.base)
+    for run in spelt(text):
+        share = max([share, *(scores.table.get(f, scores.base) for w in respelt(run, scores.cost) for f in features(w))])
     if not 0 < share < 1:
         return share
     return 1 / (1 + math.exp(-(scores.slope * math.log(share / (1 - share)) + scores.shift)))

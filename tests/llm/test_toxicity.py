@@ -51,3 +51,11 @@ def test_odd_rows(spark, cost):
     kept = toxicity.keep_clean(odd_docs(spark), (0.1, {"fox": 0.8}, 1.0, 0.0), cost)
     assert kept.columns == odd_docs(spark).columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, *range(2, 11)]
     assert toxicity.score(no_docs(spark), model, toxicity.char_model(no_docs(spark))).collect() == []
+
+
+def test_spelt_words_next_to_one_letter_words_are_looked_up(spark, cost):
+    model = 0.05, {"idiot": 0.9, "clown": 0.8, "loser": 0.7}, 1.0, 0.0
+    texts = ["what a c l o w n he is", "a l o s e r", "y o u i d i o t", "an i  d\ti o\n t indeed", "f o u r words of no harm"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, model, cost).collect()}
+    assert [got[i] for i in range(5)] == pytest.approx([0.8, 0.7, 0.9, 0.9, 0.05])
