@@ -48,7 +48,12 @@ _TWICE = re.compile(r"(.)\1")
 _LONG = re.compile(r"(.)\1{4,}", re.S)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _ENDS = re.compile(r"^[^\w@$!|+€]+|[^\w@$]+$")
-_ODD = re.compile(r"(.)\1\1|[a-z][0-9@$!|+€._*~-]+[a-z]|^[@$!|+€0-9]{1,2}[a-z]{2}|[a-z][@$0]{1,2}$")
+# What a token to decode holds: a repeat, a look-alike next to a letter or to another one, a gap
+# between such; and a letter, or a look-alike that is no digit (others are numbers).
+_SIGNS = "01345789@$!|+€"
+_ODD = re.compile(rf"(.)\1|[{_SIGNS}](?:[^\W\d_]|[{_SIGNS}])|[^\W\d_][{_SIGNS}]"
+                  rf"|[^\W_][@$!|+€._*~-]+[^\W_]|[a-z][0-9]+[a-z]|[{_SIGNS}][._*~-]+[a-z{_SIGNS}]|[a-z][._*~-]+[{_SIGNS}]")
+_LETTERS = re.compile(r"[^\W\d_]|[@$!|€]")
 
 
 def _char_counts(batches):
@@ -157,7 +162,7 @@ def restored(word: bytes, cost: np.ndarray) -> str:
     """The word that a token of a text stands for, in lower case without outer punctuation."""
     text = word.decode("utf-8", "ignore").lower()
     core = _ENDS.sub("", _RUNS.sub("", text))
-    if 2 < len(core) <= 40 and _ODD.search(core) and not core.isdigit():
+    if len(core) > 2 and _ODD.search(core) and _LETTERS.search(core):
         core = restore(_shortened(core, cost), cost)
     return _EDGE.sub("", core)
 

@@ -59,3 +59,19 @@ def test_spelt_words_next_to_one_letter_words_are_looked_up(spark, cost):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.score for r in toxicity.score(df, model, cost).collect()}
     assert [got[i] for i in range(5)] == pytest.approx([0.8, 0.7, 0.9, 0.9, 0.05])
+
+
+@pytest.mark.parametrize("token, word", [
+    ("i" * 60 + "diot", "idiot"), ("-".join("i" * 30 + "diot"), "idiot"), ("idio7", "idiot"), ("5h17", "shit"), ("71t5", "tits"),
+    ("idiott", "idiot"), ("1d!07", "idiot"), ("i" * 100_000 + "diot", "idiot")])
+def test_every_obfuscated_token_is_decoded(cost, token, word):
+    assert toxicity.restored(token.encode(), cost) == word
+
+
+def test_numbers_and_words_with_double_letters_are_looked_up_as_they_stand(cost):
+    assert toxicity.restored(b"1455", cost) == "1455" and toxicity.readings(b"ass", cost) >= {"ass"}
+
+
+def test_long_runs_shorten_to_the_same_decoding(cost):
+    for word in ("i" * 9 + "diot", "lo" + "s" * 12 + "er", "$" * 7 + "tupid", "l" + "o---" * 5 + "ser", "1" * 8 + "diot"):
+        assert toxicity.restore(toxicity._shortened(word, cost), cost) == toxicity.restore(word, cost)
