@@ -113,17 +113,18 @@ def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(term): words that disclose some protected value; ``rows`` as with_base gives."""
     n = WINDOW_CHARS
+    # one more character shows whether the word at the window's far end is cut: it is dropped then
+    start, end = F.col("s.start").cast("int"), F.col("s.end").cast("int")
+    before = (F.when(start <= n, F.substring("text", F.lit(1), start))
+              .otherwise(F.regexp_replace(F.substring("text", start - n, F.lit(n + 1)), r"^\S*+", " ")))
+    after = F.substring("text", end + 1, F.lit(n + 1))
+    after = F.when(F.length(after) <= n, after).otherwise(F.regexp_replace(after, r"(?<!\S)\S*+$", " "))
     near = (rows.where(F.size("base") > 0)
             .select(F.xxhash64("text").alias("key"), "text", F.explode("base").alias("s"))
             .select("key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
-                    F.concat(F.substring("text", F.greatest(F.col("s.start") - n + 1, F.lit(1)).cast("int"),
-                                         F.least(F.col("s.start"), F.lit(n)).cast("int")),
-                             F.lit(" \n "),
-                             F.substring("text", F.col("s.end").cast("int") + 1, F.lit(n))).alias("around")))
-    # The word cut by the window's far end is not whole: dropped with the first and last piece.
-    around = F.regexp_replace("around", r"^\S*+|\S*+$", " ")
+                    F.concat(before, F.lit(" \n "), after).alias("around")))
     pairs = (near.select("key", "entity",
-                         F.explode(F.array_distinct(F.regexp_extract_all(F.lower(around), F.lit(TERM), F.lit(0))))
+                         F.explode(F.array_distinct(F.regexp_extract_all(F.lower("around"), F.lit(TERM), F.lit(0))))
                          .alias("term")).distinct())
     # a value or term in too few texts can't reach the support: left out before the corpus counts
     met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support)

@@ -84,3 +84,13 @@ def test_sanitise_masks_and_keeps_columns(spark):
 def test_no_python_on_the_main_path(spark):
     plan = private_terms.find(odd_docs(spark))._jdf.queryExecution().toString()
     assert "MapInArrow" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_terms_at_a_texts_own_ends_are_candidates(spark):
+    rng = random.Random(5)
+    filler = lambda: " ".join("".join(rng.choices("bcdfg", k=5)) for _ in range(12))
+    texts = [f"Zorbaland ann@x.org {filler()}" for _ in range(5)] + [f"{filler()} write to bob@x.org Querbach" for _ in range(5)]
+    texts += [filler() for _ in range(60)]
+    got = found(frame(spark, texts))
+    assert all(got[i][1] == "term:0:9" for i in range(5))
+    assert all(got[i][1].endswith(f"term:{len(texts[i]) - 8}:{len(texts[i])}") for i in range(5, 10))
