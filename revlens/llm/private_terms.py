@@ -2,9 +2,8 @@
 value discloses it. DataFrame functions only.
 
 Base spans are the leftmost non-overlapping matches of four patterns. The information-
-theoretic part treats each matched value as a protected entity: terms (words of letters)
-near its occurrences are counted over distinct texts, and a term t discloses an entity e
-when they meet in at least ``MIN_SUPPORT`` distinct texts and the information that t gives
+theoretic part treats each matched value as a protected entity: the terms (words) of all
+distinct texts that hold it are counted, and a term t discloses an entity e when they meet in at least ``MIN_SUPPORT`` distinct texts and the information that t gives
 about e, log2(P(e|t) / P(e)), is at least ``DISCLOSURE`` of all the information there is in
 e, -log2 P(e). Such terms become spans of kind ``term`` in every text that holds them,
 and ``sanitise`` removes them, while values are generalised to their kind.
@@ -35,13 +34,14 @@ PATTERNS = {
 }
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-# A term: a word of letters between white space and punctuation.
-TERM = r"(?<![^\s(,;:])\p{L}{4,40}+(?![^\s).,;:!?])"
-WINDOW_CHARS = 48
+# A term: letters, marks and digits, also with hyphens, apostrophes and underscores between them.
+_WORD = r"[\p{L}\p{M}\p{N}]"
+_BEFORE = rf"(?<!{_WORD})(?<!{_WORD}['’_-])"
+_AFTER = rf"(?!{_WORD}|['’_-]{_WORD})"
+TERM = rf"{_BEFORE}(?={_WORD}{{2}}|{_WORD}['’_-]{_WORD}){_WORD}++(?:['’_-]{_WORD}++)*+"
 MIN_SUPPORT = 3
 DISCLOSURE = 0.9
-BROADCAST_TERMS = 200_000       # of at most 40 letters each
-BROADCAST_BYTES = 32 * 2 ** 20  # of texts' lists of disclosing terms
+BROADCAST_BYTES = 32 * 2 ** 20  # of terms, or of texts' lists of disclosing terms
 
 
 def _luhn(digits: Column) -> Column:
@@ -112,48 +112,51 @@ def with_base(docs: DataFrame) -> DataFrame:
 def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(term): words that disclose some protected value; ``rows`` as with_base gives."""
-    n = WINDOW_CHARS
-    # one more character shows whether the word at the window's far end is cut: it is dropped then
-    start, end = F.col("s.start").cast("int"), F.col("s.end").cast("int")
-    before = (F.when(start <= n, F.substring("text", F.lit(1), start))
-              .otherwise(F.regexp_replace(F.substring("text", start - n, F.lit(n + 1)), r"^\S*+", " ")))
-    after = F.substring("text", end + 1, F.lit(n + 1))
-    after = F.when(F.length(after) <= n, after).otherwise(F.regexp_replace(after, r"(?<!\S)\S*+$", " "))
-    near = (rows.where(F.size("base") > 0)
-            .select(F.xxhash64("text").alias("key"), "text", F.explode("base").alias("s"))
-            .select("key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
-                    F.concat(before, F.lit(" \n "), after).alias("around")))
-    pairs = (near.select("key", "entity",
-                         F.explode(F.array_distinct(F.regexp_extract_all(F.lower("around"), F.lit(TERM), F.lit(0))))
-                         .alias("term")).distinct())
-    # a value or term in too few texts can't reach the support: left out before the corpus counts
-    met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support)
-    n_entity = (near.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")))
-    n_near = pairs.groupBy("term").agg(F.count_distinct("key").alias("n_near"))
+    key = F.xxhash64("text").alias("key")
+    held = (rows.where(F.size("base") > 0).select(key, F.explode("base").alias("s"))
+            .select("key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity")).distinct())
+    # a value or term in too few texts can't reach the support: left out before terms are counted
+    n_entity = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_support)
     total = rows.agg(F.count_distinct(F.xxhash64("text"))).scalar()
+    # they meet in at most n_entity texts, so a term in more than ``most`` texts can't disclose the value
+    most = F.pow(F.col("n"), F.lit(1 - disclosure)) * F.pow("n_entity", F.lit(disclosure)) * (1 + 1e-9)
+    held = staged(held.join(n_entity, "entity").withColumn("n", total).withColumn("most", most))
+    holders = held.groupBy("key").agg(F.max("most").alias("most"))
+    words = staged(rows.where(F.size("base") > 0).select(key, "text", "base").dropDuplicates(["key"])
+                   .join(holders, "key").select("key", "most", _terms().alias("term")))
+    n_near = (words.groupBy("term").agg(F.count("*").alias("n_near"), F.max("most").alias("most"))
+              .where((F.col("n_near") >= min_support) & (F.col("n_near") <= F.col("most"))).select("term", "n_near"))
+    pairs = (words.select("key", "term").join(n_near, "term").join(held, "key")
+             .where(F.col("n_near") <= F.col("most")))
+    met = (pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), *[F.first(c).alias(c) for c in ("n_near", "n_entity", "n")])
+           .where(F.col("n_both") >= min_support))
 
     def discloses(n_term: str) -> Column:
         info = F.log2(F.col("n_both") * F.col("n") / (F.col(n_term) * F.col("n_entity")))
         return info >= disclosure * F.log2(F.col("n") / F.col("n_entity"))
 
-    # a term is in at least as many texts as it is near some value in: common words can't
+    # a term is in at least as many texts as it is in with some value: common words can't
     # pass, whatever the corpus counts, and need none
-    met = staged(met.join(n_entity, "entity").join(n_near, "term").withColumn("n", total)
-                 .where(discloses("n_near")))
-    held = (_occurrences(rows, F.xxhash64("text").alias("key"), met.select("term").distinct())
+    met = staged(met.where(discloses("n_near")))
+    held = (_occurrences(rows, key, met.select("term").distinct())
             .groupBy("term").agg(F.approx_count_distinct("key", 0.01).alias("n_term")))
     # the corpus estimate of n_term isn't exact, the count near values is a bound on it
     return (met.join(held, "term").withColumn("n_term", F.greatest("n_term", "n_near"))
             .where(discloses("n_term")).select("term").distinct())
 
 
+def _terms() -> Column:
+    """The distinct terms of a text outside its values, one a row."""
+    clear = F.when(F.size("base") > 0, masked(F.col("text"), F.col("base"), " \n ")).otherwise(F.col("text"))
+    return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(clear), F.lit(TERM), F.lit(0))))
+
+
 def _occurrences(rows: DataFrame, key: Column, terms: DataFrame) -> DataFrame:
-    """(key, term) of each text that holds one of the terms. Up to BROADCAST_TERMS terms are
+    """(key, term) of each text that holds one of the terms. Up to BROADCAST_BYTES of terms are
     sent to the texts; more are joined by shuffling the texts' words."""
     terms = staged(terms)
-    few = terms.count() <= BROADCAST_TERMS
-    words = rows.select(key, F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    few = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0] <= BROADCAST_BYTES
+    words = rows.select(key, _terms().alias("term"))
     return words.join(F.broadcast(terms) if few else terms, "term", "left_semi")
 
 
@@ -164,7 +167,7 @@ def with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
     size = holders.agg(F.coalesce(F.sum(F.octet_length(F.array_join("_t", "|")) + 64), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         holders = F.broadcast(holders)
-    pattern = F.concat(F.lit(r"(?iu)(?<![^\s(,;:])(?:"), F.array_join("_t", "|"), F.lit(r")(?![^\s).,;:!?])"))
+    pattern = F.concat(F.lit(f"(?iu){_BEFORE}(?:"), F.array_join("_t", "|"), F.lit(f"){_AFTER}"))
     clear = F.filter(_spans(F.col("text"), pattern, "term", lambda v: F.lit(True)),
                      lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     return (rows.join(holders, "row", "left")
@@ -182,8 +185,8 @@ def find(docs: DataFrame, min_support: int = MIN_SUPPORT, disclosure: float = DI
     return with_terms(rows, disclosing_terms(rows, min_support, disclosure))
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with values generalised to ``[KIND]`` and terms removed; of overlapping
+def masked(text: Column, spans: Column, by: str | None = None) -> Column:
+    """The text with values generalised to ``[KIND]`` (or ``by``) and terms removed; of overlapping
     spans the first one stands, its mask covering the others up to its end."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
     done = F.aggregate(
@@ -194,7 +197,7 @@ def masked(text: Column, spans: Column) -> Column:
                 F.substring(text, (acc["at"] + 1).cast("int"),
                             F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")),
                 F.when(s["kind"] == "term", F.lit("")).when(s["start"] < acc["at"], F.lit(""))
-                .otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).alias("out"))),
+                .otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")) if by is None else F.lit(by)))).alias("out"))),
         lambda acc: F.concat(F.array_join(acc["out"], ""),
                              F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2 ** 31 - 1))))
     return F.when(F.size(spans) == 0, text).otherwise(done)

@@ -94,3 +94,18 @@ def test_terms_at_a_texts_own_ends_are_candidates(spark):
     got = found(frame(spark, texts))
     assert all(got[i][1] == "term:0:9" for i in range(5))
     assert all(got[i][1].endswith(f"term:{len(texts[i]) - 8}:{len(texts[i])}") for i in range(5, 10))
+
+
+def test_terms_far_from_the_value_and_of_all_forms_are_candidates(spark):
+    rng = random.Random(6)
+    filler = lambda: " ".join("".join(rng.choices("bcdfgh", k=6)) for _ in range(20))
+    names = ["Zorbaland", "Li", "王小明", "Anne-Marie", "O'Neill", "“Quux”", "[Brak]", "ID-4711x"]
+    texts = [f"{' '.join(names)}. {filler()} {filler()} ann@x.org {filler()}" for _ in range(5)]
+    texts += [filler() for _ in range(60)] + ["Anne alone, Neill alone"]
+    got = found(frame(spark, texts))
+    want, at = [], 0
+    for name in names:
+        bare = name.strip("“”[]")
+        want.append(f"term:{at + name.index(bare)}:{at + name.index(bare) + len(bare)}")
+        at += len(name) + 1
+    assert all(got[i][1] == ",".join(want) for i in range(5)) and got[65][1] == ""
