@@ -91,9 +91,9 @@ def _spans(text: Column, pattern: Column, kind: str, passes) -> Column:
 
 def _base(text: Column, kind: str) -> Column:
     pattern = F.lit(PATTERNS[kind])
-    may = text.rlike("[0-9]{2}|[0-9][ .-][0-9]") if kind != "email" else F.contains(text, F.lit("@"))
-    if kind in ("ip", "phone"):
-        may = F.contains(text, F.lit(_NEEDS[kind])) & may
+    may = F.contains(text, F.lit(_NEEDS[kind])) if _NEEDS[kind] else F.lit(True)
+    if kind in ("ip", "card"):
+        may = may & text.rlike("[0-9]{2}|[0-9][ .-][0-9]")
     return (F.when(may & text.rlike(PATTERNS[kind]),
                    _spans(text, pattern, kind, lambda v: _passes(kind, v)))
             .otherwise(F.array().cast(_NONE)))
@@ -139,10 +139,8 @@ def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
     # pass, whatever the corpus counts, and need none
     met = staged(met.where(discloses("n_near")))
     held = (_occurrences(rows, key, met.select("term").distinct())
-            .groupBy("term").agg(F.approx_count_distinct("key", 0.01).alias("n_term")))
-    # the corpus estimate of n_term isn't exact, the count near values is a bound on it
-    return (met.join(held, "term").withColumn("n_term", F.greatest("n_term", "n_near"))
-            .where(discloses("n_term")).select("term").distinct())
+            .distinct().groupBy("term").agg(F.count("*").alias("n_term")))
+    return met.join(held, "term").where(discloses("n_term")).select("term").distinct()
 
 
 def _terms() -> Column:

@@ -109,3 +109,14 @@ def test_terms_far_from_the_value_and_of_all_forms_are_candidates(spark):
         want.append(f"term:{at + name.index(bare)}:{at + name.index(bare) + len(bare)}")
         at += len(name) + 1
     assert all(got[i][1] == ",".join(want) for i in range(5)) and got[65][1] == ""
+
+
+def test_phone_of_single_digits_is_found(spark):
+    text = "call +1(2)3(4)5(6)7(8)9 now"
+    assert found(frame(spark, [text]))[0][0] == base(text) == "phone:5:23"
+
+
+def test_texts_of_a_term_are_counted_exactly(spark):
+    plan = lambda df: df._jdf.queryExecution().toString()
+    rows = private_terms.with_base(frame(spark, ["zorbaland ann@x.org"]))
+    assert "approx_count_distinct" not in plan(private_terms.disclosing_terms(rows))
