@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, near_dedup, pitman_yor, private_terms, quality, quote_threads, token_counts, topk_search, toxicity
+from . import (
+    bpe_codec,
+    decontaminate,
+    manifest,
+    near_dedup,
+    pitman_yor,
+    private_terms,
+    quality,
+    quote_threads,
+    simhash,
+    token_alignment,
+    token_counts,
+    topk_search,
+    toxicity,
+)
 from .common import crc_mod, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -72,13 +86,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = (crc_mod(F.col("doc_id"), 3) == 0) & F.col("doc_id").isNotNull()
+    return manifest.proofs(table(spark, sf_dir, "documents"), tampered).drop("path")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_pitman_yor, op3_quality, op4_near_dedup, op5_token_counts, op6_quote_threads, op7_private_terms,
     op8_bpe_codec,
-    op9_decontaminate, op10_toxicity)}
+    op9_decontaminate, op10_toxicity, op11_simhash_dedup, op12_merkle_manifest, op13_token_alignment)}
 
 ORACLE_SQL = {
     "op6_quote_threads": quote_threads.THREADS_SQL,
+    "op12_merkle_manifest": manifest.PROOFS_SQL,
     "op1_exact_topk": """
         WITH v AS (
             SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q
