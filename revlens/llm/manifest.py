@@ -27,6 +27,7 @@ from .common import staged
 
 FAN = 8
 TOP = "root"           # the tree of subroots; the trees of languages are "" (null) and "=" + language
+BROADCAST_BYTES = 4 << 20
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -39,6 +40,13 @@ def _field(column: Column) -> Column:
     return F.coalesce(F.concat(F.octet_length(column).cast("string"), F.lit(":"), column), F.lit("-"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """The staged rows, for a broadcast if they are few and short; else a join shuffles."""
+    df = staged(df)
+    n, chars = df.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("tree")), F.lit(0))).first()
+    return F.broadcast(df) if n * 100 + chars <= BROADCAST_BYTES else df
+
+
 def leaves(docs: DataFrame, tampered: Column) -> DataFrame:
     """(tree, doc_id, leaf, other): ``other`` is the leaf of the lower-cased text where ``tampered``."""
     c = {k: F.col(k).cast("long" if k in ("doc_id", "n_chars") else "string").cast("string") for k in COLUMNS}
@@ -56,7 +64,7 @@ def placed(rows: DataFrame, *order: str) -> DataFrame:
     # one row for each partition and tree; partitions hold few trees, as they are ranges of them
     sizes = kept.groupBy("part", "tree").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     before = "sum(n) OVER (PARTITION BY tree ORDER BY part ROWS UNBOUNDED PRECEDING) - n - first AS shift"
-    sizes = sizes.selectExpr("part", "tree", before, "sum(n) OVER (PARTITION BY tree) AS total")
+    sizes = _small(sizes.selectExpr("part", "tree", before, "sum(n) OVER (PARTITION BY tree) AS total"))
     return kept.join(sizes, ["part", "tree"]).withColumn("idx", F.col("at") + F.col("shift")).drop("part", "at", "shift")
 
 
@@ -145,7 +153,7 @@ def proofs(docs: DataFrame, tampered: Column) -> DataFrame:
     leaf = (parents.join(paths, "id").select("tree", "total", "path", F.posexplode("kids").alias("i", "kid"), "kids")
             .select("tree", "kid.doc_id", F.col("kid.h").alias("leaf"), "kid.other",
                     F.concat(F.when(F.col("total") > 1, F.array(_siblings(F.col("kids"), F.col("i")))).otherwise(empty), "path").alias("path")))
-    leaf = leaf.join(subroots.select(F.col("of").alias("tree"), F.col("h").alias("subroot")), "tree")
+    leaf = leaf.join(_small(subroots.select(F.col("of").alias("tree"), F.col("h").alias("subroot"))), "tree")
     folded = F.aggregate("path", F.coalesce("other", "leaf"), lambda h, s: digest(s["left"], h, s["right"]))
     out = leaf.select("doc_id", "leaf", "subroot", F.lit(roots[0].h if roots else None).cast("string").alias("root"),
                       digest(F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), "")).alias("proof_sha256"),
