@@ -7,7 +7,7 @@ both end cut the text into groups, and every stretch between neighbouring offset
 is one link, the overlap of one token of each. A link of ids (a, b) counts as often as its text.
 
 The corpus-wide counts of id pairs grow with the corpus and are sent to nobody whole. The
-distinct texts lie in slices of about ``SLICE_BYTES``; a slice puts out each of its pairs once,
+distinct texts lie in slices of about ``SLICE_BYTES``; a slice holds each of its pairs once,
 already summed, the sums are added up by pair, and every slice is answered for the pairs that it
 asked about and no others. Measures are joined to the rows by the digest of their text.
 
@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,30 @@ from .bpe_codec import byte_symbols
 from .common import texts
 
 SLICE_BYTES = 32 << 20
+CACHE_WORDS = 1 << 19
+# The pre-tokens of the byte-level file, over characters on whose classes every Unicode version agrees.
+_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
+_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ‐-‧€]*")
 _aligners: dict = {}
 
 
+class _Words(dict):
+    """pre-token -> its ids, by the library's model; a bounded cache."""
+
+    def __init__(self, library):
+        super().__init__()
+        self.model, self.symbols = library.model, byte_symbols()
+
+    def __missing__(self, word: str) -> list[int]:
+        got = [t.id for t in self.model.tokenize("".join([self.symbols[b] for b in word.encode()]))]
+        if len(word) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = got
+        return got
+
+
 class Aligner:
     """Both tokenizers, with the bytes and printed forms of their ids."""
 
@@ -46,6 +69,7 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.a.no_padding()
         self.a.no_truncation()
+        self.words = _Words(self.a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         value = {c: i for i, c in enumerate(byte_symbols())}
         vocab = self.a.get_vocab(with_added_tokens=True)
@@ -63,10 +87,12 @@ class Aligner:
 
     def encode(self, data: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """The ids of both sides for each text; None where either side doesn't give the text back."""
-        many = self.a.encode_batch_fast([" " + t for t in data], add_special_tokens=False)
+        plain = [_PLAIN.fullmatch(t) is not None for t in data]
+        rest = iter(self.a.encode_batch_fast([" " + t for t, p in zip(data, plain) if not p], add_special_tokens=False))
         out = []
-        for t, a, b in zip(data, many, self.b.encode(data, num_threads=1, out_type=int)):
-            whole, a = b" " + t.encode(), a.ids
+        for t, p, b in zip(data, plain, self.b.encode(data, num_threads=1, out_type=int)):
+            whole = b" " + t.encode()
+            a = [*chain.from_iterable(map(self.words.__getitem__, _WORDS.findall(" " + t)))] if p else next(rest).ids
             good = all(b"".join(map(bits.__getitem__, ids)) == whole for bits, ids in ((self.bytes_a, a), (self.bytes_b, b)))
             out.append((np.array(a, np.int64), np.array(b, np.int64)) if good else None)
         return out
@@ -74,15 +100,19 @@ class Aligner:
     def measure(self, a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, str]:
         """(groups, pair of each link as a * n_b + b, digest of the printed groups) of two encodings of one text."""
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        both = np.intersect1d(end_a, end_b, assume_unique=True)
-        ends = np.union1d(end_a, end_b)
-        pairs = a[np.searchsorted(end_a, ends)] * self.n_b + b[np.searchsorted(end_b, ends)]
-        last_a, last_b = (np.isin(e, both, assume_unique=True, kind="sort") for e in (end_a, end_b))
+        ends = np.zeros(end_a[-1] + 1, np.uint8)                  # at each offset: 1 if A ends there, and 2 if B does
+        ends[end_a] = 1
+        ends[end_b] += 2
+        kind = ends[ends > 0]
+        by_a, by_b, by_both = (kind & 1) > 0, (kind & 2) > 0, kind == 3
+        before = lambda x: np.cumsum(x) - x
+        pairs = a[before(by_a)] * self.n_b + b[before(by_b)]
         # all tokens in the order of the groups, in a group those of A first
-        group = np.concatenate([2 * np.searchsorted(both, end_a), 2 * np.searchsorted(both, end_b) + 1])
-        marks = np.concatenate([2 * a + last_a, self.shown_b + 2 * b + last_b])[np.argsort(group, kind="stable")]
+        group = 2 * before(by_both)
+        marks = np.concatenate([2 * a + by_both[by_a], self.shown_b + 2 * b + by_both[by_b]])
+        marks = marks[np.argsort(np.concatenate([group[by_a], group[by_b] + 1]), kind="stable")]
         text = "".join(map(self.shown.__getitem__, marks.tolist()))[:-1]
-        return len(both), pairs, hashlib.sha256(text.encode()).hexdigest()
+        return int(by_both.sum()), pairs, hashlib.sha256(text.encode()).hexdigest()
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -91,7 +121,7 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _aligners[path_a, path_b]
 
 
-_ALIGNED = "digest binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary"
+_ALIGNED = "digest binary, slice long, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary"
 _NAMES = [c.split()[0] for c in _ALIGNED.split(", ")]
 
 
@@ -102,14 +132,14 @@ def _aligned(path_a: str, path_b: str):
         for batch in batches:
             data = batch.column("text").to_pylist()
             rows = []
-            for text, copies, ids in zip(data, batch.column("copies").to_pylist(), al.encode(data)):
+            for text, at, copies, ids in zip(data, *(batch.column(c).to_pylist() for c in ("slice", "copies")), al.encode(data)):
                 if ids is not None:
                     groups, links, sha = al.measure(*ids)
                     pairs, times = np.unique(links, return_counts=True)
-                    rows.append((hashlib.sha256(text.encode()).digest(), copies, len(ids[0]), len(ids[1]), groups, len(links), sha,
+                    rows.append((hashlib.sha256(text.encode()).digest(), at, copies, len(ids[0]), len(ids[1]), groups, len(links), sha,
                                  pairs.astype("<u8" if al.n_b * len(al.bytes_a) > 2 ** 32 else "<u4").tobytes(), times.astype("<u4").tobytes()))
             if rows:
-                kinds = [pa.binary(), *[pa.int64()] * 5, pa.string(), pa.binary(), pa.binary()]
+                kinds = [pa.binary(), *[pa.int64()] * 6, pa.string(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], _NAMES)
     return run
 
@@ -120,17 +150,19 @@ def _unpacked(pairs: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _summed(batches):
-    """(slice, pair, n): each slice's pairs once, over a run of its rows."""
-    def added(at, held):
+    """(slice, pair, n): each slice's pairs, summed over a run of its rows."""
+    def added(held):
         pairs, where = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
-        n = np.bincount(where, np.concatenate([t for _, t in held]).astype(np.float64), len(pairs)).astype(np.int64)
-        return at, [(pairs, n)]
+        n = np.zeros(len(pairs), np.int64)
+        np.add.at(n, where, np.concatenate([t for _, t in held]))
+        return pairs, n
 
     def put(at, held):
-        pairs, n = added(at, held)[1][0]
+        pairs, n = added(held)
         for lo in range(0, len(pairs), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs[lo:lo + 100_000]), at)), pa.array(pairs[lo:lo + 100_000]),
-                                              pa.array(n[lo:lo + 100_000])], ["slice", "pair", "n"])
+            some = pairs[lo:lo + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), at)), pa.array(some), pa.array(n[lo:lo + 100_000])],
+                                             ["slice", "pair", "n"])
     at, held, size = None, [], 0
     for b in batches:
         for s, copies, pairs, times in zip(*(b.column(c).to_pylist() for c in ("slice", "copies", "pairs", "times"))):
@@ -141,8 +173,7 @@ def _summed(batches):
             at, size = s, size + len(p)
             held.append((p, t * copies))
             if size > 2_000_000:
-                held = added(at, held)[1]
-                size = 0
+                held, size = [added(held)], 0
     if held:
         yield from put(at, held)
 
@@ -175,17 +206,21 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     rows, spark = texts(docs), docs.sparkSession
     full = rows.where("text <> ''")
     total = full.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    slices = max(1, -(-total // SLICE_BYTES))
     with sized_shuffle(spark, total, SLICE_BYTES):
-        distinct = full.groupBy("text").agg(F.count("*").alias("copies"))
-        # a slice is what one task reads of the shuffle; written down, so it stays what it is
-        made = _stored(distinct.mapInArrow(_aligned(path_a, path_b), _ALIGNED).withColumn("slice", F.spark_partition_id().cast("long")),
-                       "aligned")
+        parts = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        # slices follow the partitions of the shuffle by text, so that a task's texts are of one slice or a few
+        distinct = (full.groupBy("text").agg(F.count("*").alias("copies"))
+                    .withColumn("slice", F.expr(f"pmod(hash(text), {parts}) * {slices}L div {parts}")))
+        made = _stored(distinct.mapInArrow(_aligned(path_a, path_b), _ALIGNED), "aligned")
     n_b = aligner(path_a, path_b).n_b
-    sums = _stored(made.select("slice", "copies", "pairs", "times").mapInArrow(_summed, "slice long, pair long, n long"), "pairs")
+    sums = (made.select("slice", "copies", "pairs", "times").mapInArrow(_summed, "slice long, pair long, n long")
+            .groupBy("slice", "pair").agg(F.sum("n").alias("n")))
+    sums = _stored(sums, "pairs")
     counts = sums.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("b", F.col("pair") % n_b)
     most = counts.groupBy("b").agg(F.max("n").alias("most"))
     counts = counts.join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
-    answers = sums.select("slice", "pair").distinct().join(counts, "pair").select("slice", "pair", "n", "best")
+    answers = sums.select("slice", "pair").join(counts, "pair").select("slice", "pair", "n", "best")
     asked = made.select("slice", "digest", "pairs", "times")
     found = (asked.groupBy("slice").cogroup(answers.groupBy("slice"))
              .applyInArrow(_measured, "digest binary, n_best long, count_sum long"))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -55,10 +56,13 @@ def brute(rows):
                 links.append((i, b[at][0]))
                 at += 1
         cuts = sorted({y for *_, y in a} & {y for *_, y in b})
-        groups, was = [], 0
-        for cut in cuts:
-            groups.append("|".join(",".join(str(i) for i, x, y in s if was <= x and y <= cut) for s in (a, b)))
-            was = cut
+        parts = [[[], []] for _ in cuts]
+        for side, tokens in enumerate((a, b)):
+            at = 0
+            for i, _, y in tokens:
+                at += y > cuts[at]
+                parts[at][side].append(str(i))
+        groups = ["|".join(map(",".join, p)) for p in parts]
         made.append((k, (len(a), len(b), len(cuts), links, hashlib.sha256(";".join(groups).encode()).hexdigest())))
         counts.update(links)
     most = Counter()
@@ -107,3 +111,14 @@ def test_middle_table_counts_agree_with_the_libraries(spark):
     for k, t in zip(sample.doc_id, sample.text):
         e = both(t)
         assert (by.n_a[k], by.n_b[k]) == ((len(e[0]), len(e[1])) if e else (0, 0))
+
+
+def test_cached_words_are_the_library_s():
+    rng = random.Random(2)
+    chars = [chr(c) for c in [9, 10, 13, *range(32, 127), *range(0xA0, 0x250), *range(0x2010, 0x2028), 0x20AC]]
+    chars += [" "] * 150 + ["'"] * 30 + ["\n"] * 20
+    data = ["".join(rng.choices(chars, k=50)) for _ in range(3000)] + ["\x1c a", "a\x85b", "日本 語"]
+    al = token_alignment.aligner(A, B)
+    expected = [e.ids for e in al.a.encode_batch([" " + t for t in data], add_special_tokens=False)]
+    assert all(got is None or got[0].tolist() == e for got, e in zip(al.encode(data), expected))
+    assert sum(got is not None for got in al.encode(data)) > 100
