@@ -72,8 +72,6 @@ def main() -> None:
     timed("full_job_warm", lambda: full_job("warm"))
     timed("validation", lambda: jobs.run_input_validation(
         spark, reviews_bad, meta_bad, fraction=0.05))
-    timed("validation_staged", lambda: jobs.run_input_validation(
-        spark, reviews_bad, meta_bad, fraction=0.05, stage=True))
     # Registered queries through the no-op sink (full plan, no transfer of result
     # rows to Python): end to end from the test tables, but for the two JSON ones
     # (sample_join_coverage, review_quality_by_file), whose lines setup has written.
@@ -81,7 +79,7 @@ def main() -> None:
                  "polarization_profile", "polarization_profile_eager", "row_counts",
                  "clean_reviews", "joined_reviews",
                  "sample_join_coverage", "review_quality_by_file", "duplicate_totals",
-                 "vote_quantiles", "high_rating_by_verified"):
+                 "vote_quantiles", "high_rating_by_verified", "high_rating_by_verified_json"):
         q = catalog.QUERIES[name]
         timed(name, lambda q=q: q(spark, sf_dir).write.format("noop").mode("overwrite").save())
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from revlens import schemas
 from revlens.functions import features as fx
+from revlens.operators import staged as st
 
 
 def prune_reviews(df: DataFrame) -> DataFrame:
@@ -37,8 +38,11 @@ def dedup_reviews(df: DataFrame) -> DataFrame:
 
 def narrow_reviews(df: DataFrame) -> DataFrame:
     """The review columns with the text as its length and digest: what a dedup
-    needs when no text is wanted, some dozens of bytes instead of the text."""
+    needs when no text is wanted, some dozens of bytes instead of the text. Rows that
+    have them already (computed before a join multiplied the texts) are taken as they are."""
     rest = [c for c in schemas.REVIEW_COLUMNS if c != "text"]
+    if "text_digest" in df.columns:
+        return df.select(*rest, "review_text_length", "text_digest")
     return prune_reviews(df).select(*rest, F.length("text").alias("review_text_length"),
                                     F.sha2(F.col("text").cast("binary"), 256).alias("text_digest"))
 
@@ -98,17 +102,37 @@ def clean_reviews(df: DataFrame, cap: int = schemas.HELPFUL_VOTE_CAP,
                   reference_date: str = schemas.REFERENCE_DATE,
                   with_z: bool = True, with_text: bool = True) -> DataFrame:
     """Prune -> exact dedup -> 13 engineered columns. Without ``with_text`` the same rows
-    lack their text, and the dedup shuffles a digest in its place."""
+    lack their text, and the dedup shuffles a digest in its place; with it the rows are staged
+    first (``operators.staged``), and the frame reads the staged rows."""
     if with_text:
-        unique = df.transform(prune_reviews).transform(dedup_reviews)
-    else:
-        unique = df.transform(narrow_reviews).transform(dedup_reviews).drop("text_digest")
+        return clean_staged(stage_reviews(df), cap, reference_date, with_z).drop("slice")
+    unique = df.transform(narrow_reviews).transform(dedup_reviews).drop("text_digest")
     out = unique.transform(add_row_features, cap)
     if with_z:
         out = out.transform(add_length_z)
     return out.transform(add_age_features, reference_date)
 
 
+def stage_reviews(df: DataFrame) -> st.StagedReviews:
+    """The pruned reviews staged, with their surplus copies and moments known."""
+    return st.find_surplus(st.stage_rows(prune_reviews(df)))
+
+
+def dedup_staged(df: DataFrame) -> DataFrame:
+    """Exact-row dedup of reviews with texts: as ``dedup_reviews``, but only digests are shuffled."""
+    return stage_reviews(df).distinct_rows().select(*schemas.REVIEW_COLUMNS)
+
+
+def clean_staged(staged: st.StagedReviews, cap: int = schemas.HELPFUL_VOTE_CAP,
+                 reference_date: str = schemas.REFERENCE_DATE, with_z: bool = True) -> DataFrame:
+    """Distinct staged reviews with the 13 engineered columns, and their ``slice``."""
+    out = staged.distinct_rows().select(*schemas.REVIEW_COLUMNS, "slice").transform(add_row_features, cap)
+    if with_z:
+        number = lambda x: F.lit(x).cast("double")
+        out = out.withColumn("review_text_length_z", F.try_divide(F.col("review_text_length") - number(staged.mean), number(staged.std)))
+    return out.transform(add_age_features, reference_date)
+
+
 def clean_metadata(df: DataFrame, placeholder: str = schemas.STORE_PLACEHOLDER) -> DataFrame:
     """Missing flags for price and store; store imputed, price left as is."""
     return (

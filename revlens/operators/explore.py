@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens import schemas
+from revlens import schemas, session
 from revlens.functions import features as fx
 from revlens.operators.clean import narrow_reviews
 
@@ -186,53 +186,95 @@ def vote_range(clean: DataFrame) -> DataFrame:
                         F.avg("helpful_vote").alias("avg_helpful_vote"))
 
 
-def vote_quantiles_approx(clean: DataFrame,
-                          probabilities: Sequence[float] = tuple(schemas.COARSE_QUANTILES),
-                          relative_error: float = schemas.COARSE_QUANTILE_ERROR) -> DataFrame:
-    """Approximate vote quantiles as (quantile, helpful_vote) rows.
+SKETCH_SIZE = 65_535     # the largest: a rank error of 0.000104; up to so many values are held as they are
 
-    ``percentile_approx`` merges per-task quantile sketches (Greenwald-Khanna
-    summaries), the distributed form of ``approxQuantile``; accuracy is
-    1 / relative error. NULL votes are ignored.
+
+def vote_sketches(rows: DataFrame, by: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """(by, sketch): a mergeable KLL sketch of the votes of each group, e.g. of each file or year.
+
+    A sketch is bounded (about 1.5 MB at the largest size) whatever the group's, and can be kept;
+    tasks' own sketches are merged on the way, so a group that holds most rows is no hot one.
     """
-    accuracy = int(round(1.0 / relative_error))
-    arr = F.percentile_approx("helpful_vote", list(probabilities), accuracy)
-    return (clean.select(F.arrays_zip(F.array(*[F.lit(float(p)) for p in probabilities]),
-                                      arr).alias("z"))
-            .select(F.explode("z").alias("z"))
-            .select(F.col("z.0").alias("quantile"),
-                    F.col("z.1").cast("double").alias("helpful_vote")))
-
-
-def vote_histogram(clean: DataFrame) -> DataFrame:
-    """(helpful_vote, below, upto, total): rows with fewer votes, with at most as many, and
-    all, for each number of votes. The running sums see one row per distinct number."""
+    return rows.groupBy(by).agg(F.kll_sketch_agg_bigint("helpful_vote", size).alias("sketch"))
+
+
+def vote_quantiles_approx(sketches: DataFrame, probabilities: Sequence[float] = tuple(schemas.COARSE_QUANTILES)) -> DataFrame:
+    """Approximate vote quantiles as (quantile, helpful_vote) rows, from merged sketches. NULL votes
+    have no part in them; without votes the quantiles are NULL."""
+    merged = sketches.agg(F.kll_merge_agg_bigint("sketch").alias("all"))
+    value = lambda p: F.when(F.kll_sketch_get_n_bigint("all") > 0, F.kll_sketch_get_quantile_bigint("all", F.lit(p)))
+    pairs = F.array(*[F.struct(F.lit(float(p)).alias("quantile"), value(float(p)).cast("double").alias("helpful_vote"))
+                      for p in probabilities])
+    return merged.select(F.explode(pairs).alias("s")).select("s.*")
+
+
+FAN_OUT = 1024       # ranges that a pass of the selection counts
+
+
+def vote_counts(clean: DataFrame) -> DataFrame:
+    """(helpful_vote, n) of each number of votes, written down once for all passes over it."""
     counts = clean.where("helpful_vote IS NOT NULL").groupBy("helpful_vote").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy("helpful_vote")
-    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (counts.select("helpful_vote", "n", upto.alias("upto"))
-            .select("helpful_vote", (F.col("upto") - F.col("n")).alias("below"), "upto",
-                    F.max("upto").over(Window.partitionBy()).alias("total")))
+    path = session.staging_path(clean.sparkSession, "vote-counts")
+    counts.write.parquet(path)
+    return clean.sparkSession.read.parquet(path)
+
+
+def select_ranks(counts: DataFrame, probabilities: Sequence[float]) -> dict[float, int]:
+    """The least value that the share p of rows doesn't exceed, for each p, of (helpful_vote, n).
+
+    Distributed selection: each pass counts the rows of ``FAN_OUT`` equal ranges between the
+    bounds known so far and goes on in the one that holds the rank, until it is one value. A pass
+    sends at most FAN_OUT sums a probability to the driver, whatever the number of values.
+    """
+    low, high, total = counts.agg(F.min("helpful_vote"), F.max("helpful_vote"), F.sum("n")).first()
+    if not total:
+        return {}
+    # at p: the range, and how many rows lie below it
+    bounds = {float(p): (low, high, 0) for p in probabilities}
+    while open_ranges := sorted({(lo, hi) for lo, hi, _ in bounds.values() if lo < hi}):
+        steps = {r: -(-(r[1] - r[0] + 1) // FAN_OUT) for r in open_ranges}
+        inside = F.array_compact(F.array(*[
+            F.when(F.col("helpful_vote").between(lo, hi),
+                   F.struct(F.lit(i).alias("range"), F.floor((F.col("helpful_vote") - lo) / step).cast("long").alias("part")))
+            for i, ((lo, hi), step) in enumerate(steps.items())]))
+        sums: dict = {}
+        for r in counts.select(F.explode(inside).alias("at"), "n").groupBy("at").agg(F.sum("n").alias("n")).collect():
+            sums.setdefault(open_ranges[r["at"]["range"]], []).append((r["at"]["part"], r["n"]))
+        for p, (lo, hi, below) in bounds.items():
+            for part, n in sorted(sums.get((lo, hi), [])):
+                if below + n >= p * total:
+                    start = lo + part * steps[lo, hi]
+                    bounds[p] = (start, min(hi, start + steps[lo, hi] - 1), below)
+                    break
+                below += n
+    return {p: lo for p, (lo, _, _) in bounds.items()}
 
 
 def vote_quantiles_exact(clean: DataFrame,
                          probabilities: Sequence[float] = tuple(schemas.FINE_QUANTILES)) -> DataFrame:
     """Exact (discrete) vote quantiles as (quantile, helpful_vote) rows: the least number of
-    votes that the share of rows with at most as many reaches. One histogram serves all."""
-    pairs = F.array(*[F.struct(F.lit(float(p)).alias("quantile"),
-                               F.min(F.when(F.col("upto") >= F.lit(float(p)) * F.col("total"), F.col("helpful_vote")))
-                               .cast("double").alias("helpful_vote")) for p in probabilities])
-    return vote_histogram(clean).agg(pairs.alias("p")).select(F.explode("p").alias("s")).select("s.*")
-
-
-def quantile_errors(clean: DataFrame, probabilities: Sequence[float], relative_error: float) -> DataFrame:
-    """(quantile, within_error): whether each approximate quantile's rank is within the
-    relative error of the one asked for."""
-    approx = vote_quantiles_approx(clean, probabilities, relative_error)
-    ranked = F.broadcast(approx).join(vote_histogram(clean), "helpful_vote")   # a row a probability
-    off = relative_error * F.col("total")
-    wanted = F.col("quantile") * F.col("total")
-    return ranked.select("quantile", ((F.col("below") - off <= wanted) & (wanted <= F.col("upto") + off)).alias("within_error"))
+    votes that the share of rows with at most as many reaches."""
+    found = select_ranks(vote_counts(clean), probabilities)
+    rows = [(float(p), float(found[p]) if p in found else None) for p in map(float, probabilities)]
+    return clean.sparkSession.createDataFrame(rows, "quantile double, helpful_vote double")
+
+
+def quantile_errors(clean: DataFrame, probabilities: Sequence[float], relative_error: float, by: str = "review_year") -> DataFrame:
+    """(quantile, helpful_vote, within_error): the approximate quantiles, merged from a sketch for
+    each ``by``, and whether each one's rank is within the relative error of the one asked for."""
+    spark = clean.sparkSession
+    path = session.staging_path(spark, "votes")
+    clean.where("helpful_vote IS NOT NULL").select(by, "helpful_vote").write.parquet(path)
+    votes = spark.read.parquet(path)
+    approx = vote_quantiles_approx(vote_sketches(votes, by), probabilities).collect()   # a row a probability
+    ranks = [F.count(F.lit(1)).alias("total")]
+    for i, r in enumerate(approx):
+        ranks += [F.count_if(F.col("helpful_vote") < r.helpful_vote).alias(f"below_{i}"), F.count_if(F.col("helpful_vote") <= r.helpful_vote).alias(f"upto_{i}")]
+    told = votes.agg(*ranks).first()
+    off = relative_error * told["total"]
+    rows = [(r.quantile, r.helpful_vote, None if r.helpful_vote is None else
+             told[f"below_{i}"] - off <= r.quantile * told["total"] <= told[f"upto_{i}"] + off) for i, r in enumerate(approx)]
+    return spark.createDataFrame(rows, "quantile double, helpful_vote double, within_error boolean")
 
 
 def vote_zero_share(clean: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from revlens import schemas
 from revlens.functions import features as fx
 from revlens.operators.clean import narrow_reviews
+from revlens.operators.staged import StagedReviews
 
 
 def metadata_for_join(clean_meta: DataFrame) -> DataFrame:
@@ -103,3 +104,15 @@ def add_popularity_bin(joined: DataFrame) -> DataFrame:
 def joined_reviews(clean_reviews: DataFrame, clean_meta: DataFrame) -> DataFrame:
     """Clean reviews x catalog projection + popularity bin."""
     return add_popularity_bin(join_reviews_metadata(clean_reviews, metadata_for_join(clean_meta)))
+
+
+def joined_staged(staged: StagedReviews, clean_rows: DataFrame, clean_meta: DataFrame) -> DataFrame:
+    """As ``joined_reviews``, of staged reviews (``clean.clean_staged``)."""
+    return binned_staged(staged, clean_rows, metadata_for_join(clean_meta))
+
+
+def binned_staged(staged: StagedReviews, clean_rows: DataFrame, meta_for_join: DataFrame) -> DataFrame:
+    """Staged reviews x catalog projection + popularity bin: the catalog rows come to the slices,
+    the reviews aren't shuffled."""
+    out = staged.with_catalog(clean_rows, meta_for_join)
+    return add_popularity_bin(out.select(schemas.KEY, *[c for c in out.columns if c != schemas.KEY]))

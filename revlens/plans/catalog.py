@@ -3,9 +3,10 @@
 Each takes ``(spark, sf_dir)``, derives the review and catalog tables from
 the test tables (``revlens.sources.fixtures``) and returns a
 ``DataFrame``, lazy but for these: ``scan_parquet_narrow``,
-``high_rating_by_verified``, the two sink queries and ``analytics_job`` write
-and read back on every call, and the JSON queries write their input lines
-once per session. Queries set the session's time zone to UTC. Column names
+``high_rating_by_verified``, the two sink queries, ``analytics_job``, ``input_validation``
+and the queries that return texts of distinct reviews write and read back on every call,
+exact quantiles run their passes at once, and the JSON queries write their input lines once
+per session. Queries set the session's time zone to UTC. Column names
 equal those of the SQL twins in ``revlens.plans.oracle_sql``.
 """
 
@@ -45,12 +46,19 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fxt.reviews_raw(spark, sf_dir)
 
 
+def narrow_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw reviews with length and digest in place of the text."""
+    session.pin_time_zone(spark)
+    return fxt.reviews_raw(spark, sf_dir, narrow=True)
+
+
 def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fxt.metadata(spark, sf_dir)
 
 
 def clean(spark: SparkSession, sf_dir: str, with_z: bool = True, with_text: bool = False) -> DataFrame:
-    return cl.clean_reviews(raw_reviews(spark, sf_dir), with_z=with_z, with_text=with_text)
+    rows = raw_reviews(spark, sf_dir) if with_text else narrow_reviews(spark, sf_dir)
+    return cl.clean_reviews(rows, with_z=with_z, with_text=with_text)
 
 
 def clean_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +66,10 @@ def clean_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def joined(spark: SparkSession, sf_dir: str, with_z: bool = True, with_text: bool = False) -> DataFrame:
-    return jn.joined_reviews(clean(spark, sf_dir, with_z, with_text), clean_meta(spark, sf_dir))
+    if with_text:
+        staged = cl.stage_reviews(raw_reviews(spark, sf_dir))
+        return jn.joined_staged(staged, cl.clean_staged(staged, with_z=with_z), clean_meta(spark, sf_dir))
+    return jn.joined_reviews(clean(spark, sf_dir, with_z), clean_meta(spark, sf_dir))
 
 
 def checked_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +199,7 @@ def prune_metadata(spark, sf_dir):
 
 @query
 def dedup_reviews(spark, sf_dir):
-    return cl.dedup_reviews(cl.prune_reviews(raw_reviews(spark, sf_dir)))
+    return cl.dedup_staged(raw_reviews(spark, sf_dir))
 
 
 @query
@@ -265,7 +276,7 @@ def feat_popularity_bin(spark, sf_dir):
 # ------------------------------------------------------------------ exploration aggregates
 @query
 def row_counts(spark, sf_dir):
-    sizes = jn.pipeline_sizes(raw_reviews(spark, sf_dir), raw_metadata(spark, sf_dir))
+    sizes = jn.pipeline_sizes(narrow_reviews(spark, sf_dir), raw_metadata(spark, sf_dir))
     return sizes.unpivot([], sizes.columns, "dataset", "row_count")
 
 
@@ -331,7 +342,7 @@ def metadata_missingness(spark, sf_dir):
 
 @query
 def duplicate_totals(spark, sf_dir):
-    return ex.duplicate_totals(cl.prune_reviews(raw_reviews(spark, sf_dir)))
+    return ex.duplicate_totals(narrow_reviews(spark, sf_dir))
 
 
 @query
@@ -399,7 +410,7 @@ def z_sanity(spark, sf_dir):
 
 @query
 def join_retention(spark, sf_dir):
-    return ex.join_retention(jn.pipeline_sizes(raw_reviews(spark, sf_dir), raw_metadata(spark, sf_dir)))
+    return ex.join_retention(jn.pipeline_sizes(narrow_reviews(spark, sf_dir), raw_metadata(spark, sf_dir)))
 
 
 @query
@@ -452,6 +463,13 @@ def sample_join_coverage(spark, sf_dir):
                                    fxt.SAMPLE_FRACTION)
 
 
+@query
+def input_validation(spark, sf_dir):
+    """The whole input validation (C6) as one long table; each input is parsed once."""
+    frames, _ = jobs.validation_reports(spark, checked_reviews(spark, sf_dir), checked_metadata(spark, sf_dir), fxt.SAMPLE_FRACTION)
+    return jobs.long_report(frames)
+
+
 @query
 def scan_json_permissive(spark, sf_dir):
     """``spark.read.json`` under the schema with a corrupt column; every field

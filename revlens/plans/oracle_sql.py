@@ -404,8 +404,8 @@ SQL: dict[str, str] = {
     "vote_range": _q("""
   SELECT min(helpful_vote) AS min_helpful_vote, max(helpful_vote) AS max_helpful_vote,
     avg(helpful_vote) AS avg_helpful_vote FROM reviews_clean"""),
-    "vote_quantiles_approx": "SELECT CAST(unnest([0.5, 0.75, 0.9, 0.95, 0.99]) AS DOUBLE) AS quantile, TRUE AS within_error",
-    "vote_quantiles_fine_approx": "SELECT CAST(unnest([0.95, 0.99, 0.995, 0.999]) AS DOUBLE) AS quantile, TRUE AS within_error",
+    "vote_quantiles_approx": _q(f"SELECT *, TRUE AS within_error FROM ({_exact_quantiles([0.5, 0.75, 0.9, 0.95, 0.99])})"),
+    "vote_quantiles_fine_approx": _q(f"SELECT *, TRUE AS within_error FROM ({_exact_quantiles([0.95, 0.99, 0.995, 0.999])})"),
     "vote_quantiles": _q(_exact_quantiles([0.95, 0.99, 0.995, 0.999])),
     "vote_quantiles_coarse": _q(_exact_quantiles([0.5, 0.75, 0.9, 0.95, 0.99])),
     "vote_zero_share": _q("""
@@ -471,10 +471,12 @@ SQL: dict[str, str] = {
   FROM (
     SELECT s.source_file, count(*) AS sampled_reviews,
       CAST(sum(CASE WHEN k.parent_asin IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS matched_reviews
-    FROM (SELECT parent_asin, source_file FROM rev_checked
-          WHERE NOT is_corrupt AND parent_asin IS NOT NULL
-            AND CAST('0x' || substr(md5('0|' || coalesce(user_id, '~') || '|' || coalesce(asin, '~') || '|'
-                                        || coalesce(CAST("timestamp" AS VARCHAR), '~')), 1, 15) AS BIGINT) < {int(0.05 * 2 ** 60)}) s
+    FROM (SELECT parent_asin, source_file
+          FROM (SELECT *, row_number() OVER (PARTITION BY user_id, asin, "timestamp", parent_asin, source_file) - 1 AS copy
+                FROM rev_checked WHERE NOT is_corrupt AND parent_asin IS NOT NULL)
+          WHERE CAST('0x' || substr(md5('0|' || coalesce(user_id, '~') || '|' || coalesce(asin, '~') || '|'
+                                        || coalesce(CAST("timestamp" AS VARCHAR), '~') || '|' || parent_asin || '|' || source_file
+                                        || '|' || CAST(copy AS VARCHAR)), 1, 15) AS BIGINT) < {int(0.05 * 2 ** 60)}) s
     LEFT JOIN (SELECT DISTINCT parent_asin FROM meta_valid) k ON s.parent_asin = k.parent_asin
     GROUP BY s.source_file)
   ORDER BY source_file"""),
@@ -499,3 +501,20 @@ SQL: dict[str, str] = {
                                          ("joined_reviews", "joined"))),
     "sink_csv_roundtrip": _q(_POLARIZATION),
 }
+
+
+def _long(report: str, name: str, measures: list[str], by_file: bool) -> str:
+    source = "source_file" if by_file else "CAST(NULL AS VARCHAR)"
+    return "\nUNION ALL\n".join(
+        f"SELECT '{report}' AS report, {source} AS source_file, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({SQL[name]}) AS t"
+        for m in measures)
+
+
+SQL["input_validation"] = "\nUNION ALL\n".join(_long(*x) for x in [
+    ("review_validation", "review_quality_by_file", ["row_count", "corrupt_rows", *[f"null_{c}" for c in (
+        "parent_asin", "rating", "text", "timestamp", "helpful_vote", "verified_purchase")]], True),
+    ("metadata_validation", "metadata_quality_by_file", ["row_count", "corrupt_rows", "null_parent_asin", "distinct_parent_asin"], True),
+    ("duplicate_metadata_keys", "metadata_duplicate_summary", ["duplicate_parent_asin_keys", "extra_metadata_rows",
+                                                               "keys_shared_across_categories", "maximum_rows_for_one_key"], False),
+    ("sample_join_coverage", "sample_join_coverage", ["sampled_reviews", "matched_reviews", "join_coverage_percent"], True),
+])

@@ -62,9 +62,13 @@ def _p(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def _review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem x orders x documents with the raw integer inputs kept."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"))
+def _review_rows(spark: SparkSession, sf_dir: str, narrow: bool = False) -> DataFrame:
+    """lineitem x orders x documents with the raw integer inputs kept. With ``narrow`` a document
+    joins as the length and digest of its text, taken once before the join multiplies it."""
+    docs = table(spark, sf_dir, "documents")
+    text = [F.length("text").alias("doc_length"), F.sha2(F.col("text").cast("binary"), 256).alias("doc_digest")] if narrow \
+        else [F.col("text").alias("doc_text")]
+    docs = docs.select("doc_id", *text)
     moved = (F.col("l_partkey") % SINGLE_REVIEW_MOD == 0) & (F.col("l_quantity") < SINGLE_REVIEW_QTY)
     li = (
         table(spark, sf_dir, "lineitem")
@@ -80,8 +84,11 @@ def _review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _review_columns(rows: DataFrame) -> list[Column]:
+def _review_columns(narrow: bool = False) -> list[Column]:
     ok = F.col("l_orderkey")
+    told = lambda c, kind: F.when(ok % NULL_TEXT_MOD == 0, F.lit(None).cast(kind)).otherwise(F.col(c))
+    text = [told("doc_length", "int").alias("review_text_length"), told("doc_digest", "string").alias("text_digest")] if narrow \
+        else [told("doc_text", "string").alias("text")]
     votes = (F.when(ok % NULL_VOTE_MOD == 0, F.lit(None).cast("long"))
              .when(F.col("l_discount") >= VOTE_DISCOUNT, ok % VOTE_MOD)
              .otherwise(F.lit(0).cast("long")))
@@ -94,8 +101,7 @@ def _review_columns(rows: DataFrame) -> list[Column]:
         _p("U", F.col("o_custkey")).alias("user_id"),
         (F.lit(1) + F.col("l_quantity").cast("long") % 5).cast("double").alias("rating"),
         F.col("o_orderpriority").alias("title"),
-        F.when(ok % NULL_TEXT_MOD == 0, F.lit(None).cast("string"))
-         .otherwise(F.col("doc_text")).alias("text"),
+        *text,
         ts.cast("long").alias("timestamp"),
         votes.cast("long").alias("helpful_vote"),
         F.when(ok % NULL_VERIFIED_MOD == 0, F.lit(None).cast("boolean"))
@@ -104,14 +110,15 @@ def _review_columns(rows: DataFrame) -> list[Column]:
 
 
 def reviews_raw(spark: SparkSession, sf_dir: str, with_source: bool = False,
-                with_order_key: bool = False) -> DataFrame:
+                with_order_key: bool = False, narrow: bool = False) -> DataFrame:
     """Raw reviews: the mapped rows plus an exact copy of each row with 7 votes.
 
     ``with_source`` adds the per-file lineage of the quality jobs
-    (``reviews_a`` for even order keys, ``reviews_b`` for odd ones).
+    (``reviews_a`` for even order keys, ``reviews_b`` for odd ones). ``narrow`` gives
+    ``review_text_length`` and ``text_digest`` in place of the text.
     """
-    rows = _review_rows(spark, sf_dir)
-    cols = _review_columns(rows)
+    rows = _review_rows(spark, sf_dir, narrow)
+    cols = _review_columns(narrow)
     extra = []
     if with_source:
         extra.append(F.when(F.col("l_orderkey") % 2 == 0, "reviews_a")

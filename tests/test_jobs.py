@@ -116,11 +116,10 @@ def test_validation_takes_lists_writes_what_it_collects_and_cleans_up(spark, tmp
     m = _write_jsonl(f"{tmp_dir}/raw/m.jsonl", [SMOKE_PRODUCT])
     staged = f"{session.checkpoint_dir(spark)}/revlens".removeprefix("file:")
     before = set(glob.glob(f"{staged}/validation-*"))
-    for stage in (True, False):
-        out = jobs.run_input_validation(spark, [a, b], [m], f"{tmp_dir}/res{stage}", fraction=1.0, stage=stage)
-        assert [r.sampled_reviews for r in out["sample_join_coverage"]] == [1, 1]
-        assert [r["row_count"] for r in _read_csv(f"{tmp_dir}/res{stage}/review_validation")] == ["1", "1"]
-        assert set(glob.glob(f"{staged}/validation-*")) == before
+    out = jobs.run_input_validation(spark, [a, b], [m], f"{tmp_dir}/res", fraction=1.0)
+    assert [r.sampled_reviews for r in out["sample_join_coverage"]] == [1, 1]
+    assert [r["row_count"] for r in _read_csv(f"{tmp_dir}/res/review_validation")] == ["1", "1"]
+    assert set(glob.glob(f"{staged}/validation-*")) == before
     with pytest.raises(ValueError):
         jobs.run_input_validation(spark, [a, b], [m], f"{tmp_dir}/raw")
 

@@ -4,7 +4,6 @@ import pytest
 
 from revlens import schemas
 from revlens.operators import clean as cl
-from revlens.operators import explore as ex
 from revlens.plans import catalog
 from revlens.sources import fixture_files as ff
 from revlens.sources import json_lines as jl
@@ -23,13 +22,69 @@ def test_rating_filter_reaches_parquet_scan(spark):
     assert "ReadSchema: struct<rating:double,verified_purchase:boolean>" in plan
 
 
-def test_z_score_reuses_the_dedup_exchange(spark):
-    path = ff.fixture_json(spark, SF_SMALL, "reviews", faulty=False)
-    reviews = spark.read.schema(schemas.REVIEW_SCHEMA).json(path)
-    df = cl.clean_reviews(reviews).selectExpr("sum(review_text_length_z)")
-    plan = _plan(df, executed=True)
-    assert "ReusedExchange" in plan
-    assert "mergedValue" in plan            # mean and stddev in one subquery
+def test_dedup_and_z_move_no_text(spark):
+    """Late materialisation: no exchange above the staged rows, one dedup aggregate in all."""
+    clean = catalog.QUERIES["clean_reviews"](spark, SF_SMALL)
+    plan = _plan(clean, executed=True)
+    assert "Exchange hashpartitioning" not in plan and "HashAggregate" not in plan and "Subquery" not in plan
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "Exchange hashpartitioning" not in _plan(catalog.QUERIES["dedup_reviews"](spark, SF_SMALL), executed=True)
+
+
+def _broadcast_off(spark, more=()):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", **dict(more)}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def _restore(spark, old):
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_catalog_comes_to_the_reviews(spark):
+    """With broadcasts off, what is shuffled for the joined table are keys and catalog rows."""
+    old = _broadcast_off(spark)
+    try:
+        df = catalog.QUERIES["joined_reviews"](spark, SF_SMALL)
+        plan = _plan(df, executed=True)
+        plan = plan.split("== Initial Plan ==")[0]
+        assert "ShuffledHashJoin" in plan and "Bucketed: true" in plan
+        for line in plan.splitlines():
+            if "Exchange hashpartitioning" in line:
+                below = plan[plan.index(line):]
+                scan = below[below.index("FileScan"):].split("\n")[0]
+                assert "ReadSchema" in scan and "text:string" not in scan, scan
+    finally:
+        _restore(spark, old)
+
+
+def test_hot_product_is_one_answer_a_slice(spark):
+    from pyspark.sql import functions as F
+
+    old = _broadcast_off(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    try:
+        rows = spark.range(4000).select(
+            F.when(F.col("id") % 3 != 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), (F.col("id") % 50).cast("string"))).alias("parent_asin"),
+            F.lit("a").alias("asin"), F.col("id").cast("string").alias("user_id"), F.lit(1.0).alias("rating"), F.lit("t").alias("title"),
+            F.lit("x").alias("text"), F.col("id").alias("timestamp"), F.lit(0).cast("long").alias("helpful_vote"), F.lit(True).alias("verified_purchase"))
+        staged = cl.stage_reviews(rows)
+        meta = staged.rows.select("parent_asin").distinct().withColumn("rating_number", F.lit(7))
+        out = staged.with_catalog(staged.rows, meta)
+        assert out.count() == 4000
+        answers = staged.rows.select("slice", "parent_asin").distinct()
+        assert answers.where("parent_asin = 'HOT'").count() == staged.rows.select("slice").distinct().count() > 8
+        staged.drop()
+    finally:
+        _restore(spark, old)
+
+
+@pytest.mark.parametrize("name", ["feat_length_z", "z_sanity"])
+def test_z_score_reuses_the_dedup_exchange(spark, name):
+    plan = _plan(catalog.QUERIES[name](spark, SF_SMALL), executed=True)
+    assert "ReusedExchange" in plan and "mergedValue" in plan            # mean and stddev in one subquery
 
 
 def test_unused_z_adds_no_subquery(spark):
@@ -48,6 +103,9 @@ def test_drilldown_broadcasts_only_the_top_key(spark):
 
 
 def test_no_unpartitioned_window(spark):
+    for name in ("vote_quantiles", "vote_quantiles_coarse", "vote_quantiles_approx"):
+        plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+        assert "Window" not in plan and "SinglePartition" not in plan
     for name in ("rating_share_by_verified", "verified_share_by_year"):
         plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
         assert "Window [" in plan
@@ -64,8 +122,8 @@ def test_checked_json_scan_prunes_nothing_it_needs(spark):
                                   "review_quality_by_file", "metadata_duplicate_summary"])
 def test_quality_queries_parse_each_line_once(spark, name):
     plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
-    inputs = 2 if name == "sample_join_coverage" else 1
-    assert plan.count("from_json(") + plan.count("jsontostructs(") == inputs, plan
+    # the sample of sample_join_coverage is written down before: its plan parses the catalog alone
+    assert plan.count("from_json(") + plan.count("jsontostructs(") == 1, plan
 
 
 @pytest.mark.parametrize("name", ["verified_counts", "vote_range", "row_counts", "duplicate_totals"])
@@ -75,6 +133,13 @@ def test_text_is_shuffled_as_a_digest(spark, name):
     assert not [line for line in plan.splitlines() if "HashAggregate(keys=[" in line and ", text#" in line]
 
 
+@pytest.mark.parametrize("name", ["verified_counts", "row_counts"])
+def test_digests_are_taken_before_documents_multiply(spark, name):
+    plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+    assert plan.count("sha2(") == plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 1
+    assert plan.index("sha2(") > plan.index("Join")         # below it
+
+
 def test_row_counts_reads_the_reviews_once(spark):
     assert _plan(catalog.QUERIES["row_counts"](spark, SF_SMALL)).count("lineitem.parquet") == 1
 
