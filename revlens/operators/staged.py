@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -42,6 +43,8 @@ def row_digest(columns: list[str]) -> Column:
     """SHA-256 over the columns, each as length and text; NULL differs from empty, and -0.0 is 0.0
     as in a DISTINCT."""
     def part(c: str) -> Column:
+        if c == "text":              # hashed by itself, not copied
+            return F.coalesce(F.sha2(F.col(c).cast("binary"), 256), F.lit("-"))
         value = (F.col(c) + F.lit(0.0) if c == "rating" else F.col(c)).cast("string")
         return F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("-"))
     return F.unhex(F.sha2(F.concat(*[part(c) for c in columns]).cast("binary"), 256))
@@ -90,16 +93,29 @@ def _within(lo: int, hi: int) -> Column:
     return (F.col("row_id") >= lo << TASK_SHIFT) & (F.col("row_id") < hi << TASK_SHIFT)
 
 
+@contextmanager
+def _concurrent_writers(spark: SparkSession):
+    """A task keeps the files of its few slices open side by side instead of sorting its rows by bucket."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(SPREAD))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def stage_rows(rows: DataFrame, extra: tuple[str, ...] = (), buckets: int | None = None) -> StagedReviews:
     """Writes the review columns and ``extra`` with digest, row id, length and slice."""
     spark = rows.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * (buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))    # finer ones even out
     at = F.monotonically_increasing_id()
     wide = (rows.select(*schemas.REVIEW_COLUMNS, *extra, F.length("text").alias("length"), at.alias("row_id"),
                         row_digest(schemas.REVIEW_COLUMNS).alias("digest"))
             .withColumn("slice", F.shiftright("row_id", TASK_SHIFT) * SPREAD + F.pmod("row_id", F.lit(SPREAD))))
     path, name = session.staging_path(spark, "reviews"), f"revlens_{uuid.uuid4().hex}"
-    wide.write.format("parquet").option("path", path).bucketBy(buckets, "slice").saveAsTable(name)
+    with _concurrent_writers(spark):
+        wide.write.format("parquet").option("path", path).bucketBy(buckets, "slice").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")           # the name only: the files are external, the frame knows them
     return StagedReviews(spark, table, [path])
