@@ -7,16 +7,18 @@ maxima of registers, and equal registers are as likely as sets are alike. Bands
 sizes) gives an estimate that drops pairs far below the threshold; the rest are verified
 on full sets read from the texts.
 
-Copies are classes of one representative. A bucket is never expanded into pairs. First
-every member is tried against one pivot, the bucket's least id, and links are closed to
-components. Then only buckets that still hold several components are looked at: members
-outside the bucket's largest component meet all others in blocks of bounded size, where
-sketches are compared in place and only likely pairs of different components leave.
+Copies are classes of one representative. A bucket is never expanded into pairs, and no pairs
+leave it. First every member is tried against one pivot, the bucket's least id, and links are
+closed to components. Then only buckets that still hold several components are looked at:
+members outside the bucket's largest component meet all others in blocks of bounded size. A
+first pass over sketches leaves the members that have a likely partner in another component;
+those bring their shingle sets, and pairs are verified in place, each in the first bucket that
+its members share. A block puts out at most one link for each component that it joins.
 
 Defined results: texts are lower-cased A-Z; null and empty texts have an empty set, linked
-with nothing; fewer than five words are one shingle; rows that repeat a ``doc_id`` are one
-document (of their sets, the one with the greatest digest); a null ``doc_id`` stands for
-itself: component null, kept; an empty table gives no rows.
+with nothing; fewer than five words are one shingle; rows that repeat a ``doc_id`` are judged
+by their own text: one row for each distinct set of an id; a null ``doc_id`` stands for itself:
+component null, kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from .common import prepare, staged, texts, word_hash
 WORDS = 5
 REGISTERS, ROWS = 128, 4
 BASE = 1.02
-LIKELY = 0.55          # about five standard errors of the estimate below 0.75
+LIKELY = 0.6           # about four standard errors of the estimate below 0.75
 SHARE = 75             # per cent of the union
 BLOCK = 256            # members of a mixed bucket compared at once
 WIDE = 4096
@@ -155,35 +157,103 @@ def _filtered(batches):
             [b.column("a"), b.column("b"), pa.array(same, pa.int64())], ["a", "b", "same"]).filter(pa.array(ok))
 
 
-def _mixed(batches):
-    """Streams blocks of a mixed bucket (sorted) and yields likely pairs of two components."""
-    def flush(rows):
-        left = [r for r in rows if r[1]]
-        right = [r for r in rows if not r[1]]
-        if left and right:
-            m_l, m_r = (np.frombuffer(b"".join(r[5] for r in s), "<u2").reshape(-1, REGISTERS) for s in (left, right))
-            n_r, c_r, id_r = (np.array([r[i] for r in right], np.int64) for i in (4, 3, 2))
-            for i, (_, _, rep, comp, n, _) in enumerate(left):
-                at = np.flatnonzero(c_r != comp)
-                at = at[_likely(np.broadcast_to(m_l[i], (len(at), REGISTERS)), m_r[at],
-                                np.full(len(at), n), n_r[at])] if len(at) else at
-                for other in id_r[at].tolist():
-                    yield max(rep, other), min(rep, other)
-
-    held, key, out = [], None, []
+_MEMBER = "key long, lb int, rb int, left boolean, minor boolean, rep long, comp long, n long, regs binary"
+_MEMBERS = [c.split()[0] for c in _MEMBER.split(", ")]
+
+
+def _blocks(batches, columns: list[str]):
+    """The blocks (key, lb, rb) of sorted rows, each as a list of rows."""
+    held, key = [], None
     for b in batches:
         c = b.to_pydict()
-        for row in zip(zip(c["key"], c["lb"], c["rb"]), c["left"], c["rep"], c["comp"], c["n"], c["regs"]):
-            if row[0] != key:
-                out += flush(held)
-                held, key = [], row[0]
+        for row in zip(*(c[x] for x in columns)):
+            if row[:3] != key:
+                if held:
+                    yield held
+                held, key = [], row[:3]
             held.append(row)
+    if held:
+        yield held
+
+
+def _partners(block: list):
+    """For each member to be compared: its place among the block's left ones, and the places of its likely
+    partners of other components among the right ones. A pair comes up once, in the first bucket it shares."""
+    left, right = [r for r in block if r[3]], [r for r in block if not r[3]]
+    if not left or not right:
+        return
+    m_l, m_r = (np.frombuffer(b"".join(r[8] for r in s), "<u2").reshape(-1, REGISTERS) for s in (left, right))
+    rep, comp, n = (np.array([r[i] for r in right], np.int64) for i in (5, 6, 7))
+    minor = np.array([r[4] for r in right], bool)
+    band = int(np.argmax(band_keys(m_l[:1])[0] == block[0][0]))
+    bands = m_r.reshape(len(right), -1, ROWS)
+    for i, r in enumerate(left):
+        at = np.flatnonzero((comp != r[6]) & ~(minor & (rep < r[5])))
+        if len(at):
+            at = at[(bands[at] == m_l[i].reshape(-1, ROWS)).all(2).argmax(1) == band]
+        if len(at):
+            at = at[_likely(np.broadcast_to(m_l[i], (len(at), REGISTERS)), m_r[at], np.full(len(at), r[7]), n[at])]
+        if len(at):
+            yield left, right, i, at
+
+
+def _involved(batches):
+    """The members that have a likely partner."""
+    out = []
+    for block in _blocks(batches, _MEMBERS):
+        found: set = set()
+        for left, right, i, at in _partners(block):
+            found.add(left[i])
+            found.update(right[j] for j in at.tolist())
+        out += found
         if len(out) >= 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+            yield _rows(out)
             out = []
-    out += flush(held)
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+        yield _rows(out)
+
+
+def _rows(rows: list) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], _MEMBERS)
+
+
+def _confirmed(batches):
+    """(a, b): links by which components of a block meet, verified on full sets; a forest of them."""
+    for block in _blocks(batches, [*_MEMBERS, "elements"]):
+        root: dict = {}
+        sets: dict = {}
+
+        def find(x):
+            while x in root:
+                x = root[x]
+            return x
+
+        def elements(row):
+            if row[5] not in sets:
+                sets[row[5]] = np.frombuffer(row[9], np.uint64)
+            return sets[row[5]]
+        out = []
+        for left, right, i, at in _partners(block):
+            a = elements(left[i])
+            for j in at.tolist():
+                x, y = find(left[i][6]), find(right[j][6])
+                if x == y:
+                    continue
+                b = elements(right[j])
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= SHARE * (len(a) + len(b) - both):
+                    root[x] = y
+                    out.append((left[i][5], right[j][5]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+
+
+def _element_sets(batches):
+    for b in batches:
+        sets = [shingles(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([digest_of(x) for x in sets], pa.binary()),
+                                          pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "digest", "elements"])
 
 
 def _verified(batches):
@@ -212,7 +282,7 @@ def _only(rows: DataFrame, ids: DataFrame, count: int) -> DataFrame:
 def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    rows = _only(texts(docs), ids, ids.count())
+    rows = _only(texts(docs), ids, ids.count()).distinct()
     for s in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("rep").alias(s), F.col("digest").alias(f"digest_{s}")), s)
     for s in ("a", "b"):
@@ -245,13 +315,12 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+def judged(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, digest, kept) of every document: of every distinct set of an id."""
     prepare(docs.sparkSession)
     made = staged(sketches(docs))
     lone = made.where("doc_id IS NULL").select("doc_id", "n")
-    named = made.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct("digest", "n", "regs")).alias("s"))
-    named = named.select("doc_id", "s.digest", "s.n", "s.regs")
+    named = made.where("doc_id IS NOT NULL").groupBy("doc_id", "digest").agg(F.first("n").alias("n"), F.first("regs").alias("regs"))
     reps = staged(named.where("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")))
     bands = (reps.select("rep", "regs").mapInArrow(_banded, "rep long, keys array<long>")
@@ -280,30 +349,61 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     left = (mixed.where("comp <> major").withColumn("lb", own("lbs"))
-            .select("key", "lb", F.explode(every("rbs")).alias("rb"), F.lit(True).alias("left"), "rep", "comp"))
+            .select("key", "lb", F.explode(every("rbs")).alias("rb"), F.lit(True).alias("left"), F.lit(True).alias("minor"), "rep", "comp"))
     right = (mixed.withColumn("rb", own("rbs"))
-             .select("key", F.explode(every("lbs")).alias("lb"), "rb", F.lit(False).alias("left"), "rep", "comp"))
-    blocks = left.unionByName(right).join(reps.select("rep", "n", "regs"), "rep")
-    rest = (blocks.repartition("key", "lb", "rb").sortWithinPartitions("key", "lb", "rb")
-            .select("key", "lb", "rb", "left", "rep", "comp", "n", "regs")
-            .mapInArrow(_mixed, "a long, b long").distinct())
-    rest = staged(rest.join(best, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = staged(verify(rest, docs, reps))
+             .select("key", F.explode(every("lbs")).alias("lb"), "rb", F.lit(False).alias("left"),
+                     (F.col("comp") != F.col("major")).alias("minor"), "rep", "comp"))
+    in_blocks = lambda df: df.repartition("key", "lb", "rb").sortWithinPartitions("key", "lb", "rb")
+    blocks = left.unionByName(right).join(reps.select("rep", "n", "regs"), "rep").select(*_MEMBERS)
+    involved = staged(in_blocks(blocks).mapInArrow(_involved, _MEMBER))
+    if not involved.isEmpty():
+        wanted = staged(involved.select(F.col("rep").alias("doc_id")).distinct())
+        sets = (_only(texts(docs), wanted, wanted.count()).mapInArrow(_element_sets, "doc_id long, digest binary, elements binary")
+                .join(reps.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"])
+                .groupBy("doc_id").agg(F.first("elements").alias("elements")))
+        full = involved.join(sets, involved["rep"] == sets["doc_id"]).select(*_MEMBERS, "elements")
+        more = staged(in_blocks(full).mapInArrow(_confirmed, "a long, b long").distinct())
         comps = components(links.unionByName(more))
     classes = (reps.select("digest", "rep").join(comps, F.col("rep") == F.col("node"), "left")
                .select("digest", F.coalesce("comp", "rep").alias("component")))
     out = (named.select("doc_id", "n", "digest").join(classes, "digest", "left")
-           .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+           .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "digest"))
     return (out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
-            .unionByName(lone.select("doc_id", F.col("n").alias("n_shingles"),
-                                     F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))))
+            .unionByName(lone.select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"),
+                                     F.lit(None).cast("binary").alias("digest"), F.lit(True).alias("kept"))))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document."""
+    return judged(docs).drop("digest")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: the one of least ``doc_id``.
-    Of rows that repeat that id one stays; rows without an id stay."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id"))
-    named = (docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-             .join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi"))
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each component, with all its columns: the one of least ``doc_id``. Rows
+    without an id stay. Rows that repeat an id are judged by their own text; of those with
+    equal sets of shingles one stays."""
+    rows = staged(judged(docs).where("doc_id IS NOT NULL").select("doc_id", "digest", "kept"))
+    key = F.col("doc_id").cast("long")
+    # ids that more than one row of the table has
+    often = staged(docs.where("doc_id IS NOT NULL").groupBy(key.alias("often_id")).agg(F.count("*").alias("c"))
+                   .where("c > 1").select("often_id"))
+    n = often.count()
+    kept = rows.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    out = docs.where("doc_id IS NULL")
+    ids = F.broadcast(often) if n <= BROADCAST_IDS else often
+    once = docs.where("doc_id IS NOT NULL").join(kept.select("kept_id").distinct(), key == F.col("kept_id"), "left_semi")
+    if not n:
+        return once.unionByName(out)
+    once = once.join(ids, key == F.col("often_id"), "left_anti")
+    again = docs.where("doc_id IS NOT NULL").join(ids, key == F.col("often_id"), "left_semi")
+    whole = again.select(key.alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"))
+    told = whole.mapInArrow(_with_digest, whole.drop("text").schema.add("digest", "binary"))
+    one = told.groupBy("doc_id", "digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    one = one.join(kept, (F.col("doc_id") == F.col("kept_id")) & F.col("digest").eqNullSafe(F.col("kept_digest")), "left_semi")
+    return once.unionByName(one.select("row.*")).unionByName(out)
+
+
+def _with_digest(batches):
+    for b in batches:
+        found = [digest_of(shingles(t)) for t in b.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(found, pa.binary())], ["doc_id", "row", "digest"])

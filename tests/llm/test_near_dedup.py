@@ -88,3 +88,34 @@ def test_sketches_merge_and_estimate():
     assert (np.maximum(near_dedup.sketch(a), near_dedup.sketch(b)) == both).all()
     got = near_dedup.estimate(near_dedup.sketch(a)[None], near_dedup.sketch(b)[None], np.array([2600.]), np.array([2600.]))
     assert abs(got[0] - 2200 / 3000) < 0.15
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    texts = [(1, "a b c d e f g h"), (2, "u v w x y z one two three"), (2, "a b c d e f g h"), (2, "A b c  d e f g h"), (3, None), (3, ""), (4, "k")]
+    df = spark.createDataFrame([(k, t, *[None] * 6) for k, t in texts], SCHEMA)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect())
+    assert got == [(1, 4, 1, True), (2, 4, 1, False), (2, 5, 2, True), (3, 0, 3, True), (4, 1, 4, True)]
+    kept = sorted((r.doc_id, r.text or "") for r in near_dedup.keep_one(df).collect())
+    assert kept == [(1, texts[0][1]), (2, texts[1][1]), (3, ""), (4, "k")]
+
+
+def test_recall_and_rows_on_hot_groups(spark):
+    """The shape of a table with one large group of exact and one of near copies, many of them just alike enough or not."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    base = [word() for _ in range(150)]
+    docs = {i: " ".join(base) for i in range(400)}
+    near = [word() for _ in range(140)]
+
+    def changed(n):
+        words = list(near)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = word()
+        return " ".join(words)
+    docs |= {1000 + i: changed(rng.randint(1, 6)) for i in range(500)}
+    docs |= {5000 + i: " ".join(word() for _ in range(rng.randint(20, 90))) for i in range(300)}
+    expected = brute(docs)
+    got = result(spark.createDataFrame([(k, t, *[None] * 6) for k, t in docs.items()], SCHEMA))
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in expected.items()}
+    right = sum(got[k][1] == expected[k][1] for k in docs)
+    assert right >= 0.99 * len(docs)
