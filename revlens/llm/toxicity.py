@@ -158,11 +158,57 @@ def _shortened(word: str, cost: np.ndarray) -> str:
     return _LONG.sub(four, word)
 
 
-def restored(word: bytes, cost: np.ndarray) -> str:
-    """The word that a token of a text stands for, in lower case without outer punctuation."""
+class _Classes(dict):
+    """Code point -> the class of letters that it may stand for; None for what every path drops."""
+
+    def __missing__(self, code: int) -> str | None:
+        c = chr(code)
+        got = _CLASS.get(c, c) if c.isalpha() or c in LOOKS else None
+        self[code] = got
+        return got
+
+
+_CLASS = {x: letters[0] for c, letters in LOOKS.items() for x in (c, *letters)}    # i and l are one class
+_classes = _Classes()
+_AGAIN = re.compile(r"(.)\1+", re.S)
+
+
+def skeleton(word: str) -> str:
+    """The classes of a lower-case token's letters and look-alikes, runs folded. A lattice's paths
+    choose letters of the same class, drop repeats of a symbol and whatever stands for no letter:
+    all its words have the token's skeleton."""
+    return _AGAIN.sub(r"\1", word.translate(_classes))
+
+
+class Wanted:
+    """Which tokens can be decoded to a word with a listed feature: those whose skeleton is that
+    of a listed word or begins with that of a listed beginning."""
+
+    def __init__(self, table: dict[str, float]):
+        self.words = {skeleton(f) for f in table if not f.endswith("*")}
+        self.starts = {skeleton(f[:-1]) for f in table if f.endswith("*")}
+        self.lengths = sorted({*map(len, self.starts)})
+        self.parts = self.words | self.starts
+        self.part_lengths = sorted({*map(len, self.parts)})
+
+    def token(self, core: str) -> bool:
+        bones = skeleton(core)
+        return bones in self.words or any(bones[:n] in self.starts for n in self.lengths)
+
+    def run(self, text: str) -> bool:
+        """Of a run of single characters, whose words may begin and end anywhere."""
+        bones = skeleton(text)
+        return any(bones[i:i + n] in self.parts for n in self.part_lengths for i in range(len(bones) - n + 1))
+
+
+def restored(word: bytes, cost: np.ndarray, wanted: Wanted | None = None) -> str:
+    """The word that a token of a text stands for, in lower case without outer punctuation; with
+    ``wanted`` the empty one where no decoding can give a listed feature."""
     text = word.decode("utf-8", "ignore").lower()
     core = _ENDS.sub("", _RUNS.sub("", text))
     if len(core) > 2 and _ODD.search(core) and _LETTERS.search(core):
+        if wanted and not wanted.token(core):
+            return ""
         core = restore(_shortened(core, cost), cost)
     return _EDGE.sub("", core)
 
@@ -178,12 +224,12 @@ def respelt(run: bytes, cost: np.ndarray) -> list[str]:
     return [] if text.isdigit() else words_in(_shortened(text, cost), cost)
 
 
-def readings(word: bytes, cost: np.ndarray) -> set[str]:
+def readings(word: bytes, cost: np.ndarray, wanted: Wanted | None = None) -> set[str]:
     """The restored word, and of letters alone also the word as it stands (its repeats may be its own)."""
     plain = _EDGE.sub("", word.decode("utf-8", "ignore").lower())
     if plain.isalpha() and len(plain) == len(word) and not _TWICE.search(plain):     # nothing to decode or strip
         return {plain}
-    return {restored(word, cost)} | ({plain} if plain.isalpha() else set())
+    return {restored(word, cost, wanted)} | ({plain} if plain.isalpha() else set())
 
 
 def features(word: str) -> list[str]:
@@ -288,9 +334,11 @@ class _Scores(dict):
     def __init__(self, base: float, table: dict[str, float], slope: float, shift: float, cost: np.ndarray):
         super().__init__()
         self.base, self.table, self.slope, self.shift, self.cost = base, table, slope, shift, cost
+        self.wanted = Wanted(table)
 
     def __missing__(self, word: bytes) -> float:
-        got = max((self.table.get(f, self.base) for w in readings(word, self.cost) for f in features(w)), default=self.base)
+        got = max((self.table.get(f, self.base) for w in readings(word, self.cost, self.wanted) for f in features(w)),
+                  default=self.base)
         if len(word) <= 64:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -315,6 +363,8 @@ def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float], float, flo
 def _score(scores: _Scores, text: bytes) -> float:
     share = max(map(scores.__getitem__, tokens(text)), default=scores.base)
     for run in spelt(text):
+        if not scores.wanted.run(run.decode("ascii").lower()):
+            continue
         share = max([share, *(scores.table.get(f, scores.base) for w in respelt(run, scores.cost) for f in features(w))])
     if not 0 < share < 1:
         return share

@@ -75,3 +75,25 @@ def test_numbers_and_words_with_double_letters_are_looked_up_as_they_stand(cost)
 def test_long_runs_shorten_to_the_same_decoding(cost):
     for word in ("i" * 9 + "diot", "lo" + "s" * 12 + "er", "$" * 7 + "tupid", "l" + "o---" * 5 + "ser", "1" * 8 + "diot"):
         assert toxicity.restore(toxicity._shortened(word, cost), cost) == toxicity.restore(word, cost)
+
+
+def test_gate_changes_no_score(spark, monkeypatch):
+    """Only tokens that can give a listed feature are decoded; the scores are those of decoding all."""
+    docs = table(spark, "documents", MIDDLE)
+    more = ["you i d i o t", "what a c l o w n he is", "sss t u p 1 d", "IDI0T!!", "st00pid", "1d!0t", "a lll bbb", "m.o.r.o.n", "x9x9", "€vil"]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(10 ** 9 + i, t) for i, t in enumerate(more)], "doc_id long, text string"))
+    cost = toxicity.char_model(docs)
+    model = toxicity.fit(docs, table(spark, "labels", MIDDLE), everyone(), cost)
+    features = {**model[1], "idiot": 0.9, "clown": 0.8, "mor*": 0.7, "evil": 0.6, "stup*": 0.95}
+    rows = {r.doc_id: r.text or "" for r in docs.collect()}
+    gated = toxicity._Scores(model[0], features, *model[2:], cost)
+    whole = toxicity._Scores(model[0], features, *model[2:], cost)
+    whole.wanted = type("All", (), {"token": lambda self, x: True, "run": lambda self, x: True})()
+    assert all(toxicity._score(gated, t.encode()) == toxicity._score(whole, t.encode()) for t in rows.values())
+    assert sum(len(toxicity.readings(w, cost, gated.wanted)) > 0 for w in (b"id!ot", b"letter")) == 2
+
+
+def test_skeleton_is_kept_by_every_path(spark):
+    cost = toxicity.char_model(table(spark, "documents"))
+    for word in ("id1ot", "l0000ser", "a55", "b-a-d", "sch€€n", "7|-|is", "hello", "éclair!t", "mississippi"):
+        assert toxicity.skeleton(toxicity.restore(word, cost)) == toxicity.skeleton(word)
