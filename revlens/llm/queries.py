@@ -110,15 +110,15 @@ ORACLE_SQL = {
     "op12_merkle_manifest": manifest.PROOFS_SQL,
     "op1_exact_topk": """
         WITH v AS (
-            SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q
+            SELECT row_number() OVER () AS row, vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND list_count(embedding) = len(embedding)
               AND len([x for x in embedding if NOT isfinite(x)]) = 0),
         s AS (
-            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
-            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+            SELECT a.row, a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.row <> b.row AND len(a.q) = len(b.q)),
         r AS (
-            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+            SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
 }

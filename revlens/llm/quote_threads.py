@@ -5,7 +5,8 @@ a passage: its text, lower-cased and with white space folded, is hashed and join
 earliest message of the conversation that says it as its own line. A message replies to the
 message that most of its first-level passages come from (ties: the latest of them). Replies
 hang below what they answer; messages that quote nothing known stand at the top in turn
-order. ``reply_path`` (turns from the top message down, zero-padded) sorts a conversation into
+order. ``reply_path`` (turns from the top message down, zero-padded; a negative turn as ``-`` and
+its distance from the least long, so that it stands before all others in order) sorts a conversation into
 reply order; ``text`` is what the message itself says, without quotes and their headings.
 
 Passages are joined to one earliest original each, so a line that is often said or often
@@ -25,7 +26,7 @@ from .common import staged
 
 MARKS = r"^[ \t]*(?:>[ \t]*)+"
 HEADING = r"^(?:On .*|.*) (?:wrote|writes|said):[ \t]*$"
-WIDTH = 10            # digits of a turn within a path
+WIDTH = 20            # characters of a turn within a path: a sign and 19 digits
 
 
 def _level(line: Column) -> Column:
@@ -68,7 +69,8 @@ def _parents(rows: DataFrame) -> DataFrame:
 
 
 def _padded(turn: Column) -> Column:
-    return F.lpad(turn.cast("string"), WIDTH, "0")
+    below = F.concat(F.lit("-"), F.lpad(F.try_add(F.try_add(turn, F.lit(2 ** 63 - 1)), F.lit(1)).cast("string"), WIDTH - 1, "0"))
+    return F.when(turn < 0, below).otherwise(F.lpad(turn.cast("string"), WIDTH, "0"))
 
 
 def _paths(parents: DataFrame) -> DataFrame:
@@ -131,17 +133,21 @@ THREADS_SQL = r"""
         SELECT conv_id, turn, arg_max(origin, (direct, n, origin)) AS parent_turn, sum(n)::BIGINT AS linked_lines
         FROM met GROUP BY ALL),
     paths AS (
-        SELECT p.conv_id, p.turn, 1 AS depth, lpad(parent_turn::VARCHAR, 10, '0') || '/' || lpad(p.turn::VARCHAR, 10, '0') AS path
+        SELECT p.conv_id, p.turn, 1 AS depth, @parent_turn || '/' || @p.turn AS path
         FROM parents p WHERE NOT EXISTS (SELECT 1 FROM parents q WHERE q.conv_id = p.conv_id AND q.turn = p.parent_turn)
         UNION ALL
-        SELECT p.conv_id, p.turn, t.depth + 1, t.path || '/' || lpad(p.turn::VARCHAR, 10, '0')
+        SELECT p.conv_id, p.turn, t.depth + 1, t.path || '/' || @p.turn
         FROM parents p JOIN paths t ON p.conv_id = t.conv_id AND p.parent_turn = t.turn),
     m AS (
         SELECT rid, conv_id, turn, role, count(*) FILTER (level > 0 AND folded <> '') AS quoted_lines,
                regexp_replace(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (own), ''), '^[ \t\n]+|[ \t\n]+$', '', 'g') AS text
         FROM f GROUP BY ALL)
     SELECT m.conv_id, m.turn, m.role, q.parent_turn, coalesce(t.depth, 0)::INTEGER AS depth,
-           coalesce(t.path, lpad(m.turn::VARCHAR, 10, '0')) AS reply_path, m.quoted_lines,
+           coalesce(t.path, @m.turn) AS reply_path, m.quoted_lines,
            coalesce(q.linked_lines, 0) AS linked_lines, m.text
     FROM m LEFT JOIN parents q ON m.conv_id = q.conv_id AND m.turn = q.turn
            LEFT JOIN paths t ON m.conv_id = t.conv_id AND m.turn = t.turn"""
+# @turn stands for a turn as a path holds it
+for _turn in ("parent_turn", "p.turn", "m.turn"):
+    THREADS_SQL = THREADS_SQL.replace(f"@{_turn}", f"""(CASE WHEN {_turn} < 0
+        THEN '-' || lpad(({_turn} + 9223372036854775807 + 1)::VARCHAR, 19, '0') ELSE lpad({_turn}::VARCHAR, 20, '0') END)""")
