@@ -3,7 +3,8 @@ value discloses it. DataFrame functions only.
 
 Base spans are the leftmost non-overlapping matches of four patterns. The information-
 theoretic part treats each matched value as a protected entity: the terms (words) of all
-distinct texts that hold it are counted, and a term t discloses an entity e when they meet in at least ``MIN_SUPPORT`` distinct texts and the information that t gives
+distinct texts that hold it are counted, each lower-cased by itself, and a term t discloses
+an entity e when they meet in at least ``MIN_SUPPORT`` distinct texts and the information that t gives
 about e, log2(P(e|t) / P(e)), is at least ``DISCLOSURE`` of all the information there is in
 e, -log2 P(e). Such terms become spans of kind ``term`` in every text that holds them,
 and ``sanitise`` removes them, while values are generalised to their kind.
@@ -41,6 +42,7 @@ _AFTER = rf"(?!{_WORD}|['’_-]{_WORD})"
 TERM = rf"{_BEFORE}(?={_WORD}{{2}}|{_WORD}['’_-]{_WORD}){_WORD}++(?:['’_-]{_WORD}++)*+"
 MIN_SUPPORT = 3
 DISCLOSURE = 0.9
+BLOCK_CHARS = 1024
 BROADCAST_BYTES = 32 * 2 ** 20  # of terms, or of texts' lists of disclosing terms
 
 
@@ -69,24 +71,35 @@ def _passes(kind: str, m: Column) -> Column:
 _NONE = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 
 
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _running(values: Column, join, empty: int) -> Column:
+    """Running ``join`` of an array of numbers, each pass over it doubling the reach."""
+    def passes(v: Column) -> Column:
+        n = F.size(v)
+        steps = F.when(n > 1, F.sequence(F.lit(0), F.ceil(F.log2(n.cast("double"))).cast("int") - 1))
+        shifted = lambda acc, k: F.slice(F.concat(
+            F.array_repeat(F.lit(empty).cast("bigint"), F.pow(F.lit(2), k).cast("int")), acc), 1, n)
+        return F.aggregate(F.coalesce(steps, F.array().cast("array<int>")), v,
+                           lambda acc, k: F.zip_with(acc, shifted(acc, k), join))
+    return _let(values, passes)
+
+
 def _spans(text: Column, pattern: Column, kind: str, passes) -> Column:
     """Structs (kind, start, end, value) of a pattern's matches that pass.
 
-    The pieces between matches and the matches alternate, so starts are running sums.
+    The pieces between matches and the matches alternate, so ends are running sums.
     """
-    pieces, found = F.split(text, pattern), F.regexp_extract_all(text, pattern, F.lit(0))
-    placed = F.aggregate(
-        F.arrays_zip(found.alias("m"), F.slice(pieces, 1, F.size(found)).alias("p")),
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_NONE).alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["p"]) + F.length(x["m"])).cast("bigint").alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                F.lit(kind).alias("kind"),
-                (acc["at"] + F.length(x["p"])).cast("bigint").alias("start"),
-                (acc["at"] + F.length(x["p"]) + F.length(x["m"])).cast("bigint").alias("end"),
-                x["m"].alias("value")))).alias("out")),
-        lambda acc: acc["out"])
-    return F.filter(placed, lambda s: passes(s["value"]))
+    cut = F.struct(F.split(text, pattern).alias("p"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"))
+
+    def placed(c: Column) -> Column:
+        sizes = F.zip_with(c["m"], F.slice(c["p"], 1, F.size(c["m"])), lambda m, p: (F.length(m) + F.length(p)).cast("bigint"))
+        return F.zip_with(c["m"], _running(sizes, lambda a, b: a + b, 0), lambda m, end: F.struct(
+            F.lit(kind).alias("kind"), (end - F.length(m)).cast("bigint").alias("start"), end.alias("end"), m.alias("value")))
+    return F.filter(_let(cut, placed), lambda s: passes(s["value"]))
 
 
 def _base(text: Column, kind: str) -> Column:
@@ -139,38 +152,49 @@ def disclosing_terms(rows: DataFrame, min_support: int = MIN_SUPPORT,
     # pass, whatever the corpus counts, and need none
     met = staged(met.where(discloses("n_near")))
     held = (_occurrences(rows, key, met.select("term").distinct())
-            .distinct().groupBy("term").agg(F.count("*").alias("n_term")))
+            .select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("n_term")))
     return met.join(held, "term").where(discloses("n_term")).select("term").distinct()
 
 
+def _clear() -> Column:
+    """The text with its values blanked out, everything else at its place."""
+    return F.when(F.size("base") > 0, masked(F.col("text"), F.col("base"), blank=True)).otherwise(F.col("text"))
+
+
+def _spelt() -> Column:
+    """The distinct words of a text outside its values, as they are spelt."""
+    return F.array_distinct(F.regexp_extract_all(_clear(), F.lit(TERM), F.lit(0)))
+
+
 def _terms() -> Column:
-    """The distinct terms of a text outside its values, one a row."""
-    clear = F.when(F.size("base") > 0, masked(F.col("text"), F.col("base"), " \n ")).otherwise(F.col("text"))
-    return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(clear), F.lit(TERM), F.lit(0))))
+    """The distinct terms of a text, one a row: its words, each lower-cased by itself."""
+    return F.explode(F.array_distinct(F.transform(_spelt(), F.lower)))
 
 
 def _occurrences(rows: DataFrame, key: Column, terms: DataFrame) -> DataFrame:
-    """(key, term) of each text that holds one of the terms. Up to BROADCAST_BYTES of terms are
+    """(key, spelt, term) of each text that holds one of the terms. Up to BROADCAST_BYTES of terms are
     sent to the texts; more are joined by shuffling the texts' words."""
     terms = staged(terms)
     few = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0] <= BROADCAST_BYTES
-    words = rows.select(key, _terms().alias("term"))
+    words = rows.select(key, F.explode(_spelt()).alias("spelt")).withColumn("term", F.lower("spelt"))
     return words.join(F.broadcast(terms) if few else terms, "term", "left_semi")
 
 
 def with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """Adds ``terms``: the spans of disclosing terms; base spans stay as they are."""
+    """Adds ``terms``: the spans of disclosing terms; base spans stay as they are.
+
+    A text is searched for the spellings that its own words have, so case folding takes place once.
+    """
     holders = staged(_occurrences(rows, F.col("row"), terms).groupBy("row")
-                     .agg(F.array_sort(F.collect_list("term")).alias("_t")))
+                     .agg(F.array_sort(F.collect_list("spelt")).alias("_t")))
     size = holders.agg(F.coalesce(F.sum(F.octet_length(F.array_join("_t", "|")) + 64), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         holders = F.broadcast(holders)
-    pattern = F.concat(F.lit(f"(?iu){_BEFORE}(?:"), F.array_join("_t", "|"), F.lit(f"){_AFTER}"))
-    clear = F.filter(_spans(F.col("text"), pattern, "term", lambda v: F.lit(True)),
-                     lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+    pattern = F.concat(F.lit(f"{_BEFORE}(?:"), F.array_join("_t", "|"), F.lit(f"){_AFTER}"))
     return (rows.join(holders, "row", "left")
             .select("row", "doc_id", "text", "doc", "base",
-                    F.when(F.col("_t").isNotNull(), clear).otherwise(F.array().cast(_NONE)).alias("terms")))
+                    F.when(F.col("_t").isNotNull(), _spans(_clear(), pattern, "term", lambda v: F.lit(True)))
+                    .otherwise(F.array().cast(_NONE)).alias("terms")))
 
 
 def joined(spans: Column) -> Column:
@@ -183,21 +207,37 @@ def find(docs: DataFrame, min_support: int = MIN_SUPPORT, disclosure: float = DI
     return with_terms(rows, disclosing_terms(rows, min_support, disclosure))
 
 
-def masked(text: Column, spans: Column, by: str | None = None) -> Column:
-    """The text with values generalised to ``[KIND]`` (or ``by``) and terms removed; of overlapping
-    spans the first one stands, its mask covering the others up to its end."""
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points [start, end) of a text held as blocks of BLOCK_CHARS."""
+    first = F.floor(start / BLOCK_CHARS).cast("int")
+    several = F.slice(blocks, first + 1, F.floor((end - 1) / BLOCK_CHARS).cast("int") - first + 1)
+    return F.when(end <= start, F.lit("")).otherwise(
+        F.substring(F.array_join(several, ""), (start - first * F.lit(BLOCK_CHARS) + 1).cast("int"), (end - start).cast("int")))
+
+
+def masked(text: Column, spans: Column, blank: bool = False) -> Column:
+    """The text with values generalised to ``[KIND]`` and terms removed, or with all of them blanked by
+    as many spaces; of overlapping spans the first one stands, its mask covering the others up to its end.
+
+    Pieces are taken from blocks of the text, so its length and the number of spans add, not multiply.
+    """
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    done = F.aggregate(
-        ordered, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.array(
-                F.substring(text, (acc["at"] + 1).cast("int"),
-                            F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")),
-                F.when(s["kind"] == "term", F.lit("")).when(s["start"] < acc["at"], F.lit(""))
-                .otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")) if by is None else F.lit(by)))).alias("out"))),
-        lambda acc: F.concat(F.array_join(acc["out"], ""),
-                             F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2 ** 31 - 1))))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+
+    def one(s: Column, at: Column, blocks: Column) -> Column:
+        start = F.greatest(s["start"], at)
+        mask = (F.repeat(F.lit(" "), (s["end"] - start).cast("int")) if blank else
+                F.when((s["kind"] == "term") | (s["start"] < at), F.lit(""))
+                .otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+        return F.when(s["end"] <= at, F.lit("")).otherwise(F.concat(_piece(blocks, at, start), mask))
+
+    def pieces(c: Column) -> Column:
+        done = F.slice(F.concat(F.array(F.lit(0).cast("bigint")), c["ends"]), 1, F.size(c["ordered"]))
+        return F.concat(F.array_join(F.zip_with(c["ordered"], done, lambda s, at: one(s, at, c["blocks"])), ""),
+                        _piece(c["blocks"], F.array_max(c["ends"]), F.length(text).cast("bigint")))
+
+    ends = lambda o: _running(F.transform(o, lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0)
+    done = _let(_let(ordered, lambda o: F.struct(o.alias("ordered"), ends(o).alias("ends"), blocks.alias("blocks"))), pieces)
     return F.when(F.size(spans) == 0, text).otherwise(done)
 
 

@@ -19,6 +19,8 @@ message to those that quote them; an empty table gives no rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +71,7 @@ def _parents(rows: DataFrame) -> DataFrame:
 
 
 def _padded(turn: Column) -> Column:
-    below = F.concat(F.lit("-"), F.lpad(F.try_add(F.try_add(turn, F.lit(2 ** 63 - 1)), F.lit(1)).cast("string"), WIDTH - 1, "0"))
+    below = F.concat(F.lit("-"), F.lpad((turn.cast("decimal(20,0)") + F.lit(Decimal(2 ** 63))).cast("string"), WIDTH - 1, "0"))
     return F.when(turn < 0, below).otherwise(F.lpad(turn.cast("string"), WIDTH, "0"))
 
 
@@ -150,4 +152,4 @@ THREADS_SQL = r"""
 # @turn stands for a turn as a path holds it
 for _turn in ("parent_turn", "p.turn", "m.turn"):
     THREADS_SQL = THREADS_SQL.replace(f"@{_turn}", f"""(CASE WHEN {_turn} < 0
-        THEN '-' || lpad(({_turn} + 9223372036854775807 + 1)::VARCHAR, 19, '0') ELSE lpad({_turn}::VARCHAR, 20, '0') END)""")
+        THEN '-' || lpad(({_turn}::HUGEINT + 9223372036854775808)::VARCHAR, 19, '0') ELSE lpad({_turn}::VARCHAR, 20, '0') END)""")

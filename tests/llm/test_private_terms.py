@@ -120,3 +120,39 @@ def test_texts_of_a_term_are_counted_exactly(spark):
     plan = lambda df: df._jdf.queryExecution().toString()
     rows = private_terms.with_base(frame(spark, ["zorbaland ann@x.org"]))
     assert "approx_count_distinct" not in plan(private_terms.disclosing_terms(rows))
+
+
+def test_terms_whose_lower_case_is_longer_are_found(spark):
+    rng = random.Random(7)
+    filler = lambda: " ".join("".join(rng.choices("bcdfg", k=6)) for _ in range(12))
+    names = ["İzmirli", "Straße", "ΟΔΟΣ", "QUERBACH"]
+    texts = [f"{' '.join(names)} ann@x.org {filler()}" for _ in range(5)] + [filler() for _ in range(60)]
+    texts += ["before İİ ΟΔΟΣ, querbach. οδος"]
+    got = found(frame(spark, texts))
+    want = ",".join(f"term:{m.start()}:{m.end()}" for m in re.finditer(r"\w+", " ".join(names)))
+    assert all(got[i][1] == want for i in range(5))
+    assert got[65][1] == "term:10:14,term:16:24,term:26:30"
+    clean = {r.doc_id: r.text for r in private_terms.sanitise(frame(spark, texts)).collect()}
+    assert clean[0].strip() == f"[EMAIL] {texts[0].split('ann@x.org ')[1]}" and clean[65] == "before İİ , . "
+
+
+def test_many_values_in_one_text(spark):
+    """A text of 40,000 addresses, spans beside and across block borders, and overlapping kinds."""
+    text = " ".join(f"u{i}@x.org ☃" for i in range(40_000))
+    odd = ["".join(rng.choices(["+1 234 567 890 ", "4111 1111 1111 1111", "10.0.0.1", " ", "é☃", "a@b.c"], k=rng.randint(0, 400)))
+           for rng in map(random.Random, range(40))]
+    got = {r.doc_id: r for r in private_terms.with_base(frame(spark, [text, *odd])).select(
+        "doc_id", private_terms.joined(F.col("base")).alias("spans"),
+        private_terms.masked(F.col("text"), F.col("base")).alias("masked"),
+        private_terms.masked(F.col("text"), F.col("base"), blank=True).alias("blank")).collect()}
+    assert got[0].masked == " ".join(["[EMAIL] ☃"] * 40_000) and got[0].spans == base(text)
+    for i, t in enumerate(odd, 1):
+        assert got[i].spans == base(t)
+        spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in base(t).split(",") if x))
+        out, blank, at = [], list(t), 0
+        for a, b, kind in spans:
+            blank[a:b] = " " * (b - a)
+            if b > at:
+                out += [t[at:max(a, at)], f"[{kind.upper()}]" if a >= at else ""]
+                at = b
+        assert got[i].masked == "".join(out) + t[at:] and got[i].blank == "".join(blank)
