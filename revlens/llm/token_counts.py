@@ -1,11 +1,12 @@
 """Token counts of whole texts by overlap resynchronisation.
 
-A text of more than ``CHUNK_CHARS`` code points is cut into overlapping chunks that
-are dealt out over the cluster and encoded on their own, keeping the offsets of token
-boundaries in the overlaps. Two neighbours are spliced at a boundary that both have
-and that is proven stable: white space stands before it, which no token of this kind
-of vocabulary (white space dropped by the pre-tokenizer) spans and which never takes
-part in normalisation with what follows. Where an overlap holds no such boundary the
+A text of more than ``CHUNK_CHARS`` code points is cut into overlapping chunks that are dealt
+out over the cluster and encoded by the library, each on its own, with the offsets of its tokens.
+The (start, end, id) runs of two neighbours are then held against each other in their overlap. They
+are spliced at a boundary where, in both, a pre-token ends and the same last token stands before it
+and the same tokens of the next pre-token, not the chunk's last, stand after it. Pre-tokens are
+found from left to right, so two readings that stand at the same place go on alike: the rest of the
+second chunk is what the whole text's encoding has. Where an overlap holds no such boundary the
 document goes into another round with chunks and overlaps four times as wide, until
 one chunk holds it whole.
 
@@ -15,9 +16,8 @@ a null ``doc_id`` is kept; repeated rows are counted each; an empty table gives
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,12 +28,11 @@ OVERLAP_CHARS = 512
 LIMIT = 2_048
 WIDEN = 4
 CACHE_WORDS = 1 << 20
-_BOUNDARY = re.compile(r"(?<=[\x20\x09-\x0D])[^\x20\x09-\x0D]")
 _counters: dict = {}
 
 
 class _Counter(dict):
-    """Tokens of a stretch between white space, as the library encodes it; bounded."""
+    """Tokens of a stretch between white space, as the library encodes it; a bounded cache for short texts."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -90,32 +89,41 @@ def _cut(size: int, overlap: int):
     return run
 
 
-_ENCODED = ("row long, doc_id long, k int, last boolean, n long, n_bytes long, "
-            "left array<struct<at:long,n:long>>, right array<struct<at:long,n:long>>")
+_ZONE = "array<struct<at:long,mark:long,n:long>>"
+_ENCODED = f"row long, doc_id long, k int, last boolean, n long, n_bytes long, left {_ZONE}, right {_ZONE}"
 
 
-def _encode(path: str, size: int, overlap: int):
-    """Per chunk: its tokens, and tokens before each stable boundary of its overlaps."""
-    def run(batches):
-        count = _counter(path).count
-        zone = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())]))
+def boundaries(encoding, start: int, lo: int, hi: int) -> list[dict]:
+    """The places in [lo, hi) of a chunk where a pre-token ends: ``at`` (in the text), ``n`` tokens
+    before it and ``mark``, a hash of the token before it and those of the pre-token after it.
 
-        def before(part: str, lo: int, hi: int, start: int) -> list[dict]:
-            cuts = [m.start() for m in _BOUNDARY.finditer(part, max(lo, 1), hi)]
-            out, n, was = [], 0, 0
-            for c in cuts:
-                n, was = n + count(part[was:c].encode()), c
-                out.append({"at": start + c, "n": n})
-            return out
+    The chunk's last pre-token may go on behind its end, so none is followed by that one.
+    """
+    words, offsets, ids = encoding.word_ids, encoding.offsets, encoding.ids
+    firsts = [i for i in range(1, len(ids)) if words[i] != words[i - 1]]
+    out = []
+    for i, after in zip(firsts, firsts[1:]):
+        at = offsets[i - 1][1]
+        if lo <= at < hi:
+            run = [(start + a, start + b, t) for (a, b), t in zip(offsets[i - 1:after], ids[i - 1:after])]
+            mark = xxhash.xxh64_intdigest(repr(run).encode())
+            out.append({"at": start + at, "mark": mark - (1 << 63), "n": i})
+    return out
 
+
+def _encode(path: str, size: int, overlap: int):
+    """Per chunk: its tokens, and the boundaries of its overlaps."""
+    def run(batches):
+        encode = _counter(path).encode
+        zone = pa.list_(pa.struct([("at", pa.int64()), ("mark", pa.int64()), ("n", pa.int64())]))
         for b in batches:
             rows = b.to_pydict()
             left, right, n = [], [], []
-            for k, part in zip(rows["k"], rows["part"]):
-                start = k * (size - overlap)
-                left.append(before(part, 0, overlap, start) if k else [])
-                right.append(before(part, size - overlap, size, start) if len(part) == size else [])
-                n.append(count(part.encode()))
+            for k, last, part in zip(rows["k"], rows["last"], rows["part"]):
+                start, encoding = k * (size - overlap), encode(part, add_special_tokens=False)
+                left.append(boundaries(encoding, start, 0, overlap) if k else [])
+                right.append([] if last else boundaries(encoding, start, size - overlap, size))
+                n.append(len(encoding.ids))
             # bytes of the part that no later chunk holds too
             own = [len((p if z else p[:size - overlap]).encode()) for p, z in zip(rows["part"], rows["last"])]
             yield pa.RecordBatch.from_arrays(
@@ -132,8 +140,11 @@ def _spliced(long: DataFrame, path: str, size: int, overlap: int) -> DataFrame:
     chunks = chunks.repartition("row", "k")     # the chunks of one huge text spread out
     parts = chunks.mapInArrow(_encode(path, size, overlap), _ENCODED)
     parts = parts.withColumn("next", F.lead("left").over(Window.partitionBy("row").orderBy("k")))
-    common = F.array_min(F.array_intersect(F.col("right.at"), F.col("next.at")))
-    tokens_at = lambda zone: F.element_at(F.map_from_entries(zone), F.col("cut"))
+    place = lambda zone: F.transform(zone, lambda x: F.struct(x["at"], x["mark"]))
+    # the last common one, farthest from where the second chunk begins in the midst of a word
+    common = F.array_max(F.array_intersect(place(F.col("right")), place(F.col("next"))))
+    tokens_at = lambda zone: F.get(F.filter(
+        zone, lambda x: (x["at"] == F.col("cut.at")) & (x["mark"] == F.col("cut.mark"))), 0)["n"]
     joined = (parts.withColumn("cut", common)
               .withColumn("term", F.when(F.col("last"), F.col("n"))
                           .when(F.col("cut").isNotNull(), tokens_at(F.col("right")) - tokens_at(F.col("next")))))

@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -32,5 +34,48 @@ def test_odd_rows(spark, chunk, overlap):
     assert sorted(r.n_tokens for r in got if r.doc_id is None) == [0, expected("a text without an id")[1]]
 
 
+def test_boundaries_are_common_offsets_and_not_white_space():
+    text = "alpha,beta;gamma..delta" * 4
+    first, second = (LIBRARY.encode(t, add_special_tokens=False) for t in (text[:60], text[36:]))
+    left = token_counts.boundaries(first, 0, 36, 60)
+    right = token_counts.boundaries(second, 36, 0, 24)
+    same = {(x["at"], x["mark"]) for x in left} & {(x["at"], x["mark"]) for x in right}
+    assert same and all(not text[at].isspace() for at, _ in same)
+    whole = len(LIBRARY.encode(text, add_special_tokens=False).ids)
+    n = {(x["at"], x["mark"]): x["n"] for x in left}
+    m = {(x["at"], x["mark"]): x["n"] for x in right}
+    assert all(n[p] + len(second.ids) - m[p] == whole for p in same)
+
+
+def test_offsets_that_disagree_widen_the_overlap(spark, monkeypatch):
+    """Words longer than the overlap: chunks cut them at different places and share no boundary."""
+    text = " ".join("".join(chr(97 + (7 * i + j * j) % 26) for j in range(70)) for i in range(12))
+    rounds, cut = [], token_counts._spliced
+    monkeypatch.setattr(token_counts, "_spliced", lambda long, path, size, overlap:
+                        rounds.append((size, overlap)) or cut(long, path, size, overlap))
+    encoded = [LIBRARY.encode(t, add_special_tokens=False) for t in (text[:64], text[56:120])]
+    runs = [{(start + a, start + b) for a, b in e.offsets if 56 <= start + a and start + b <= 64}
+            for e, start in zip(encoded, (0, 56))]
+    marks = [{(x["at"], x["mark"]) for x in token_counts.boundaries(e, *zone)}
+             for e, zone in zip(encoded, ((0, 56, 64), (56, 0, 8)))]
+    assert runs[0] != runs[1] and not marks[0] & marks[1]
+    docs = spark.createDataFrame([(1, text), (2, "a b c " * 30)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, PATH, chunk=64, overlap=8).collect()}
+    assert got == {1: expected(text), 2: expected("a b c " * 30)}
+    assert rounds[0] == (64, 8) and len(rounds) > 1
+
+
+@pytest.mark.parametrize("chunk, overlap", [(48, 24), (24, 12)])
+def test_random_texts_without_spaces_and_with_marks(spark, chunk, overlap):
+    rng = random.Random(3)
+    pieces = ["a", "e", "\u0301", "\u0323", "ß", "İ", "Σ", "'s", "'ll", "3", "½", "…", "!", ".", " ", "\n", "你", "ﬁ", "☃", "👩\u200d🚀",
+              "<|endoftext|>", "<|startoftext|>", "<|", "|>", "word", "\x1c", "\x85", "\u00a0"]
+    docs = [(i, "".join(rng.choices(pieces, k=rng.randint(0, 150)))) for i in range(400)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(frame, PATH, chunk=chunk, overlap=overlap).collect()}
+    wrong = [t for i, t in docs if got[i] != expected(t)]
+    assert not wrong, wrong[:3]
+
+
 def test_no_rows(spark):
     assert token_counts.count_tokens(no_docs(spark), PATH).collect() == []
