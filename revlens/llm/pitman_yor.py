@@ -4,17 +4,23 @@ Every word and the beginning of a text is a context restaurant; its dishes are t
 follow, whatever their counts. The restaurants share one parent over all training words, whose
 customers are their tables and whose base is uniform over the words and one unseen word.
 
-Seating is sampled by Gibbs sweeps over tables of dishes: each sweep seats every dish's
-customers anew, given the parent's predictive probabilities and the restaurants' numbers of
-tables of the sweep before. After ``BURN`` sweeps, predictive probabilities are averaged over
-``SAMPLES`` sweeps.
+Seating is sampled by Gibbs sweeps over the numbers of tables: all customers of a dish are taken out
+and seated again at once, by drawing their number of tables from its distribution given the other
+dishes' tables and the parent (generalised Stirling numbers, exact for parties of up to ``EXACT``;
+larger ones sit down in blocks of a thirty-second, within which the odds are held). Shards
+draw side by side: what other shards change is seen in the next sweep. After ``BURN`` sweeps,
+predictive probabilities are averaged over ``SAMPLES`` sweeps.
 
 Texts are packed into compressed slices once. Slices ask for the words and word pairs that
 they hold by hash, shards gather what is asked, count it over the corpus and answer each
 slice in the order of its questions, and slices meet their answers to be scored. Pairs are dealt
-by context and word together, so no frequent context or word is one shard's alone; each sweep,
-pair shards send their numbers of tables to the shards of the words, which add them up, seat the
-parent and answer likewise. Nothing but scalars passes the driver, and nothing is broadcast.
+by context and word together, so no frequent context or word is one shard's alone. Pairs of one
+customer have one table for good, so sweeps carry only the others: pair shards send
+their further tables to the shards of the words, which add them up, seat the parent and answer
+likewise. Nothing but scalars passes the driver, and nothing is broadcast.
+
+What is staged is Parquet in the shared folder, dropped when the scores are written; shuffle files
+go with the step that wrote them.
 
 Defined results: a null or empty text is its end token alone; a null ``doc_id`` is learnt
 and scored like any; repeated rows are learnt and scored each; without training tokens,
@@ -23,18 +29,25 @@ every probability is the uniform base's; an empty table gives no rows.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, texts, word_hash
+from revlens.session import drop_staged, staging_path
+
+from .common import texts, word_hash
 
-SLICE_BYTES = 16 * 2 ** 20
+SLICE_BYTES = 32 * 2 ** 20                    # of text
+SHARD_BYTES = 8 * 2 ** 20                     # of packed text
 BURN, SAMPLES = 2, 3
+EXACT = 128                                   # customers whose number of tables is drawn exactly
 DISCOUNT, STRENGTH = 0.75, 1.0                # of the context restaurants
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
 END = xxhash.xxh64_intdigest(b" end")         # no word holds a space
@@ -57,6 +70,27 @@ def _by_shard(keys: np.ndarray, n: int, *columns):
         yield int(s), keys[part], *(c[part] for c in columns)
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in order, place of each value among them)."""
+    place, found = pd.factorize(x)
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    return found[order], rank[place]
+
+
+def _batch(rows: list, schema: str) -> pa.RecordBatch:
+    """Rows under a DDL schema of longs, binaries, strings and arrays of longs."""
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+    fields = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields.types)], schema=fields)
+
+
+def _table(rows: list, schema: str) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows, schema)])
+
+
 # --- slices -----------------------------------------------------------------
 
 _PACKED = "slice long, ids array<long>, train array<boolean>, sizes array<long>, blob binary"
@@ -85,8 +119,9 @@ def _pack(batches):
         yield row()
 
 
-def _tokens(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token hashes, first token of each text, train flag of each token) of a slice."""
+def _tokens(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct token hashes, each token as a place among them, first token of each text, train flag of
+    each token) of a slice."""
     blob, at, parts = zstandard.decompress(r["blob"]) if sum(r["sizes"]) else b"", 0, []
     for n in r["sizes"]:
         words = blob[at:at + n].lower().split()
@@ -94,12 +129,16 @@ def _tokens(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts.append(np.array([END], np.uint64))
         at += n
     sizes = np.array([len(parts[i]) + 1 for i in range(0, len(parts), 2)])
-    return np.concatenate(parts), np.cumsum(sizes) - sizes, np.repeat(np.array(r["train"], bool), sizes)
+    found, number = _distinct(np.concatenate(parts))
+    return found, number, np.cumsum(sizes) - sizes, np.repeat(np.array(r["train"], bool), sizes)
 
 
-def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, back = np.unique(keys, return_inverse=True)
-    return found, np.bincount(back[train], minlength=len(found)).astype(np.int64)
+def _pairs(found: np.ndarray, number: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, words) of the distinct pairs in order, and each token's place among them."""
+    before = np.concatenate([[0], number[:-1]])
+    before[starts] = len(found)
+    keys, back = _distinct(before * len(found) + number)
+    return np.append(found, START)[keys // len(found)], found[keys % len(found)], back
 
 
 def _small(x: np.ndarray, dtype: str = "<i8") -> bytes:
@@ -111,186 +150,176 @@ def _large(x: bytes, dtype: str = "<i8") -> np.ndarray:
     return np.frombuffer(zstandard.decompress(x), dtype) if len(x) else np.zeros(0, dtype)
 
 
-_ASKED = "shard long, slice long, keys binary, counts binary"
-
-
-def _asked(rows):
-    out = pa.schema([("shard", pa.int64()), ("slice", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), out.types)], schema=out)
-
-
-def _ask_words(n: int):
-    def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                w, _, train = _tokens(r)
-                keys, counts = _counted(w, train)
-                yield _asked([(s, r["slice"], k.tobytes(), _small(c)) for s, k, c in _by_shard(keys, n, counts)])
-    return run
-
-
-def _pairs(w: np.ndarray, starts: np.ndarray, train: np.ndarray):
-    """(contexts, words, training counts) of the distinct pairs in order, and each token's place among them."""
-    found, number = np.unique(w, return_inverse=True)
-    before = np.concatenate([[0], number[:-1]])
-    before[starts] = len(found)
-    keys, back = np.unique(before * len(found) + number, return_inverse=True)
-    counts = np.bincount(back[train], minlength=len(keys)).astype(np.int64)
-    return np.append(found, START)[keys // len(found)], found[keys % len(found)], counts, back
-
-
-_ASKED_PAIRS = "shard long, slice long, contexts binary, words binary, counts binary"
+_ASKED = "shard long, slice long, contexts binary, words binary, counts binary"
 
 
-def _ask_pairs(n: int):
+def _ask(n: int):
+    """What a slice asks of each shard: words (no contexts) and pairs, with their training counts."""
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                u, w, counts, _ = _pairs(*_tokens(r))
-                rows = [(s, r["slice"], _small(x), y.tobytes(), _small(c))
-                        for s, _, x, y, c in _by_shard(u * _P + w, n, u, w, counts)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 3)],
-                    ["shard", "slice", "contexts", "words", "counts"])
+                found, number, starts, train = _tokens(r)
+                counts = np.bincount(number[train], minlength=len(found))
+                rows = [(s, r["slice"], None, k.tobytes(), _small(c)) for s, k, c in _by_shard(found, n, counts)]
+                u, w, back = _pairs(found, number, starts)
+                counts = np.bincount(back[train], minlength=len(u))
+                rows += [(s, r["slice"], _small(x), y.tobytes(), _small(c))
+                         for s, _, x, y, c in _by_shard(u * _P + w, n, u, w, counts)]
+                yield _batch(rows, _ASKED)
     return run
 
 
-_GATHERED = "shard long, slices array<long>, sizes array<long>, keys binary, counts binary"
-
-
-def _gather(key, group):
-    """All that slices ask of a shard, as one row."""
-    asked = sorted(zip(*(group.column(c).to_pylist() for c in ("slice", "keys", "counts"))))
-    counts = np.concatenate([_large(c) for _, _, c in asked])
-    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([[a[0] for a in asked]], pa.list_(pa.int64())),
-                     pa.array([[len(a[1]) // 8 for a in asked]], pa.list_(pa.int64())),
-                     pa.array([b"".join(a[1] for a in asked)], pa.binary()), pa.array([_small(counts)], pa.binary())],
-                    names=["shard", "slices", "sizes", "keys", "counts"])
-
-
-def _totals(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, their counts over all slices, place of each asked key) of a gathered row."""
-    found, back = np.unique(np.frombuffer(r["keys"], "<i8"), return_inverse=True)
-    return found, np.bincount(back, _large(r["counts"]), len(found)).astype(np.int64), back
-
+_GATHERED = ("shard long, word_slices array<long>, word_sizes array<long>, word_back binary, word_counts binary, "
+             "n long, v long, slices array<long>, sizes array<long>, steps binary, names binary, "
+             "parts array<long>, u binary, w binary, counts binary")
 
-_PAIRS = ("shard long, slices array<long>, sizes array<long>, steps binary, names binary, parts array<long>, "
-          "u binary, w binary, counts binary")
 
-
-def _gather_pairs(n: int):
-    """All that slices ask of a shard, as one row: distinct pairs as places ``u`` and ``w`` in the
-    shard's ``names``, which stand by word shard (``parts`` of them each). A slice's pairs are in
-    order, so ``steps`` between their places are small."""
+def _gather(n: int):
+    """All that slices ask of a shard, as one row. Words: the place of each asked one among the distinct,
+    and the corpus counts of these. Pairs: distinct ones as places ``u`` and ``w`` in the shard's
+    ``names``, which stand by word shard (``parts`` of them each); a slice's pairs are in order, so
+    ``steps`` between their places are small."""
     def run(key, group):
-        asked = sorted(zip(*(group.column(c).to_pylist() for c in ("slice", "contexts", "words", "counts"))))
-        u = np.concatenate([_large(a[1]) for a in asked]).astype("<u8")
-        w = np.frombuffer(b"".join(a[2] for a in asked), "<u8")
-        counts = np.concatenate([_large(a[3]) for a in asked])
+        rows = list(zip(*(group.column(c).to_pylist() for c in ("slice", "contexts", "words", "counts"))))
+        words, asked = (sorted((r for r in rows if (r[1] is None) == lone), key=lambda r: r[0]) for lone in (True, False))
+        joined = lambda x, i: np.concatenate([np.zeros(0, np.int64), *(_large(r[i]) for r in x)])
+        found, word_back = _distinct(np.frombuffer(b"".join(r[2] for r in words), "<u8"))
+        word_counts = np.bincount(word_back, joined(words, 3), len(found)).astype(np.int64)
+
+        u, w, counts = joined(asked, 1).astype("<u8"), np.frombuffer(b"".join(r[2] for r in asked), "<u8"), joined(asked, 3)
         order = np.lexsort((w, u))
-        new = np.append(True, (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0))
+        new = np.append(True, (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0))[:len(u)]
         back = np.empty(len(u), np.int64)
         back[order] = np.cumsum(new) - 1
-        names, place = np.unique(np.concatenate([u[order][new], w[order][new]]), return_inverse=True)
+        names, place = _distinct(np.concatenate([u[order][new], w[order][new]]))
         shard = _spread(names, n)
         by_shard = np.argsort(shard, kind="stable")
         at = np.empty(len(names), np.int64)
         at[by_shard] = np.arange(len(names))
         place = at[place]
         half = len(place) // 2
-        row = (key[0].as_py(), [a[0] for a in asked], [len(a[2]) // 8 for a in asked],
-               _small(np.diff(back, prepend=0), "<i4"), names[by_shard].tobytes(), np.bincount(shard, minlength=n).tolist(),
-               _small(place[:half], "<i4"), _small(place[half:], "<i4"), _small(np.bincount(back, counts)))
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()),
-                 *[pa.binary()] * 3]
-        return pa.table([pa.array([x], t) for x, t in zip(row, kinds)],
-                        names=["shard", "slices", "sizes", "steps", "names", "parts", "u", "w", "counts"])
+        return _table([(
+            key[0].as_py(), [r[0] for r in words], [len(r[2]) // 8 for r in words], _small(word_back, "<i4"),
+            _small(word_counts), int(word_counts.sum()), int((word_counts > 0).sum()),
+            [r[0] for r in asked], [len(r[2]) // 8 for r in asked], _small(np.diff(back, prepend=0), "<i4"),
+            names[by_shard].tobytes(), np.bincount(shard, minlength=n).tolist(), _small(place[:half], "<i4"),
+            _small(place[half:], "<i4"), _small(np.bincount(back, counts, half)))], _GATHERED)
     return run
 
 
+_ANSWERS = "slice long, shard long, kind string, answer binary"
+
+
+def _answers(kind: str, shard: int, slices: list, sizes: list, values: np.ndarray, dtype: str) -> list:
+    """An answer to each slice of a gathered row, in the order of its questions."""
+    ends = np.cumsum(sizes)
+    return [(s, shard, kind, _small(values[e - n:e], dtype)) for s, e, n in zip(slices, ends, sizes)]
+
+
+def _answer_words(batches):
+    """To each slice: count of each word that it asked for."""
+    for b in batches:
+        for r in b.to_pylist():
+            counts = _large(r["word_counts"])[_large(r["word_back"], "<i4")]
+            yield _batch(_answers("words", r["shard"], r["word_slices"], r["word_sizes"], counts, "<i8"), _ANSWERS)
+
+
 # --- restaurants ------------------------------------------------------------
 
 
+def _stirling(discount: float) -> np.ndarray:
+    """log S(c, t): the weight of c customers at t tables, for all c up to EXACT."""
+    t = np.arange(EXACT + 1)
+    s = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    s[1, 1] = 0
+    for c in range(1, EXACT):
+        # the next customer joins a table or opens one
+        s[c + 1, 1:] = np.logaddexp(s[c, 1:] + np.log(np.maximum(c - discount * t[1:], 1e-300)), s[c, :-1])
+    return s
+
+
+_LOG_S = {d: _stirling(d) for d in (DISCOUNT, PARENT_DISCOUNT)}
+
+
 def seat(customers: np.ndarray, mass: np.ndarray, discount: float, rng) -> np.ndarray:
     """Tables of each dish when its customers sit down one after another: the next opens a
     table with odds mass : (seated - discount * tables). Large parties sit down in blocks
-    of an eighth of those seated, within which the odds are held."""
+    of a thirty-second of those seated, within which the odds are held."""
     tables, seated = np.minimum(customers, 1), np.minimum(customers, 1)
     at = np.flatnonzero(customers > 1)
     while len(at):
         i, t, a = seated[at], tables[at], mass[at]
-        block = np.minimum(customers[at] - i, np.maximum(1, i // 8))
+        block = np.minimum(customers[at] - i, np.maximum(1, i // 32))
         tables[at] = t + rng.binomial(block, a / (a + i - discount * t))
         seated[at] = i + block
         at = at[seated[at] < customers[at]]
     return tables
 
 
-def _rng(*parts: int):
-    return np.random.default_rng([7, *(abs(int(p)) for p in parts)])
-
-
-def _answer_words(batches):
-    """To each slice: count of each word that it asked for."""
-    for b in batches:
-        for r in b.to_pylist():
-            _, counts, back = _totals(r)
-            yield _answers("words", r, counts[back], None)
+def reseat(customers: np.ndarray, p: np.ndarray, others: np.ndarray, discount: float, strength: float, rng) -> np.ndarray:
+    """A Gibbs draw of each dish's number of tables, given the restaurant's tables of ``others`` dishes and
+    the parent's probability ``p`` of the dish: t tables have weight S(c, t) times, for each
+    table, p and its odds of being opened, strength + discount * (tables before it)."""
+    out = np.minimum(customers, 1)
+    order = np.argsort(customers, kind="stable")
+    sizes, first = np.unique(customers[order], return_index=True)
+    for c, members in zip(sizes.tolist(), np.split(order, first[1:])):
+        if c < 2:
+            continue
+        if c > EXACT:
+            members = order[first[np.searchsorted(sizes, c)]:]
+            out[members] = seat(customers[members], (strength + discount * others[members]) * p[members], discount, rng)
+            break
+        before, log_s = np.arange(c), _LOG_S[discount][c, 1:c + 1]
+        for lo in range(0, len(members), 1 + 1_000_000 // c):
+            i = members[lo:lo + 1 + 1_000_000 // c]
+            like = np.log((strength + discount * (others[i][:, None] + before)) * p[i][:, None]).cumsum(1) + log_s
+            mass = np.exp(like - like.max(1, keepdims=True)).cumsum(1)
+            out[i] = 1 + (mass < (rng.random(len(i)) * mass[:, -1])[:, None]).sum(1)
+    return out
 
 
-_ANSWERS = "slice long, shard long, kind string, counts binary, logs binary"
+def _rng(*parts: int):
+    return np.random.default_rng([7, *(abs(int(p)) for p in parts)])
 
 
-def _answers(kind: str, r: dict, counts, logs, dtype: str = "<f8"):
-    """An answer to each slice of a gathered row, in the order of its keys."""
-    ends = np.cumsum(r["sizes"])
-    parts = [slice(e - n, e) for e, n in zip(ends, r["sizes"])]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(r["slices"], pa.int64()), pa.array([r["shard"]] * len(parts), pa.int64()),
-         pa.array([kind] * len(parts)), pa.array([_small(counts[i]) if counts is not None else b"" for i in parts], pa.binary()),
-         pa.array([_small(logs[i], dtype) if logs is not None else b"" for i in parts], pa.binary())], ["slice", "shard", "kind", "counts", "logs"])
+def _parts(r: dict):
+    """(word shard, its names' places) of a pair shard."""
+    ends = np.cumsum(r["parts"])
+    return [(s, slice(e - n, e)) for s, (e, n) in enumerate(zip(ends, r["parts"])) if n]
 
 
-_NAMED = "shard long, source long, keys binary, customers binary"
+_NAMED = "shard long, source long, keys binary, customers binary, dishes binary, contexts binary"
 
 
 def _name(batches):
-    """To each word shard: a pair shard's names, and their customers there as contexts."""
+    """To each word shard: a pair shard's names, their customers there as contexts, and their tables as dishes
+    and as contexts while each pair has one table."""
     for b in batches:
         for r in b.to_pylist():
-            names = np.frombuffer(r["names"], "<i8")
-            customers = np.bincount(_large(r["u"], "<i4"), _large(r["counts"]), len(names))
-            rows = [(s, r["shard"], names[i].tobytes(), _small(customers[i])) for s, i in _parts(r)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 2)],
-                ["shard", "source", "keys", "customers"])
+            names, u, w, counts = np.frombuffer(r["names"], "<i8"), _large(r["u"], "<i4"), _large(r["w"], "<i4"), _large(r["counts"])
+            one, size = counts > 0, len(names)
+            all_of = np.bincount(u, counts, size), np.bincount(w[one], minlength=size), np.bincount(u[one], minlength=size)
+            yield _batch([(s, r["shard"], names[i].tobytes(), *(_small(x[i]) for x in all_of)) for s, i in _parts(r)], _NAMED)
 
 
-def _parts(r: dict):
-    """(word shard, its names' places) of a pair shard."""
-    ends = np.cumsum(r["parts"])
-    return [(s, slice(e - n, e)) for s, (e, n) in enumerate(zip(ends, r["parts"])) if n]
-
-
-_TYPES = "shard long, sources array<long>, sizes array<long>, back binary, customers binary"
+_TYPES = "shard long, sources array<long>, sizes array<long>, back binary, customers binary, dishes binary, contexts binary"
 
 
 def _types(key, group):
-    """A word shard's words as places of what pair shards name, and their customers as contexts."""
-    named = sorted(zip(*(group.column(c).to_pylist() for c in ("source", "keys", "customers"))))
-    found, back = np.unique(np.frombuffer(b"".join(x[1] for x in named), "<i8"), return_inverse=True)
-    customers = np.bincount(back, np.concatenate([_large(x[2]) for x in named]), len(found))
-    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([[x[0] for x in named]], pa.list_(pa.int64())),
-                     pa.array([[len(x[1]) // 8 for x in named]], pa.list_(pa.int64())),
-                     pa.array([_small(back, "<i4")], pa.binary()), pa.array([_small(customers)], pa.binary())],
-                    names=["shard", "sources", "sizes", "back", "customers"])
+    """A word shard's words as places of what pair shards name, and their sums over these."""
+    named = sorted(zip(*(group.column(c).to_pylist() for c in ("source", "keys", "customers", "dishes", "contexts"))))
+    found, back = _distinct(np.frombuffer(b"".join(x[1] for x in named), "<i8"))
+    sums = [np.bincount(back, np.concatenate([_large(x[i]) for x in named]), len(found)) for i in (2, 3, 4)]
+    return _table([(key[0].as_py(), [x[0] for x in named], [len(x[1]) // 8 for x in named], _small(back, "<i4"),
+                    *map(_small, sums))], _TYPES)
 
 
-_REPLIES = ("shard long, sweep long, part long, dishes binary, own binary, contexts binary, "
+_REPLIES = ("shard long, sweep long, part long, dishes binary, own binary, contexts binary, customers binary, "
             "all_dishes long, all_own long")
 
 
-def _replies(r: dict, sweep: int, dishes, own, contexts) -> pa.Table:
+def _replies(r: dict, sweep: int, dishes, own, contexts, customers=None) -> list:
     """To each pair shard, in the order of its names: tables as dish, the parent's tables of it, tables
     as context. The sums over the word shard's words stand in the first row."""
     back, rows, at = _large(r["back"], "<i4"), [], 0
@@ -298,177 +327,199 @@ def _replies(r: dict, sweep: int, dishes, own, contexts) -> pa.Table:
     for source, n in zip(r["sources"], r["sizes"]):
         i = back[at:at + n]
         rows.append((source, sweep, r["shard"], _small(dishes[i]), _small(own[i]), _small(contexts[i]),
-                     *(sums if not at else (0, 0))))
+                     b"" if customers is None else _small(customers[i]), *(sums if not at else (0, 0))))
         at += n
-    kinds = [pa.int64()] * 3 + [pa.binary()] * 3 + [pa.int64()] * 2
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                    names=["shard", "sweep", "part", "dishes", "own", "contexts", "all_dishes", "all_own"])
+    return rows
 
 
-def _reply_customers(batches):
-    """Each name's customers as a context, as the replies before the first sweep."""
+def _first_replies(batches):
+    """Before the first sweep every pair, and every word at the parent, has one table."""
     for b in batches:
         for r in b.to_pylist():
-            c = _large(r["customers"])
-            yield from _replies(r, -1, np.zeros_like(c), np.zeros_like(c), c).to_batches()
+            dishes = _large(r["dishes"])
+            yield _batch(_replies(r, -1, dishes, np.minimum(dishes, 1), _large(r["contexts"]), _large(r["customers"])), _REPLIES)
 
 
 class _State:
-    """What a pair shard knows of its names: the customers of each as a context, and after each sweep
+    """What a pair shard is told of its names: the customers of each as a context, and after each sweep
     the parent's predictive probability and the number of tables as a context."""
 
-    def __init__(self, replies: list[dict], types: int):
-        self.types, self.by = types, {}
+    def __init__(self, replies: list[dict], types: int, sums: dict):
+        self.types, self.sums, self.by, self.seated = types, sums, {}, {}
         for a in sorted(replies, key=lambda a: a["part"]):
-            self.by.setdefault(a["sweep"], []).append(a)
-        self.customers = self._vector(-1, "contexts")
+            if a["part"] < 0:                 # the shard's own tables, of pairs with several customers
+                self.seated[a["sweep"]] = _large(a["dishes"])
+            else:
+                self.by.setdefault(a["sweep"], []).append(a)
 
-    def _vector(self, sweep: int, column: str) -> np.ndarray:
+    def vector(self, sweep: int, column: str) -> np.ndarray:
         return np.concatenate([_large(a[column]) for a in self.by[sweep]])
 
-    def after(self, sweep: int, sums: dict) -> tuple[np.ndarray, np.ndarray]:
-        uniform = 1.0 / (self.types + 1)
-        if sweep < 0:
-            return np.full(len(self.customers), uniform), np.minimum(self.customers, 1)
-        dishes, own = sums[sweep]
-        parent = ((self._vector(sweep, "dishes") - PARENT_DISCOUNT * self._vector(sweep, "own")
-                   + (PARENT_STRENGTH + PARENT_DISCOUNT * own) * uniform) / (PARENT_STRENGTH + dishes))
-        return parent, self._vector(sweep, "contexts")
+    def after(self, sweep: int) -> tuple[np.ndarray, np.ndarray]:
+        dishes, own = self.sums[sweep]
+        parent = ((self.vector(sweep, "dishes") - PARENT_DISCOUNT * self.vector(sweep, "own")
+                   + (PARENT_STRENGTH + PARENT_DISCOUNT * own) / (self.types + 1)) / (PARENT_STRENGTH + dishes))
+        return parent, self.vector(sweep, "contexts")
+
+
+_MULTIPLE = "shard long, parts array<long>, u binary, w binary, counts binary"
 
 
-def _seated(r: dict, sweep: int, state: _State, sums: dict):
-    """(pairs with customers, contexts, words, customers, tables) of a row of pairs in one sweep."""
-    counts = _large(r["counts"])
-    at = np.flatnonzero(counts)
-    u, w, counts = _large(r["u"], "<i4")[at], _large(r["w"], "<i4")[at], counts[at]
-    parent, tables = state.after(sweep - 1, sums)
-    mass = (STRENGTH + DISCOUNT * tables[u]) * parent[w]
-    return at, u, w, counts, seat(counts, mass, DISCOUNT, _rng(r["shard"], sweep))
+def _multiple(batches):
+    """A shard's pairs of several customers."""
+    for b in batches:
+        for r in b.to_pylist():
+            counts = _large(r["counts"])
+            at = np.flatnonzero(counts > 1)
+            yield _batch([(r["shard"], r["parts"], *(_small(_large(r[c], "<i4")[at], "<i4") for c in ("u", "w")),
+                           _small(counts[at]))], _MULTIPLE)
 
 
 _TABLES = "shard long, source long, dishes binary, contexts binary"
 
 
 def _sweep(sweep: int, types: int, sums: dict):
-    """To each word shard: a pair shard's numbers of tables by dish and by context."""
+    """To each word shard: a pair shard's tables beyond one a pair, by dish and by context; and, with source
+    -1, the shard's tables for its next sweep."""
     def run(key, pairs, replies):
-        state, rows = _State(replies.to_pylist(), types), []
+        state, rows = _State(replies.to_pylist(), types, sums), []
         for r in pairs.to_pylist():
-            _, u, w, _, t = _seated(r, sweep, state, sums)
-            size = len(state.customers)
-            dishes, contexts = np.bincount(w, t, size), np.bincount(u, t, size)
+            u, w, counts = _large(r["u"], "<i4"), _large(r["w"], "<i4"), _large(r["counts"])
+            parent, tables = state.after(sweep - 1)
+            others = tables[u] - state.seated.get(sweep - 1, np.ones(len(u), np.int64))
+            t = reseat(counts, parent[w], others, DISCOUNT, STRENGTH, _rng(r["shard"], sweep))
+            dishes, contexts = np.bincount(w, t - 1, len(parent)), np.bincount(u, t - 1, len(parent))
             rows += [(s, r["shard"], _small(dishes[i]), _small(contexts[i])) for s, i in _parts(r)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.binary()] * 2)],
-                        names=["shard", "source", "dishes", "contexts"])
+            rows.append((r["shard"], -1, _small(t), b""))
+        return _table(rows, _TABLES)
     return run
 
 
-def _parent(sweep: int, types: int):
+def _parent(sweep: int, types: int, own_tables: int):
     """Tables of a word shard's words over all pair shards, and the parent's tables of them."""
     def run(key, words, tables):
         r = words.to_pylist()[0]
         sent = sorted(zip(*(tables.column(c).to_pylist() for c in ("source", "dishes", "contexts"))))
-        back, size = _large(r["back"], "<i4"), len(_large(r["customers"]))
-        dishes, contexts = (np.bincount(back, np.concatenate([_large(x[i]) for x in sent]), size).astype(np.int64)
-                            for i in (1, 2))
-        # every training word is a dish of the parent
-        mass = np.full(size, (PARENT_STRENGTH + PARENT_DISCOUNT * types) / (types + 1))
-        return _replies(r, sweep, dishes, seat(dishes, mass, PARENT_DISCOUNT, _rng(r["shard"], sweep, 1)), contexts)
+        back = _large(r["back"], "<i4")
+        dishes, contexts = (_large(r[c]) + np.bincount(back, np.concatenate([_large(x[i]) for x in sent]), len(_large(r[c])))
+                            .astype(np.int64) for i, c in ((1, "dishes"), (2, "contexts")))
+        # every training word is a dish of the parent, whose other tables are as they were
+        own = reseat(dishes, np.full(len(dishes), 1 / (types + 1)), np.full(len(dishes), max(0, own_tables - 1)),
+                     PARENT_DISCOUNT, PARENT_STRENGTH, _rng(r["shard"], sweep, 1))
+        return _table(_replies(r, sweep, dishes, own, contexts), _REPLIES)
     return run
 
 
 def _answer_pairs(types: int, sums: dict):
     """To each slice: log10 P(word | context) of each pair that it asked for."""
     def run(key, pairs, replies):
-        state, batches = _State(replies.to_pylist(), types), []
+        state, rows = _State(replies.to_pylist(), types, sums), []
         for r in pairs.to_pylist():
-            every_u, every_w = _large(r["u"], "<i4"), _large(r["w"], "<i4")
-            p = np.zeros(len(every_u))
+            u, w, c = _large(r["u"], "<i4"), _large(r["w"], "<i4"), _large(r["counts"])
+            t, p = np.minimum(c, 1), np.zeros(len(u))
             for sweep in range(BURN, BURN + SAMPLES):
-                at, _, _, c, t = _seated(r, sweep, state, sums)
-                parent, tables = state.after(sweep, sums)
-                p += (STRENGTH + DISCOUNT * tables[every_u]) * parent[every_w] / SAMPLES
-                p[at] += (c - DISCOUNT * t) / SAMPLES
-            p = np.log10(p / (STRENGTH + state.customers[every_u]))
+                t[c > 1] = state.seated[sweep]
+                parent, tables = state.after(sweep)
+                p += ((STRENGTH + DISCOUNT * tables[u]) * parent[w] + c - DISCOUNT * t) / SAMPLES
+            p = np.log10(p / (STRENGTH + state.vector(-1, "customers")[u]))
             places = np.cumsum(_large(r["steps"], "<i4"), dtype=np.int64)
-            batches.append(_answers("pairs", r, None, p[places]))
-        return pa.Table.from_batches(batches)
+            rows += _answers("pairs", r["shard"], r["slices"], r["sizes"], p[places], "<f8")
+        return _table(rows, _ANSWERS)
     return run
 
 
+_SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
 def _score(n_shards: int, n: int, v: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(key, packed, answers):
-        held = {(a["kind"], a["shard"]): a for a in answers.to_pylist()}
+        held = {(a["kind"], a["shard"]): a["answer"] for a in answers.to_pylist()}
         out = []
 
-        def answered(kind: str, keys: np.ndarray, column: str, dtype: str):
+        def answered(kind: str, keys: np.ndarray, dtype: str):
             """The answers to a slice's distinct words or pairs, in their order."""
             got = np.zeros(len(keys), dtype)
             for shard, _, at in _by_shard(keys, n_shards, np.arange(len(keys))):
-                got[at] = _large(held[kind, shard][column], dtype)
+                got[at] = _large(held[kind, shard], dtype)
             return got
 
         for r in packed.to_pylist():
-            w, starts, train = _tokens(r)
-            found, back = np.unique(w, return_inverse=True)
-            c = answered("words", found, "counts", "<i8")[back]
-            before, after, _, back = _pairs(w, starts, train)
-            score = answered("pairs", before * _P + after, "logs", "<f8")[back]
+            found, number, starts, _ = _tokens(r)
+            c = answered("words", found, "<i8")
+            u, w, back = _pairs(found, number, starts)
+            score = answered("pairs", u * _P + w, "<f8")[back]
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             total = lambda x: np.add.reduceat(x, starts)
-            out.append(pa.table([pa.array(r["ids"], pa.int64()), pa.array(total(np.ones(len(w), np.int64))),
-                                 pa.array(total((c > 0).astype(np.int64))), pa.array(total(base)),
+            out.append(pa.table([pa.array(r["ids"], pa.int64()), pa.array(total(np.ones(len(number), np.int64))),
+                                 pa.array(total((c > 0).astype(np.int64)[number])), pa.array(total(base[number])),
                                  pa.array(total(score))], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
     return run
 
 
+@contextmanager
+def _staging(spark: SparkSession):
+    """A function that writes a table to the shared folder and reads it again; what it wrote is dropped at
+    the end, but for the last. Shuffle files are dropped with the step that wrote them."""
+    conf, wrote = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    was = spark.conf.get(conf, None)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        wrote.append(staging_path(spark, f"pitman-yor-{name}"))
+        df.write.parquet(wrote[-1])
+        return spark.read.schema(df.schema).parquet(wrote[-1])
+    spark.conf.set(conf, "true")
+    try:
+        yield kept
+    finally:
+        spark.conf.unset(conf) if was is None else spark.conf.set(conf, was)
+        for path in wrote[:-1]:
+            drop_staged(spark, path)
+
+
 def score(docs: DataFrame, train: Column) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score); ``train`` marks the
     texts to learn from, as a column over ``doc_id``."""
-    packed = staged(texts(docs).withColumn("train", train).mapInArrow(_pack, _PACKED))
-    shards = max(1, packed.count())
-
-    words = staged(packed.mapInArrow(_ask_words(shards), _ASKED).groupBy("shard").applyInArrow(_gather, _GATHERED))
-    n, v = words.mapInArrow(_sums, "n long, v long").agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    word_answers = words.mapInArrow(_answer_words, _ANSWERS)
-
-    # dealt out once: staged rows keep their partitions, so sweeps only move replies and tables
-    dealt = lambda df: staged(df.repartition(2 * shards, "shard"))
-    pairs = dealt(packed.mapInArrow(_ask_pairs(shards), _ASKED_PAIRS)
-                  .groupBy("shard").applyInArrow(_gather_pairs(shards), _PAIRS))
-    types = dealt(pairs.select("shard", "names", "parts", "u", "counts").mapInArrow(_name, _NAMED)
-                  .groupBy("shard").applyInArrow(_types, _TYPES))
-    customers = staged(types.mapInArrow(_reply_customers, _REPLIES))
-    replies, sums = [customers], {}
+    with _staging(docs.sparkSession) as kept:
+        return _scored(docs, train, kept)
+
+
+def _scored(docs: DataFrame, train: Column, kept) -> DataFrame:
+    packed = kept(texts(docs).withColumn("train", train).mapInArrow(_pack, _PACKED), "slices")
+    size = packed.agg(F.coalesce(F.sum(F.length("blob")), F.lit(0))).first()[0]
+    shards = max(1, -(-size // SHARD_BYTES))
+
+    # each shard's row has its words and its pairs
+    gathered = kept(packed.mapInArrow(_ask(shards), _ASKED).groupBy("shard").applyInArrow(_gather(shards), _GATHERED), "shards")
+    n, v = gathered.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    word_answers = (gathered.select("shard", "word_slices", "word_sizes", "word_back", "word_counts")
+                    .mapInArrow(_answer_words, _ANSWERS))
+    types = kept(gathered.select("shard", "names", "parts", "u", "w", "counts").mapInArrow(_name, _NAMED)
+                 .groupBy("shard").applyInArrow(_types, _TYPES), "words")
+    several = kept(gathered.select("shard", "parts", "u", "w", "counts").mapInArrow(_multiple, _MULTIPLE), "pairs")
+
+    totals = lambda df: tuple(df.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("all_dishes", "all_own")]).first())
+    first = now = kept(types.mapInArrow(_first_replies, _REPLIES), "replies")
+    sums, told = {-1: totals(first)}, first
     for sweep in range(BURN + SAMPLES):
-        before = customers if not sweep else customers.unionByName(replies[-1])
-        tables = (pairs.select("shard", "parts", "u", "w", "counts").groupBy("shard").cogroup(before.groupBy("shard"))
-                  .applyInArrow(_sweep(sweep, v, dict(sums)), _TABLES))
-        now = staged(types.groupBy("shard").cogroup(tables.groupBy("shard")).applyInArrow(_parent(sweep, v), _REPLIES))
-        sums[sweep] = tuple(now.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("all_dishes", "all_own")]).first())
-        replies.append(now)
-    used = customers
-    for now in replies[max(1, BURN):]:
-        used = used.unionByName(now)
-    pair_answers = (pairs.drop("names", "parts").groupBy("shard").cogroup(used.groupBy("shard"))
-                    .applyInArrow(_answer_pairs(v, sums), _ANSWERS))
+        tables = kept(several.groupBy("shard").cogroup(now.groupBy("shard"))
+                      .applyInArrow(_sweep(sweep, v, dict(sums)), _TABLES), "tables")
+        replies = kept(types.groupBy("shard").cogroup(tables.where("source >= 0").groupBy("shard"))
+                       .applyInArrow(_parent(sweep, v, sums[sweep - 1][1]), _REPLIES), "replies")
+        sums[sweep] = totals(replies)
+        none, zero = F.lit(b""), F.lit(0).cast("long")
+        seated = tables.where("source < 0").select(
+            "shard", F.lit(sweep).cast("long").alias("sweep"), F.col("source").alias("part"), "dishes", none.alias("own"),
+            none.alias("contexts"), none.alias("customers"), zero.alias("all_dishes"), zero.alias("all_own"))
+        now = replies.unionByName(seated)
+        if sweep >= BURN:
+            told = told.unionByName(now)
+    pair_answers = (gathered.select("shard", "slices", "sizes", "steps", "u", "w", "counts").groupBy("shard")
+                    .cogroup(told.groupBy("shard")).applyInArrow(_answer_pairs(v, sums), _ANSWERS))
     answers = word_answers.unionByName(pair_answers)
-    scored = (packed.groupBy("slice").cogroup(answers.groupBy("slice"))
-              .applyInArrow(_score(shards, n, v),
-                            "doc_id long, n_tokens long, n_known long, base_score double, score double"))
+    scored = kept(packed.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_score(shards, n, v), _SCORED), "scores")
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          "base_score", "score")
-
-
-def _sums(batches):
-    """Training tokens and training words of each shard."""
-    for b in batches:
-        for r in b.to_pylist():
-            _, counts, _ = _totals(r)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(counts.sum())], pa.int64()), pa.array([int((counts > 0).sum())], pa.int64())], ["n", "v"])

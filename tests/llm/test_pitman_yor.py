@@ -67,3 +67,34 @@ def test_rare_words_keep_their_context_statistics(spark):
     rows += [(100 + i, " ".join(f"w{i}x{j}" for j in range(200)), *[None] * 6) for i in range(5)]
     got = {r.doc_id: r.score for r in pitman_yor.score(spark.createDataFrame(rows, SCHEMA), ~F.col("doc_id").isin(10, 11)).collect()}
     assert got[10] > got[11] + 1
+
+
+def test_reseating_draws_from_the_distribution_given_the_rest():
+    """Against a sampler that takes customers out one by one and seats each again by the restaurant's rule."""
+    discount, strength, p, others, c = 0.75, 1.0, 0.2, 3, 6
+    rng = np.random.default_rng(5)
+    n = 200_000
+    got = pitman_yor.reseat(np.full(n, c), np.full(n, p), np.full(n, others), discount, strength, rng)
+    tables, seen = [c], collections.Counter()
+    for _ in range(60_000):
+        for _ in range(c):
+            k = rng.choice(len(tables), p=np.array(tables) / c)
+            tables[k] -= 1
+            tables = [x for x in tables if x]
+            odds = np.array([x - discount for x in tables] + [(strength + discount * (others + len(tables))) * p])
+            k = rng.choice(len(odds), p=odds / odds.sum())
+            if k == len(tables):
+                tables.append(0)
+            tables[k] += 1
+        seen[len(tables)] += 1
+    for t in range(1, c + 1):
+        assert abs((got == t).mean() - seen[t] / 60_000) < 0.01
+
+
+def test_stirling_weights_add_up_to_rising_factorials():
+    """Over all seatings of c customers in a restaurant of its own, weights add up to that of c customers."""
+    for d in (pitman_yor.DISCOUNT, pitman_yor.PARENT_DISCOUNT):
+        for c in (1, 2, 7, 128):
+            opened = np.log(1.0 + d * np.arange(c)).cumsum()
+            weight = np.exp(pitman_yor._LOG_S[d][c, 1:c + 1] + opened - math.lgamma(c + 1)).sum()
+            assert math.isclose(weight, 1, rel_tol=1e-9)
