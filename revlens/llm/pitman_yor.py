@@ -19,8 +19,8 @@ customer have one table for good, so sweeps carry only the others: pair shards s
 their further tables to the shards of the words, which add them up, seat the parent and answer
 likewise. Nothing but scalars passes the driver, and nothing is broadcast.
 
-What is staged is Parquet in the shared folder, dropped when the scores are written; shuffle files
-go with the step that wrote them.
+What is staged is Parquet in the shared folder, dropped once it is used up (the scores stay for the
+caller); shuffle files go with the step that wrote them.
 
 Defined results: a null or empty text is its end token alone; a null ``doc_id`` is learnt
 and scored like any; repeated rows are learnt and scored each; without training tokens,
@@ -44,7 +44,7 @@ from revlens.session import drop_staged, staging_path
 
 from .common import texts, word_hash
 
-SLICE_BYTES = 32 * 2 ** 20                    # of text
+SLICE_BYTES = 24 * 2 ** 20                    # of text
 SHARD_BYTES = 8 * 2 ** 20                     # of packed text
 BURN, SAMPLES = 2, 3
 EXACT = 128                                   # customers whose number of tables is drawn exactly
@@ -74,7 +74,7 @@ def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct values in order, place of each value among them)."""
     place, found = pd.factorize(x)
     order = np.argsort(found)
-    rank = np.empty(len(found), np.int64)
+    rank = np.empty(len(found), np.int32)
     rank[order] = np.arange(len(found))
     return found[order], rank[place]
 
@@ -134,11 +134,14 @@ def _tokens(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pairs(found: np.ndarray, number: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(contexts, words) of the distinct pairs in order, and each token's place among them."""
-    before = np.concatenate([[0], number[:-1]])
-    before[starts] = len(found)
-    keys, back = _distinct(before * len(found) + number)
-    return np.append(found, START)[keys // len(found)], found[keys % len(found)], back
+    """(contexts, words) of the distinct pairs in order, as places among ``found`` and START, and each
+    token's place among them."""
+    keys = np.concatenate([[0], number[:-1]]).astype(np.int64)
+    keys[starts] = len(found)
+    keys *= len(found)
+    keys += number
+    keys, back = _distinct(keys)
+    return keys // len(found), keys % len(found), back
 
 
 def _small(x: np.ndarray, dtype: str = "<i8") -> bytes:
@@ -150,21 +153,28 @@ def _large(x: bytes, dtype: str = "<i8") -> np.ndarray:
     return np.frombuffer(zstandard.decompress(x), dtype) if len(x) else np.zeros(0, dtype)
 
 
-_ASKED = "shard long, slice long, contexts binary, words binary, counts binary"
+_ASKED = "shard long, slice long, names binary, contexts binary, words binary, counts binary"
 
 
 def _ask(n: int):
-    """What a slice asks of each shard: words (no contexts) and pairs, with their training counts."""
+    """What a slice asks of each shard: words (no contexts) and pairs, as places among the names of both,
+    with their training counts."""
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
                 found, number, starts, train = _tokens(r)
                 counts = np.bincount(number[train], minlength=len(found))
-                rows = [(s, r["slice"], None, k.tobytes(), _small(c)) for s, k, c in _by_shard(found, n, counts)]
+                rows = [(s, r["slice"], k.tobytes(), None, None, _small(c)) for s, k, c in _by_shard(found, n, counts)]
                 u, w, back = _pairs(found, number, starts)
                 counts = np.bincount(back[train], minlength=len(u))
-                rows += [(s, r["slice"], _small(x), y.tobytes(), _small(c))
-                         for s, _, x, y, c in _by_shard(u * _P + w, n, u, w, counts)]
+                del back, number, starts, train
+                every = np.append(found, START)
+                for s, _, x, y, c in _by_shard(every[u] * _P + found[w], n, u, w, counts):
+                    named = np.zeros(len(every), bool)
+                    named[x] = named[y] = True
+                    place = np.cumsum(named, dtype=np.int32) - 1
+                    rows.append((s, r["slice"], every[named].tobytes(), _small(np.diff(place[x], prepend=0), "<i4"),
+                                 _small(place[y], "<i4"), _small(c)))
                 yield _batch(rows, _ASKED)
     return run
 
@@ -180,13 +190,17 @@ def _gather(n: int):
     ``names``, which stand by word shard (``parts`` of them each); a slice's pairs are in order, so
     ``steps`` between their places are small."""
     def run(key, group):
-        rows = list(zip(*(group.column(c).to_pylist() for c in ("slice", "contexts", "words", "counts"))))
-        words, asked = (sorted((r for r in rows if (r[1] is None) == lone), key=lambda r: r[0]) for lone in (True, False))
-        joined = lambda x, i: np.concatenate([np.zeros(0, np.int64), *(_large(r[i]) for r in x)])
-        found, word_back = _distinct(np.frombuffer(b"".join(r[2] for r in words), "<u8"))
-        word_counts = np.bincount(word_back, joined(words, 3), len(found)).astype(np.int64)
-
-        u, w, counts = joined(asked, 1).astype("<u8"), np.frombuffer(b"".join(r[2] for r in asked), "<u8"), joined(asked, 3)
+        rows = list(zip(*(group.column(c).to_pylist() for c in ("slice", "names", "contexts", "words", "counts"))))
+        words, asked = (sorted((r for r in rows if (r[2] is None) == lone), key=lambda r: r[0]) for lone in (True, False))
+        joined = lambda x: np.concatenate([np.zeros(0, np.int64), *(_large(r[4]) for r in x)])
+        found, word_back = _distinct(np.frombuffer(b"".join(r[1] for r in words), "<u8"))
+        word_counts = np.bincount(word_back, joined(words), len(found)).astype(np.int64)
+
+        named = [np.frombuffer(r[1], "<u8") for r in asked]
+        none, counts = np.zeros(0, np.uint64), joined(asked)
+        u = np.concatenate([none, *(x[np.cumsum(_large(r[2], "<i4"))] for x, r in zip(named, asked))])
+        w = np.concatenate([none, *(x[_large(r[3], "<i4")] for x, r in zip(named, asked))])
+        sizes = [len(_large(r[4])) for r in asked]
         order = np.lexsort((w, u))
         new = np.append(True, (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0))[:len(u)]
         back = np.empty(len(u), np.int64)
@@ -199,9 +213,9 @@ def _gather(n: int):
         place = at[place]
         half = len(place) // 2
         return _table([(
-            key[0].as_py(), [r[0] for r in words], [len(r[2]) // 8 for r in words], _small(word_back, "<i4"),
+            key[0].as_py(), [r[0] for r in words], [len(r[1]) // 8 for r in words], _small(word_back, "<i4"),
             _small(word_counts), int(word_counts.sum()), int((word_counts > 0).sum()),
-            [r[0] for r in asked], [len(r[2]) // 8 for r in asked], _small(np.diff(back, prepend=0), "<i4"),
+            [r[0] for r in asked], sizes, _small(np.diff(back, prepend=0), "<i4"),
             names[by_shard].tobytes(), np.bincount(shard, minlength=n).tolist(), _small(place[:half], "<i4"),
             _small(place[half:], "<i4"), _small(np.bincount(back, counts, half)))], _GATHERED)
     return run
@@ -411,7 +425,7 @@ def _parent(sweep: int, types: int, own_tables: int):
 
 
 def _answer_pairs(types: int, sums: dict):
-    """To each slice: log10 P(word | context) of each pair that it asked for."""
+    """To each slice: log10 P(word | context) of each pair that it asked for, rounded to single precision."""
     def run(key, pairs, replies):
         state, rows = _State(replies.to_pylist(), types, sums), []
         for r in pairs.to_pylist():
@@ -422,8 +436,9 @@ def _answer_pairs(types: int, sums: dict):
                 parent, tables = state.after(sweep)
                 p += ((STRENGTH + DISCOUNT * tables[u]) * parent[w] + c - DISCOUNT * t) / SAMPLES
             p = np.log10(p / (STRENGTH + state.vector(-1, "customers")[u]))
+            del t, u, w, c
             places = np.cumsum(_large(r["steps"], "<i4"), dtype=np.int64)
-            rows += _answers("pairs", r["shard"], r["slices"], r["sizes"], p[places], "<f8")
+            rows += _answers("pairs", r["shard"], r["slices"], r["sizes"], p[places], "<f4")
         return _table(rows, _ANSWERS)
     return run
 
@@ -450,7 +465,7 @@ def _score(n_shards: int, n: int, v: int):
             found, number, starts, _ = _tokens(r)
             c = answered("words", found, "<i8")
             u, w, back = _pairs(found, number, starts)
-            score = answered("pairs", u * _P + w, "<f8")[back]
+            score = answered("pairs", np.append(found, START)[u] * _P + found[w], "<f4").astype(np.float64)[back]
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             total = lambda x: np.add.reduceat(x, starts)
             out.append(pa.table([pa.array(r["ids"], pa.int64()), pa.array(total(np.ones(len(number), np.int64))),
@@ -460,34 +475,49 @@ def _score(n_shards: int, n: int, v: int):
     return run
 
 
+class _Staged:
+    """Tables in the shared folder, until they are dropped."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table and read it again."""
+        path = staging_path(self.spark, f"pitman-yor-{name}")
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            drop_staged(self.spark, self.paths.pop(id(df))[1])
+
+
 @contextmanager
 def _staging(spark: SparkSession):
-    """A function that writes a table to the shared folder and reads it again; what it wrote is dropped at
-    the end, but for the last. Shuffle files are dropped with the step that wrote them."""
-    conf, wrote = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    """Staged tables, whose shuffle files are dropped with the step that wrote them; a failure drops all."""
+    conf, held = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", _Staged(spark)
     was = spark.conf.get(conf, None)
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        wrote.append(staging_path(spark, f"pitman-yor-{name}"))
-        df.write.parquet(wrote[-1])
-        return spark.read.schema(df.schema).parquet(wrote[-1])
     spark.conf.set(conf, "true")
     try:
-        yield kept
+        yield held
+    except BaseException:
+        held.drop(*(df for df, _ in list(held.paths.values())))
+        raise
     finally:
         spark.conf.unset(conf) if was is None else spark.conf.set(conf, was)
-        for path in wrote[:-1]:
-            drop_staged(spark, path)
 
 
 def score(docs: DataFrame, train: Column) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score); ``train`` marks the
     texts to learn from, as a column over ``doc_id``."""
-    with _staging(docs.sparkSession) as kept:
-        return _scored(docs, train, kept)
+    with _staging(docs.sparkSession) as held:
+        return _scored(docs, train, held)
 
 
-def _scored(docs: DataFrame, train: Column, kept) -> DataFrame:
+def _scored(docs: DataFrame, train: Column, held: _Staged) -> DataFrame:
+    kept = held.keep
     packed = kept(texts(docs).withColumn("train", train).mapInArrow(_pack, _PACKED), "slices")
     size = packed.agg(F.coalesce(F.sum(F.length("blob")), F.lit(0))).first()[0]
     shards = max(1, -(-size // SHARD_BYTES))
@@ -503,23 +533,31 @@ def _scored(docs: DataFrame, train: Column, kept) -> DataFrame:
 
     totals = lambda df: tuple(df.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("all_dishes", "all_own")]).first())
     first = now = kept(types.mapInArrow(_first_replies, _REPLIES), "replies")
-    sums, told = {-1: totals(first)}, first
+    sums, told, used = {-1: totals(first)}, first, [first]
+    before: list = []                         # what only the next sweep reads
     for sweep in range(BURN + SAMPLES):
         tables = kept(several.groupBy("shard").cogroup(now.groupBy("shard"))
                       .applyInArrow(_sweep(sweep, v, dict(sums)), _TABLES), "tables")
+        held.drop(*before)
         replies = kept(types.groupBy("shard").cogroup(tables.where("source >= 0").groupBy("shard"))
                        .applyInArrow(_parent(sweep, v, sums[sweep - 1][1]), _REPLIES), "replies")
         sums[sweep] = totals(replies)
         none, zero = F.lit(b""), F.lit(0).cast("long")
-        seated = tables.where("source < 0").select(
+        seated = kept(tables.where("source < 0").select(
             "shard", F.lit(sweep).cast("long").alias("sweep"), F.col("source").alias("part"), "dishes", none.alias("own"),
-            none.alias("contexts"), none.alias("customers"), zero.alias("all_dishes"), zero.alias("all_own"))
+            none.alias("contexts"), none.alias("customers"), zero.alias("all_dishes"), zero.alias("all_own")), "seated")
+        held.drop(tables)
         now = replies.unionByName(seated)
         if sweep >= BURN:
-            told = told.unionByName(now)
-    pair_answers = (gathered.select("shard", "slices", "sizes", "steps", "u", "w", "counts").groupBy("shard")
-                    .cogroup(told.groupBy("shard")).applyInArrow(_answer_pairs(v, sums), _ANSWERS))
-    answers = word_answers.unionByName(pair_answers)
+            told, before = told.unionByName(now), []
+            used += [replies, seated]
+        else:
+            before = [replies, seated]
+    held.drop(several, types)
+    answers = kept(gathered.select("shard", "slices", "sizes", "steps", "u", "w", "counts").groupBy("shard")
+                   .cogroup(told.groupBy("shard")).applyInArrow(_answer_pairs(v, sums), _ANSWERS).unionByName(word_answers), "answers")
+    held.drop(gathered, *used)
     scored = kept(packed.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_score(shards, n, v), _SCORED), "scores")
+    held.drop(packed, answers)
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          "base_score", "score")
