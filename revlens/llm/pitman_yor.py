@@ -44,8 +44,8 @@ from revlens.session import drop_staged, staging_path
 
 from .common import texts, word_hash
 
-SLICE_BYTES = 24 * 2 ** 20                    # of text
-SHARD_BYTES = 8 * 2 ** 20                     # of packed text
+SLICE_BYTES = 16 * 2 ** 20                    # of text
+SHARD_BYTES = 6 * 2 ** 20                     # of packed text
 BURN, SAMPLES = 2, 3
 EXACT = 128                                   # customers whose number of tables is drawn exactly
 DISCOUNT, STRENGTH = 0.75, 1.0                # of the context restaurants
@@ -129,7 +129,10 @@ def _tokens(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         parts.append(np.array([END], np.uint64))
         at += n
     sizes = np.array([len(parts[i]) + 1 for i in range(0, len(parts), 2)])
-    found, number = _distinct(np.concatenate(parts))
+    del blob
+    joined = np.concatenate(parts)
+    del parts
+    found, number = _distinct(joined)
     return found, number, np.cumsum(sizes) - sizes, np.repeat(np.array(r["train"], bool), sizes)
 
 
@@ -145,12 +148,17 @@ def _pairs(found: np.ndarray, number: np.ndarray, starts: np.ndarray) -> tuple[n
 
 
 def _small(x: np.ndarray, dtype: str = "<i8") -> bytes:
-    """Counts and the like: mostly equal or tiny, so compressed to a byte or two each."""
-    return zstandard.compress(x.astype(dtype).tobytes(), 1)
+    """Counts, places and the like: numbers byte by byte, all first bytes before all second ones, so that
+    equal high bytes compress to nearly nothing."""
+    planes = np.ascontiguousarray(x.astype(dtype)).view(np.uint8).reshape(len(x), -1 if len(x) else 1).T
+    return zstandard.compress(np.ascontiguousarray(planes), 1)
 
 
 def _large(x: bytes, dtype: str = "<i8") -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(x), dtype) if len(x) else np.zeros(0, dtype)
+    if not len(x):
+        return np.zeros(0, dtype)
+    planes = np.frombuffer(zstandard.decompress(x), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
 _ASKED = "shard long, slice long, names binary, contexts binary, words binary, counts binary"
@@ -175,7 +183,9 @@ def _ask(n: int):
                     place = np.cumsum(named, dtype=np.int32) - 1
                     rows.append((s, r["slice"], every[named].tobytes(), _small(np.diff(place[x], prepend=0), "<i4"),
                                  _small(place[y], "<i4"), _small(c)))
+                del u, w, counts
                 yield _batch(rows, _ASKED)
+                pa.default_memory_pool().release_unused()
     return run
 
 
@@ -452,6 +462,8 @@ def _score(n_shards: int, n: int, v: int):
 
     def run(key, packed, answers):
         held = {(a["kind"], a["shard"]): a["answer"] for a in answers.to_pylist()}
+        del answers
+        pa.default_memory_pool().release_unused()
         out = []
 
         def answered(kind: str, keys: np.ndarray, dtype: str):
@@ -466,6 +478,7 @@ def _score(n_shards: int, n: int, v: int):
             c = answered("words", found, "<i8")
             u, w, back = _pairs(found, number, starts)
             score = answered("pairs", np.append(found, START)[u] * _P + found[w], "<f4").astype(np.float64)[back]
+            del u, w, back
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             total = lambda x: np.add.reduceat(x, starts)
             out.append(pa.table([pa.array(r["ids"], pa.int64()), pa.array(total(np.ones(len(number), np.int64))),
