@@ -135,3 +135,35 @@ def test_sketches_merge_within_their_error(spark):
     assert all(r.within_error for r in errors)
     empty = ex.quantile_errors(df.limit(0), [0.5], 0.01, by="part").collect()
     assert [(r.helpful_vote, r.within_error) for r in empty] == [(None, None)]
+
+
+def _writer_limits(spark, monkeypatch):
+    """What the limit of files that a task keeps open is set to, from now on."""
+    key, limits, plain = "spark.sql.maxConcurrentOutputFileWriters", [], type(spark.conf).set
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, k, v: limits.append(int(v)) if k == key and plain(self, k, v) is None else plain(self, k, v))
+    return limits
+
+
+def test_staging_sorts_no_texts_by_slice(spark, monkeypatch):
+    """Spark sorts a task's rows, spilling their texts, once the task has as many files as the limit says."""
+    limits = _writer_limits(spark, monkeypatch)
+    staged = st.stage_rows(spark.createDataFrame(ODD * 9, schemas.REVIEW_SCHEMA).repartition(3))
+    task = F.shiftright("row_id", st.TASK_SHIFT)
+    most = staged.rows.groupBy(task).agg(F.countDistinct("slice").alias("n")).agg(F.max("n")).first()[0]
+    assert most == st.SPREAD and limits and limits[0] > most
+    staged.drop()
+
+
+def _codecs(folder):
+    import pyarrow.parquet as pq
+
+    files = [os.path.join(at, f) for at, _, names in os.walk(folder.removeprefix("file:")) for f in names if f.endswith(".parquet")]
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+
+
+def test_staged_rows_and_written_tables_are_zstd(spark, tmp_dir):
+    df = spark.createDataFrame(ODD, schemas.REVIEW_SCHEMA)
+    staged = st.stage_rows(df)
+    assert _codecs(staged.paths[0]) == {"ZSTD"}
+    staged.drop()
+    assert _codecs(sinks.write_parquet(df, f"{tmp_dir}/t")) == {"ZSTD"}
