@@ -222,3 +222,19 @@ def test_size_shuffle_targets_partition_bytes(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_compressed_inputs_count_as_what_they_hold(spark, tmp_dir):
+    import gzip
+
+    from revlens import session
+
+    plain = _write_jsonl(f"{tmp_dir}/raw/a.jsonl", SMOKE_REVIEWS * 40)
+    os.makedirs(f"{tmp_dir}/gz")
+    with open(plain, "rb") as fh, gzip.open(f"{tmp_dir}/gz/a.jsonl.gz", "wb") as out:
+        out.write(fh.read())
+    size = os.path.getsize(f"{tmp_dir}/gz/a.jsonl.gz")
+    assert session.input_bytes(spark, f"{tmp_dir}/gz") == size * session.EXPANSION
+    meta = _write_jsonl(f"{tmp_dir}/meta.jsonl", [SMOKE_PRODUCT])
+    run = jobs.run_review_analytics(spark, f"{tmp_dir}/gz", meta, f"{tmp_dir}/p", f"{tmp_dir}/r")
+    assert run.counts["raw_reviews"] == 80 and run.counts["joined_reviews"] == 2

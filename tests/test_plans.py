@@ -196,3 +196,21 @@ def test_hot_product_is_split_by_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("faulty", [True, False])
+def test_written_lines_are_compressed_and_not_sorted(spark, monkeypatch, faulty):
+    """The lines carry whole texts: plain they take as much disk as the texts, and sorting them by folder as much again."""
+    import glob
+    import os
+
+    from tests.test_staged import _writer_limits
+
+    monkeypatch.setattr(ff, "_WRITTEN", {})
+    limits = _writer_limits(spark, monkeypatch)
+    path = ff.fixture_json(spark, SF_SMALL, "reviews", faulty).removeprefix("file:")
+    files = glob.glob(f"{path}/source_file=*/part-*")
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    assert limits[0] > len({os.path.dirname(f) for f in files})
+    held = spark.read.text(path).selectExpr("sum(octet_length(value))").first()[0]
+    assert sum(map(os.path.getsize, files)) < held / 2
