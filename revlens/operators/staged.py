@@ -35,7 +35,6 @@ BROADCAST_BYTES = 64 << 20
 ID_BYTES = 32                    # of a broadcast row id, about
 TASK_SHIFT = 33                  # a row id's bits above it are the writing task's
 MOST_TASKS = 1 << 29
-CO_LOCATION = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def row_digest(columns: list[str]) -> Column:
@@ -82,7 +81,7 @@ class StagedReviews:
 
     def with_catalog(self, rows: DataFrame, catalog: DataFrame, key: str = schemas.KEY) -> DataFrame:
         """``rows`` (staged ones with further columns) x catalog on ``key``, in place; the slice is dropped."""
-        self.spark.conf.set(CO_LOCATION, "false")
+        self.spark.conf.set(session.CO_LOCATION, "false")
         asked = self.rows.select("slice", key).where(F.col(key).isNotNull()).distinct()
         answers = asked.join(catalog, key)
         return rows.join(answers.hint("shuffle_hash"), ["slice", key]).drop("slice")

@@ -36,6 +36,9 @@ JOB_CONF = {
 }
 
 
+CO_LOCATION = "spark.sql.requireAllClusterKeysForCoPartition"     # false: rows dealt by one join key stay there
+
+
 def configure(spark: SparkSession, case_sensitive: bool = True) -> SparkSession:
     """Apply the job settings to an existing session (idempotent)."""
     for key, value in JOB_CONF.items():
