@@ -214,3 +214,40 @@ def test_written_lines_are_compressed_and_not_sorted(spark, monkeypatch, faulty)
     assert limits[0] > len({os.path.dirname(f) for f in files})
     held = spark.read.text(path).selectExpr("sum(octet_length(value))").first()[0]
     assert sum(map(os.path.getsize, files)) < held / 2
+
+
+@pytest.mark.parametrize(("name", "most"), [("prune_reviews", 3), ("join_reviews_metadata", 6)])
+def test_order_lines_are_shuffled_once_to_their_documents(spark, name, most):
+    """Lines, orders and documents once each; for the joined table the dedup, the reviews and the catalog too."""
+    old = _broadcast_off(spark)
+    try:
+        plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+        assert plan.count("Exchange hashpartitioning(") == most
+    finally:
+        _restore(spark, old)
+
+
+def test_preview_stages_only_reviews_near_the_top(spark, monkeypatch):
+    staged, stage = [], cl.stage_reviews
+    monkeypatch.setattr(cl, "stage_reviews", lambda df: staged.append(stage(df)) or staged[-1])
+    df = catalog.QUERIES["preview_joined"](spark, SF_SMALL)
+    assert df.count() == 10 and len(staged) == 1 and 10 <= staged[0].total < 200
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 6, 30])
+def test_preview_bound_keeps_the_first_rows_and_their_ties(spark, n):
+    from revlens.operators import explore as ex
+
+    nan = float("nan")
+    rows = [("a", 2.0, "z"), ("a", 2.0, "y"), ("a", nan, "x"), ("a", None, "w"), ("a", None, "v"), ("b", -0.0, "u"), ("b", 0.0, "t"),
+            ("b", 1.0, "s"), (None, 1.0, "r"), (None, None, "q"), (None, None, "p")]
+    df = spark.createDataFrame(rows, "a string, b double, text string").repartition(3)
+    near = df.where(ex.preview_bound(df.drop("text"), ["a", "b"], n))
+    order, shown = ["a", "b", "text"], lambda d: [tuple(map(repr, r)) for r in ex.preview(d, order, order, n).collect()]
+    assert shown(near) == shown(df) and near.count() <= (len(rows) if n > 6 else n + 1)
+
+
+def test_text_digests_are_bytes(spark):
+    df = cl.narrow_reviews(spark.createDataFrame([(None,) * 9], schemas.REVIEW_SCHEMA))
+    assert dict(df.dtypes)["text_digest"] == "binary"
+    assert dict(catalog.narrow_reviews(spark, SF_SMALL).dtypes)["text_digest"] == "binary"
