@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import texts
+from .common import hold, texts
 
 CACHE_WORDS = 1 << 19
 _codecs: dict = {}
@@ -128,6 +128,7 @@ class Codec(dict):
 def codec(path: str) -> Codec:
     if path not in _codecs:
         _codecs[path] = Codec(path)
+    hold(_codecs[path], _codecs[path].pieces)
     return _codecs[path]
 
 

@@ -38,6 +38,17 @@ class WordHash(dict):
 
 word_hash = WordHash()
 
+_held: list[dict] = []
+
+
+def hold(*caches: dict) -> None:
+    """At the start of a task: the caches that it is going to fill. A Python worker goes on from one
+    stage's tasks to the next one's, so caches that others held are emptied."""
+    for c in _held:
+        if not any(c is x for x in caches):
+            c.clear()
+    _held[:] = caches
+
 _shipped: set = set()
 
 

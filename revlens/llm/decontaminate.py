@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, texts
+from .common import hold, prepare, texts
 
 Q = 12
 BUDGET = 0.06                 # edits, as a share of an item's length
@@ -164,6 +164,7 @@ class Index:
 
 def _scan(sent):
     def run(batches):
+        hold()
         index = Index(sent.value)
         for b in batches:
             found = index.search_all(b.column("text").to_pylist())
@@ -204,6 +205,7 @@ def _blocks(benchmark: DataFrame) -> list:
 
 def _clean(sent):
     def run(batches):
+        hold()
         index = Index(sent.value)
         for b in batches:
             found = index.search_all([t or "" for t in b.column("text").to_pylist()])

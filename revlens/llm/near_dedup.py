@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, staged, texts, word_hash
+from .common import hold, prepare, staged, texts, word_hash
 
 WORDS = 5
 REGISTERS, ROWS = 128, 4
@@ -123,6 +123,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def _sketched(batches):
+    hold(word_hash)
     for b in batches:
         n, digest, regs = [], [], []
         for t in b.column("text").cast(pa.binary()).to_pylist():
@@ -250,6 +251,7 @@ def _confirmed(batches):
 
 
 def _element_sets(batches):
+    hold(word_hash)
     for b in batches:
         sets = [shingles(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([digest_of(x) for x in sets], pa.binary()),
@@ -257,6 +259,7 @@ def _element_sets(batches):
 
 
 def _verified(batches):
+    hold(word_hash)
     for b in batches:
         good, was, sets, sets_digest = [], None, None, None
         column = lambda c: b.column(c).cast(pa.binary()).to_pylist()
@@ -404,6 +407,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def _with_digest(batches):
+    hold(word_hash)
     for b in batches:
         found = [digest_of(shingles(t)) for t in b.column("text").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(found, pa.binary())], ["doc_id", "row", "digest"])

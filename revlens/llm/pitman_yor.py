@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from revlens.session import drop_staged, staging_path
 
-from .common import texts, word_hash
+from .common import hold, texts, word_hash
 
 SLICE_BYTES = 16 * 2 ** 20                    # of text
 SHARD_BYTES = 6 * 2 ** 20                     # of packed text
@@ -122,6 +122,7 @@ def _pack(batches):
 def _tokens(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(distinct token hashes, each token as a place among them, first token of each text, train flag of
     each token) of a slice."""
+    hold(word_hash)
     blob, at, parts = zstandard.decompress(r["blob"]) if sum(r["sizes"]) else b"", 0, []
     for n in r["sizes"]:
         words = blob[at:at + n].lower().split()

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from revlens.session import sized_shuffle, staging_path
 
 from .bpe_codec import byte_symbols
-from .common import texts
+from .common import hold, texts
 
 SLICE_BYTES = 32 << 20
 CACHE_WORDS = 1 << 19
@@ -118,6 +118,7 @@ class Aligner:
 def aligner(path_a: str, path_b: str) -> Aligner:
     if (path_a, path_b) not in _aligners:
         _aligners[path_a, path_b] = Aligner(path_a, path_b)
+    hold(_aligners[path_a, path_b].words)
     return _aligners[path_a, path_b]
 
 

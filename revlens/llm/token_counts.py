@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, texts
+from .common import hold, staged, texts
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
@@ -54,6 +54,7 @@ class _Counter(dict):
 def _counter(path: str) -> _Counter:
     if path not in _counters:
         _counters[path] = _Counter(path)
+    hold(_counters[path])
     return _counters[path]
 
 

@@ -3,9 +3,10 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from revlens.llm import bpe_codec, queries
+from revlens.llm import bpe_codec, common, near_dedup, queries
 from tests.llm.helpers import MIDDLE, ODD_TEXTS, no_docs, odd_docs, pandas
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -49,3 +50,14 @@ def test_random_strings():
         text = "".join(rng.choices(pool, k=rng.randint(0, 40)))
         got = np.frombuffer(codec.encode(text.encode()), "<u4").tolist()
         assert got == LIBRARY.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_the_next_stage_empties_the_codec():
+    common.hold()          # earlier tests' words
+    c = bpe_codec.codec(PATH)
+    c.encode(b"some words of one text")
+    assert len(c) == 5 and c.pieces and bpe_codec.codec(PATH) is c and len(c) == 5      # the stage's own tasks keep them
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words of another text"]})
+    assert len(list(near_dedup._sketched([docs]))) == 1
+    assert not c and not c.pieces
+    assert bpe_codec.codec(PATH).encode(b"some words of one text") and not common.word_hash
