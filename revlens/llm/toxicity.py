@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled, prepare, staged, texts
+from .common import hold, labelled, prepare, staged, texts
 
 SAMPLE = 20_000        # labelled documents that the decision list is fitted on, at most
 SMOOTH = 5.0           # documents at the prior that each share starts from
@@ -48,6 +48,12 @@ _TWICE = re.compile(r"(.)\1")
 _LONG = re.compile(r"(.)\1{4,}", re.S)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _ENDS = re.compile(r"^[^\w@$!|+€]+|[^\w@$]+$")
+# The same classes' ASCII characters, for texts that have no others.
+_ASCII = [*map(chr, range(128))]
+_EDGE_ASCII = "".join(c for c in _ASCII if not c.isalnum())
+_RUNS_ASCII = "".join(c for c in _EDGE_ASCII if c != "_" and not c.isspace())
+_FORE_ASCII = "".join(c for c in _EDGE_ASCII if c not in "_@$!|+")
+_AFT_ASCII = "".join(c for c in _EDGE_ASCII if c not in "_@$")
 # What a token to decode holds: a repeat, a look-alike next to a letter or to another one, a gap
 # between such; and a letter, or a look-alike that is no digit (others are numbers).
 _SIGNS = "01345789@$!|+€"
@@ -58,6 +64,7 @@ _LETTERS = re.compile(r"[^\W\d_]|[@$!|€]")
 
 def _char_counts(batches):
     """Counts of character trigrams over the distinct words of each task's batches."""
+    hold()
     counts = np.zeros(_SIDE ** 3, np.int64)
     codes = np.full(256, 27, np.int64)
     for c, i in _CODE.items():
@@ -201,16 +208,34 @@ class Wanted:
         return any(bones[i:i + n] in self.parts for n in self.part_lengths for i in range(len(bones) - n + 1))
 
 
+def _plain(text: str) -> str:
+    """Without outer punctuation."""
+    return text.strip(_EDGE_ASCII) if text.isascii() else _EDGE.sub("", text)
+
+
+def _core(text: str) -> str:
+    """Without outer punctuation that stands for no letter."""
+    if not text.isascii():
+        return _ENDS.sub("", _RUNS.sub("", text))
+    for strip in (str.lstrip, str.rstrip):
+        rest = strip(text, _RUNS_ASCII)
+        if len(text) - len(rest) >= 3:
+            text = rest
+    return text.lstrip(_FORE_ASCII).rstrip(_AFT_ASCII)
+
+
 def restored(word: bytes, cost: np.ndarray, wanted: Wanted | None = None) -> str:
     """The word that a token of a text stands for, in lower case without outer punctuation; with
     ``wanted`` the empty one where no decoding can give a listed feature."""
-    text = word.decode("utf-8", "ignore").lower()
-    core = _ENDS.sub("", _RUNS.sub("", text))
+    return _restored(_core(word.decode("utf-8", "ignore").lower()), cost, wanted)
+
+
+def _restored(core: str, cost: np.ndarray, wanted: Wanted | None) -> str:
     if len(core) > 2 and _ODD.search(core) and _LETTERS.search(core):
         if wanted and not wanted.token(core):
             return ""
         core = restore(_shortened(core, cost), cost)
-    return _EDGE.sub("", core)
+    return _plain(core)
 
 
 def spelt(text: bytes) -> list[bytes]:
@@ -226,10 +251,14 @@ def respelt(run: bytes, cost: np.ndarray) -> list[str]:
 
 def readings(word: bytes, cost: np.ndarray, wanted: Wanted | None = None) -> set[str]:
     """The restored word, and of letters alone also the word as it stands (its repeats may be its own)."""
-    plain = _EDGE.sub("", word.decode("utf-8", "ignore").lower())
-    if plain.isalpha() and len(plain) == len(word) and not _TWICE.search(plain):     # nothing to decode or strip
+    text = word.decode("utf-8", "ignore").lower()
+    plain = _plain(text)
+    core = text if plain == text else _core(text)
+    if not plain.isalpha():
+        return {_restored(core, cost, wanted)}
+    if plain == core and not _TWICE.search(plain):     # nothing to decode
         return {plain}
-    return {restored(word, cost, wanted)} | ({plain} if plain.isalpha() else set())
+    return {plain, _restored(core, cost, wanted)}
 
 
 def features(word: str) -> list[str]:
@@ -253,6 +282,7 @@ def hash_of(x: bytes) -> int:
 
 
 def _groups(batches):
+    hold()
     for b in batches:
         data = b.column("text").cast(pa.binary()).to_pylist()
         yield pa.RecordBatch.from_arrays(
@@ -265,11 +295,13 @@ _COUNTED = ("clean_0", "toxic_0", "clean_1", "toxic_1")     # by half of the sam
 
 def _feature_counts(cost: np.ndarray):
     def run(batches):
+        hold()
         counts: dict = {}
         for b in batches:
             for half, label, text in zip(b.column("half").to_pylist(), b.column("label").to_pylist(),
                                          b.column("text").cast(pa.binary()).to_pylist()):
-                words = {w for t in set(tokens(text)) for w in readings(t, cost)} | {w for t in spelt(text) for w in respelt(t, cost)}
+                runs = spelt(text)
+                words = {w for t in {*text.split(), *runs} for w in readings(t, cost)} | {w for t in runs for w in respelt(t, cost)}
                 for f in {f for w in words for f in features(w)}:
                     c = counts.setdefault(f, [0, 0, 0, 0])
                     c[2 * half + label] += 1
@@ -335,10 +367,18 @@ class _Scores(dict):
         super().__init__()
         self.base, self.table, self.slope, self.shift, self.cost = base, table, slope, shift, cost
         self.wanted = Wanted(table)
+        self.starts = {f[:-1]: share for f, share in table.items() if f.endswith("*")}
+
+    def strongest(self, word: str) -> float:
+        """The largest share of the features of a word of three letters or more."""
+        got = self.table.get(word, self.base)
+        for n in PREFIXES:
+            if len(word) > n and (share := self.starts.get(word[:n], got)) > got:
+                got = share
+        return got
 
     def __missing__(self, word: bytes) -> float:
-        got = max((self.table.get(f, self.base) for w in readings(word, self.cost, self.wanted) for f in features(w)),
-                  default=self.base)
+        got = max([self.strongest(w) for w in readings(word, self.cost, self.wanted) if len(w) > 2], default=self.base)
         if len(word) <= 64:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -353,6 +393,7 @@ def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float], float, flo
     sent = docs.sparkSession.sparkContext.broadcast((*model, cost))   # bounded by the sample
 
     def run(batches):
+        hold()
         scores = _Scores(*sent.value)
         for b in batches:
             data = b.column("text").cast(pa.binary()).to_pylist()
@@ -361,8 +402,9 @@ def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float], float, flo
 
 
 def _score(scores: _Scores, text: bytes) -> float:
-    share = max(map(scores.__getitem__, tokens(text)), default=scores.base)
-    for run in spelt(text):
+    runs = spelt(text)
+    share = max(map(scores.__getitem__, {*text.split(), *runs}), default=scores.base)
+    for run in runs:
         if not scores.wanted.run(run.decode("ascii").lower()):
             continue
         share = max([share, *(scores.table.get(f, scores.base) for w in respelt(run, scores.cost) for f in features(w))])
@@ -376,6 +418,7 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float], float, float],
     sent = docs.sparkSession.sparkContext.broadcast((*model, cost))   # bounded by the sample
 
     def run(batches):
+        hold()
         scores = _Scores(*sent.value)
         for b in batches:
             got = [_score(scores, x) for x in b.column("text").cast(pa.binary()).to_pylist()]

@@ -97,3 +97,18 @@ def test_skeleton_is_kept_by_every_path(spark):
     cost = toxicity.char_model(table(spark, "documents"))
     for word in ("id1ot", "l0000ser", "a55", "b-a-d", "sch€€n", "7|-|is", "hello", "éclair!t", "mississippi"):
         assert toxicity.skeleton(toxicity.restore(word, cost)) == toxicity.skeleton(word)
+
+
+def test_punctuation_is_stripped_alike_with_and_without_patterns():
+    parts = ["", ".", "..", "!!!", "$", "@_", "_", "|+", "\x1c\x1f.", "(*", "-"]
+    for text in [a + w + b for a in parts for w in ("word", "a", "", "w.d", "1$") for b in parts]:
+        assert toxicity._plain(text) == toxicity._EDGE.sub("", text)
+        assert toxicity._core(text) == toxicity._ENDS.sub("", toxicity._RUNS.sub("", text))
+
+
+def test_scores_are_the_strongest_share_of_all_readings(cost):
+    model = 0.05, {"idiot": 0.9, "idio*": 0.7, "moro*": 0.6, "nice": 0.4}, 1.0, 0.0
+    scores = toxicity._Scores(*model, cost)
+    for word in (b"idiot", b"(1d10t)", b"Idioten", b"MORONS!", b"nice", b"nicer", b"id", b"...", b"\xc3\xa9t\xc3\xa9", b"booook"):
+        words = toxicity.readings(word, cost)
+        assert scores[word] == max((model[1].get(f, 0.05) for w in words for f in toxicity.features(w)), default=0.05)
