@@ -35,13 +35,17 @@ def metadata_for_join(clean_meta: DataFrame) -> DataFrame:
     )
 
 
-def join_reviews_metadata(reviews: DataFrame, meta_for_join: DataFrame) -> DataFrame:
+def join_reviews_metadata(reviews: DataFrame, meta_for_join: DataFrame, staged: StagedReviews | None = None) -> DataFrame:
     """Inner equi-join on ``parent_asin`` (key once, leftmost; NULL keys drop).
 
     Duplicate catalog keys multiply reviews, as in the original; run
-    ``metadata_duplicate_summary`` first when that matters.
+    ``metadata_duplicate_summary`` first when that matters. With ``staged``, whose rows ``reviews``
+    are (``clean.clean_staged``), the catalog rows come to the slices and no review is shuffled.
     """
-    return reviews.join(meta_for_join, on=schemas.KEY, how="inner")
+    if staged is None:
+        return reviews.join(meta_for_join, on=schemas.KEY, how="inner")
+    out = staged.with_catalog(reviews, meta_for_join)
+    return out.select(schemas.KEY, *[c for c in out.columns if c != schemas.KEY])
 
 
 def duplicate_key_count(meta: DataFrame, key: str = schemas.KEY) -> DataFrame:
@@ -114,5 +118,4 @@ def joined_staged(staged: StagedReviews, clean_rows: DataFrame, clean_meta: Data
 def binned_staged(staged: StagedReviews, clean_rows: DataFrame, meta_for_join: DataFrame) -> DataFrame:
     """Staged reviews x catalog projection + popularity bin: the catalog rows come to the slices,
     the reviews aren't shuffled."""
-    out = staged.with_catalog(clean_rows, meta_for_join)
-    return add_popularity_bin(out.select(schemas.KEY, *[c for c in out.columns if c != schemas.KEY]))
+    return add_popularity_bin(join_reviews_metadata(clean_rows, meta_for_join, staged))

@@ -115,6 +115,19 @@ def open_files(spark: SparkSession, files: int):
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
+@contextmanager
+def dropped_shuffles(spark: SparkSession):
+    """Steps that write a table: their shuffle files go with the step, not when the driver next collects
+    its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def parquet_codec(spark: SparkSession) -> str:
     """What Parquet tables are compressed with: the deployment's codec if it names one, else zstd."""
     named = spark.sparkContext.getConf().get("spark.sql.parquet.compression.codec", None)

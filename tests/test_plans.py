@@ -61,6 +61,26 @@ def test_catalog_comes_to_the_reviews(spark):
         _restore(spark, old)
 
 
+def test_sink_roundtrip_shuffles_no_text_and_drops_what_it_staged(spark, monkeypatch):
+    """Without broadcasts too the joined table takes no exchange of reviews with their texts."""
+    plans, dropped, write, drop = {}, [], catalog.sinks.write_parquet, catalog.session.drop_staged
+    monkeypatch.setattr(catalog.sinks, "write_parquet", lambda df, path, *a: plans.update({path.split("/")[-1]: _plan(df)}) or write(df, path, *a))
+    monkeypatch.setattr(catalog.session, "drop_staged", lambda s, p: dropped.append(p) or drop(s, p))
+    old = _broadcast_off(spark)
+    try:
+        counts = {r.dataset: r.row_count for r in catalog.QUERIES["sink_parquet_roundtrip"](spark, SF_SMALL).collect()}
+    finally:
+        _restore(spark, old)
+    assert set(plans) == {f"{t}.parquet" for t in counts} and counts["reviews_clean"] > counts["joined_reviews"] > 0
+    plan = plans["joined_reviews.parquet"]
+    assert "text:string" in plan and "Exchange hashpartitioning" in plan
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            below = plan[plan.index(line):]
+            assert "text:string" not in below[below.index("FileScan"):].split("\n")[0]
+    assert any("/reviews-" in p for p in dropped)
+
+
 def test_hot_product_is_one_answer_a_slice(spark):
     from pyspark.sql import functions as F
 

@@ -167,3 +167,24 @@ def test_staged_rows_and_written_tables_are_zstd(spark, tmp_dir):
     assert _codecs(staged.paths[0]) == {"ZSTD"}
     staged.drop()
     assert _codecs(sinks.write_parquet(df, f"{tmp_dir}/t")) == {"ZSTD"}
+
+
+def test_neighbours_stay_together_in_slices(spark):
+    """Rows dealt one by one would spread each run of like texts over all slices, where it is stored once more each."""
+    df = spark.range(40_000).select(*[F.col("id").cast(f.dataType).alias(f.name) for f in schemas.REVIEW_SCHEMA]).coalesce(1)
+    staged = st.stage_rows(df)
+    rows = [r.slice for r in staged.rows.select("row_id", "slice").orderBy("row_id").collect()]
+    shares = [rows.count(s) / len(rows) for s in set(rows)]
+    assert len(shares) == st.SPREAD and min(shares) > 0.9 / st.SPREAD
+    assert sum(a != b for a, b in zip(rows, rows[1:])) < 250
+    staged.drop()
+
+
+def test_surplus_ids_of_pairs_and_larger_groups(spark):
+    rows = [tuple(("k" if c == "text" else v) if c != "timestamp" else i for c, v in zip(schemas.REVIEW_COLUMNS, ROW)) for i in range(60)]
+    pairs, more = rows + rows[::2], rows + rows[::2] + rows[::6] + [(None,) * 9] * 9
+    for some, many in ((pairs, False), (more, True)):
+        staged = cl.stage_reviews(spark.createDataFrame(some, schemas.REVIEW_SCHEMA).repartition(5))
+        assert staged.surplus.count() == len(some) - len(set(some)) == staged.total - staged.unique
+        assert _rows(staged.distinct_rows()) == _rows(spark.createDataFrame(list(set(some)), schemas.REVIEW_SCHEMA))
+        staged.drop()
