@@ -188,3 +188,27 @@ def test_surplus_ids_of_pairs_and_larger_groups(spark):
         assert staged.surplus.count() == len(some) - len(set(some)) == staged.total - staged.unique
         assert _rows(staged.distinct_rows()) == _rows(spark.createDataFrame(list(set(some)), schemas.REVIEW_SCHEMA))
         staged.drop()
+
+
+def test_lengths_are_counted_once_while_staging(spark):
+    """Counting characters reads every text byte by byte; clean and joined rows take the staged length."""
+    staged = cl.stage_reviews(spark.createDataFrame(ODD * 3, schemas.REVIEW_SCHEMA))
+    plan = cl.clean_staged(staged)._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(text" not in plan and "review_text_length" in plan
+    lengths = cl.clean_staged(staged).select("review_text_length", F.length("text").alias("n")).collect()
+    assert len(lengths) == staged.unique and all(r.review_text_length == r.n for r in lengths)
+    staged.drop()
+
+
+def test_shuffle_files_go_with_the_step_that_staged(spark):
+    import time
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f.getName() for f in (files.apply(i) for files in [disk.getAllFiles()] for i in range(files.size())) if f.getName().startswith("shuffle_")}
+    before = held()
+    staged = cl.stage_reviews(spark.createDataFrame(ODD * 9, schemas.REVIEW_SCHEMA).repartition(4, "user_id"))
+    until = time.time() + 10
+    while held() - before and time.time() < until:        # files go in the background
+        time.sleep(0.1)
+    assert not held() - before
+    staged.drop()
